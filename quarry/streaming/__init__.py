@@ -1,0 +1,25 @@
+"""Streaming.
+
+The reference pipelines are batch-only: they have no streams, watermarks or
+state.  The row-local operators of this package (prompt formatting, seeded
+hash sampling, length filters, batch scoring with broadcast weights) are
+plain expressions or ``mapInArrow`` and therefore run unchanged on a
+``readStream`` DataFrame; ``prepare_stream`` shows the composition.  Operators
+that need a whole-dataset view (exact splits, ranks, vocabularies) are not
+offered on streams.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quarry.functions.text import EOS, prompt_expr
+from quarry.operators.keys import hash_fraction_predicate, with_hash_key
+
+
+def prepare_stream(stream: DataFrame, key, fraction: float = 1.0, seed: int = 1, eos: str = EOS) -> DataFrame:
+    """Seeded per-row sample + prompt text of a streaming instruction frame."""
+    keyed = with_hash_key(stream, key, seed).where(hash_fraction_predicate(fraction))
+    data_cols = [c for c in stream.columns]
+    return keyed.select(*[F.col(c) for c in stream.columns], prompt_expr(data_cols, eos).alias("text"))
