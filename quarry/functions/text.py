@@ -177,7 +177,7 @@ def tokenise_padded(
     """
     body = F.slice(F.col("ids"), 1, max_length - 2)
     ids = F.concat(F.array(F.lit(vocab.bos_id).cast("bigint")), body, F.array(F.lit(vocab.eos_id).cast("bigint")))
-    n_pad = F.lit(max_length) - F.size(ids)
+    n_pad = F.lit(max_length) - F.size("_ids")
     out = token_ids(df, vocab, key, text_col).select(key, ids.alias("_ids"))
     out = out.select(
         key,

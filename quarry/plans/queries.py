@@ -316,3 +316,250 @@ def q_split_summary(spark, d):
     train, valid = X.train_test_split(df, 0.25, key=HOUSING_KEY, seed=1)
     parts = X.split_column({"train": train, "validation": valid})
     return parts.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.avg("target"), 4).alias("mean_target"))
+
+
+# ------------------------------------------------------------- text (2.6)
+
+from quarry.functions import math as M  # noqa: E402
+from quarry.functions import text as TX  # noqa: E402
+from quarry.operators import metrics as MT  # noqa: E402
+from quarry.sources.readers import instruction_pairs  # noqa: E402
+
+NL = "chr(10)"
+SQL_SPLIT = "'[ \\t\\r\\n]+'"
+
+
+def sql_words(text_sql: str) -> str:
+    return f"list_filter(string_split_regex(lower({text_sql}), {SQL_SPLIT}), lambda x: x <> '')"
+
+
+PAIRS_SQL = (
+    "c AS (SELECT conv_id, turn, role, text, "
+    "lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_role, "
+    "lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_text, "
+    "lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role, "
+    "lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text FROM conversations), "
+    "pairs AS (SELECT conv_id, turn, text AS instruction, "
+    "CASE WHEN prev_role = 'system' THEN prev_text ELSE '' END AS input, next_text AS output "
+    "FROM c WHERE role = 'user' AND next_role = 'assistant')"
+)
+
+
+def pairs_with_context(spark, d) -> DataFrame:
+    """Instruction pairs whose ``input`` is a system turn right before the user turn."""
+    from pyspark.sql import Window
+
+    conv = table(spark, d, "conversations")
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    ctx = conv.select(
+        "conv_id", "turn",
+        F.when(F.lag("role").over(w) == "system", F.lag("text").over(w)).otherwise(F.lit("")).alias("input"),
+    )
+    return instruction_pairs(conv).drop("input").join(ctx, ["conv_id", "turn"], "inner").select(
+        "conv_id", "turn", "instruction", "input", "output"
+    )
+
+
+INSTR_PROMPT_SQL = (
+    f"'### Instruction:' || {NL} || coalesce(instruction, 'None') || {NL} || {NL} || "
+    f"CASE WHEN coalesce(input, '') <> '' THEN '### Input:' || {NL} || input || {NL} || {NL} ELSE '' END || "
+    f"'### Response:' || {NL} || output || '</s>'"
+)
+
+
+@query(
+    "prompt_instruction",
+    "WITH " + PAIRS_SQL + f" SELECT conv_id, turn, {INSTR_PROMPT_SQL} AS text FROM pairs",
+)
+def q_prompt_instruction(spark, d):
+    return TX.format_prompt(pairs_with_context(spark, d), keep=["conv_id", "turn"])
+
+
+@query(
+    "prompt_question_answer",
+    "WITH " + PAIRS_SQL + f" SELECT conv_id, turn, 'Question: ' || instruction || {NL} || 'Answer: ' || output || '</s>' AS text FROM pairs",
+)
+def q_prompt_question_answer(spark, d):
+    qa = pairs_with_context(spark, d).select(
+        "conv_id", "turn", F.col("instruction").alias("question"), F.col("output").alias("answer")
+    )
+    return TX.format_prompt(qa, keep=["conv_id", "turn"])
+
+
+@query("prompt_plain_text", "SELECT doc_id, text || '</s>' AS text FROM documents")
+def q_prompt_plain_text(spark, d):
+    return TX.format_prompt(table(spark, d, "documents").select("doc_id", "text"), keep=["doc_id"])
+
+
+@query(
+    "prompt_any_row",
+    "SELECT doc_id, to_json(struct_pack(quality := quality, toxic := toxic))::VARCHAR || '</s>' AS text FROM labels",
+)
+def q_prompt_any_row(spark, d):
+    return TX.format_prompt(table(spark, d, "labels"), keep=["doc_id"])
+
+
+VOCAB_MAX = 5000
+SPECIALS_SQL = "SELECT * FROM (VALUES ('<pad>', 0), ('<unk>', 1), ('<s>', 2), ('</s>', 3)) v(token, id)"
+
+
+def vocab_sql(max_size: int | None = VOCAB_MAX, text_sql: str = "text", src: str = "documents") -> str:
+    limit = f" QUALIFY row_number() OVER (ORDER BY n DESC, token) <= {max_size - 4}" if max_size else ""
+    return (
+        f"vw AS (SELECT unnest({sql_words(text_sql)}) AS token FROM {src}), "
+        "vc AS (SELECT token, count(*) AS n FROM vw WHERE token NOT IN ('<pad>', '<unk>', '<s>', '</s>') GROUP BY token), "
+        f"vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) - 1 + 4 AS BIGINT) AS id FROM vc{limit} "
+        f"UNION ALL {SPECIALS_SQL})"
+    )
+
+
+def doc_vocab(spark, d, max_size: int | None = VOCAB_MAX) -> TX.Vocab:
+    return TX.build_vocab(table(spark, d, "documents"), "text", max_size)
+
+
+@query("vocabulary", "WITH " + vocab_sql(None) + " SELECT token, id FROM vocab")
+def q_vocabulary(spark, d):
+    return doc_vocab(spark, d, None).table
+
+
+def ids_sql(src: str, key: str, text_sql: str = "text") -> str:
+    """``ids(key, ids)``: token ids per row of ``src`` (needs ``vocab``)."""
+    words_sql = sql_words(f"replace({text_sql}, '</s>', ' </s> ')")
+    return (
+        f"tw AS (SELECT {key}, {words_sql} AS w FROM {src}), "
+        f"tt AS (SELECT {key}, unnest(w) AS token, unnest(generate_series(1, len(w))) AS pos FROM tw), "
+        f"tl AS (SELECT tt.{key}, list(coalesce(vocab.id, 1) ORDER BY tt.pos) AS ids FROM tt LEFT JOIN vocab ON tt.token = vocab.token GROUP BY tt.{key}), "
+        f"ids AS (SELECT tw.{key}, coalesce(tl.ids, []::BIGINT[]) AS ids FROM tw LEFT JOIN tl ON tw.{key} = tl.{key})"
+    )
+
+
+def sj(x: str) -> str:
+    """SQL: list -> comma string."""
+    return f"array_to_string({x}, ',')"
+
+
+def aj(c) -> F.Column:
+    """Spark: array -> comma string."""
+    return F.array_join((F.col(c) if isinstance(c, str) else c).cast("array<string>"), ",")
+
+
+@query(
+    "tokenise_truncate",
+    "WITH " + vocab_sql() + ", " + ids_sql("documents", "doc_id")
+    + f" SELECT doc_id, {sj('ids[1:128]')} AS input_ids, {sj('list_transform(ids[1:128], lambda x: 1)')} AS attention_mask, "
+    f"{sj('ids[1:128]')} AS labels, len(ids[1:128]) AS n_tokens FROM ids",
+)
+def q_tokenise_truncate(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    tok = TX.tokenise(docs, doc_vocab(spark, d), 128, key="doc_id")
+    return tok.select(
+        "doc_id", aj("input_ids").alias("input_ids"), aj("attention_mask").alias("attention_mask"), aj("labels").alias("labels"),
+        F.size("input_ids").alias("n_tokens"),
+    )
+
+
+@query(
+    "tokenise_padded",
+    "WITH " + vocab_sql() + ", " + ids_sql("documents", "doc_id")
+    + ", body AS (SELECT ids.doc_id, [2::BIGINT] || ids[1:126] || [3::BIGINT] AS b FROM ids) "
+    f"SELECT body.doc_id, l.quality AS label, {sj('b || list_transform(range(128 - len(b)), lambda x: 0)')} AS input_ids, "
+    f"{sj('list_transform(b, lambda x: 1) || list_transform(range(128 - len(b)), lambda x: 0)')} AS attention_mask, "
+    f"{sj('list_transform(range(128), lambda x: 0)')} AS token_type_ids "
+    "FROM body JOIN labels l ON body.doc_id = l.doc_id",
+)
+def q_tokenise_padded(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    sentences = docs.join(table(spark, d, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id", "inner")
+    tok = TX.tokenise_padded(sentences, doc_vocab(spark, d), 128, key="doc_id", carry=["label"])
+    return tok.select(
+        "doc_id", "label", aj("input_ids").alias("input_ids"), aj("attention_mask").alias("attention_mask"),
+        aj("token_type_ids").alias("token_type_ids"),
+    )
+
+
+@query(
+    "pad_batches",
+    "WITH " + vocab_sql() + ", " + ids_sql("documents", "doc_id")
+    + ", t AS (SELECT doc_id, ids[1:100] AS x, (row_number() OVER (ORDER BY doc_id) - 1) // 8 AS batch FROM ids), "
+    "m AS (SELECT *, CAST(ceil(max(len(x)) OVER (PARTITION BY batch) / 8) * 8 AS INTEGER) AS padded_len FROM t) "
+    f"SELECT doc_id, batch, padded_len, {sj('x || list_transform(range(padded_len - len(x)), lambda i: 0)')} AS input_ids, "
+    f"{sj('x || list_transform(range(padded_len - len(x)), lambda i: -100)')} AS labels, "
+    f"{sj('list_transform(x, lambda i: 1) || list_transform(range(padded_len - len(x)), lambda i: 0)')} AS attention_mask FROM m",
+)
+def q_pad_batches(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    vocab = doc_vocab(spark, d)
+    tok = TX.tokenise(docs, vocab, 100, key="doc_id")
+    numbered = X.renumber(tok, ["doc_id"], "row_idx").withColumn("batch", F.floor(F.col("row_idx") / 8))
+    padded = TX.pad_batches(numbered, "batch", vocab.pad_id, 8)
+    return padded.select(
+        "doc_id", "batch", "padded_len", aj("input_ids").alias("input_ids"), aj("labels").alias("labels"),
+        aj("attention_mask").alias("attention_mask"),
+    )
+
+
+def instruction_tokens(spark, d, max_length: int = 64):
+    """T1 -> T2 over the instruction pairs, vocabulary built from the formatted text."""
+    prompts = TX.format_prompt(pairs_with_context(spark, d), keep=["conv_id", "turn"])
+    prompts = prompts.withColumn("row_key", F.concat_ws("-", "conv_id", "turn"))
+    vocab = TX.build_vocab(prompts, "text", VOCAB_MAX)
+    tok = TX.tokenise(prompts, vocab, max_length, key="row_key")
+    return prompts, tok
+
+
+INSTR_IDS_SQL = (
+    "WITH " + PAIRS_SQL + ", "
+    f"prompts AS (SELECT conv_id, turn, conv_id || '-' || turn AS row_key, {INSTR_PROMPT_SQL} AS text FROM pairs), "
+    + vocab_sql(VOCAB_MAX, "text", "prompts") + ", " + ids_sql("prompts", "row_key")
+)
+
+
+@query(
+    "length_filter",
+    INSTR_IDS_SQL + " SELECT row_key, len(ids[1:64]) AS n_tokens FROM ids WHERE len(ids[1:64]) BETWEEN 10 AND 64",
+)
+def q_length_filter(spark, d):
+    _, tok = instruction_tokens(spark, d, 64)
+    return P.filter_length(tok, "input_ids", 10, 64).select("row_key", F.size("input_ids").alias("n_tokens"))
+
+
+@query(
+    "dataset_stats",
+    INSTR_IDS_SQL + ", f AS (SELECT row_key, ids[1:64] AS x FROM ids WHERE len(ids[1:64]) BETWEEN 10 AND 64) "
+    "SELECT count(*) AS num_samples, 'row_key,input_ids,attention_mask,labels' AS columns, "
+    "CAST(arg_min(len(x), row_key) AS BIGINT) AS sample_input_ids_length, CAST(min(len(x)) AS BIGINT) AS min_length, "
+    "CAST(max(len(x)) AS BIGINT) AS max_length, round(avg(len(x)), 6) AS avg_length FROM f",
+)
+def q_dataset_stats(spark, d):
+    _, tok = instruction_tokens(spark, d, 64)
+    st = MT.dataset_stats(P.filter_length(tok, "input_ids", 10, 64), "row_key")
+    return st.withColumn("avg_length", F.round("avg_length", 6))
+
+
+@query(
+    "step_counts",
+    INSTR_IDS_SQL + ", f AS (SELECT row_key FROM ids WHERE len(ids[1:64]) BETWEEN 10 AND 64), "
+    "n AS (SELECT count(*) AS n FROM f) "
+    "SELECT 'loaded' AS step, (SELECT count(*) FROM pairs) AS n_rows "
+    "UNION ALL SELECT 'tokenised', (SELECT count(*) FROM ids) "
+    "UNION ALL SELECT 'filtered', n FROM n "
+    "UNION ALL SELECT 'train', CAST(floor(n * 0.8) AS BIGINT) FROM n "
+    "UNION ALL SELECT 'validation', CAST(floor(n * 0.1) AS BIGINT) FROM n "
+    "UNION ALL SELECT 'test', n - CAST(floor(n * 0.8) AS BIGINT) - CAST(floor(n * 0.1) AS BIGINT) FROM n",
+)
+def q_step_counts(spark, d):
+    prompts, tok = instruction_tokens(spark, d, 64)
+    kept = P.filter_length(tok, "input_ids", 10, 64)
+    parts = X.sequential_split(kept, ["row_key"])
+    return MT.step_counts({"loaded": prompts, "tokenised": tok, "filtered": kept, **parts})
+
+
+@query(
+    "prompt_half",
+    "WITH " + vocab_sql() + ", " + ids_sql("documents", "doc_id")
+    + f" SELECT doc_id, {sj('ids[1:len(ids) // 2]')} AS prompt_ids, len(ids) // 2 AS prompt_len FROM ids",
+)
+def q_prompt_half(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    ids = TX.token_ids(docs, doc_vocab(spark, d), "doc_id")
+    return ids.select("doc_id", aj(M.prompt_half("ids")).alias("prompt_ids"), F.size(M.prompt_half("ids")).alias("prompt_len"))
