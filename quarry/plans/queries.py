@@ -563,3 +563,184 @@ def q_prompt_half(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     ids = TX.token_ids(docs, doc_vocab(spark, d), "doc_id")
     return ids.select("doc_id", aj(M.prompt_half("ids")).alias("prompt_ids"), F.size(M.prompt_half("ids")).alias("prompt_len"))
+
+
+# ------------------------------------------------------ metrics (2.5/2.6)
+
+from quarry.operators import lm as LM  # noqa: E402
+
+
+@query(
+    "confusion_mcc",
+    "WITH c AS (SELECT count_if(quality = 1 AND toxic = 1) AS tp, count_if(quality <> 1 AND toxic <> 1) AS tn, "
+    "count_if(quality <> 1 AND toxic = 1) AS fp, count_if(quality = 1 AND toxic <> 1) AS fn FROM labels) "
+    "SELECT tp, tn, fp, fn, round(CASE WHEN sqrt((tp + fp)::DOUBLE * (tp + fn) * (tn + fp) * (tn + fn)) = 0 THEN 0.0 "
+    "ELSE (tp::DOUBLE * tn - fp::DOUBLE * fn) / sqrt((tp + fp)::DOUBLE * (tp + fn) * (tn + fp) * (tn + fn)) END, 12) AS mcc FROM c",
+)
+def q_confusion_mcc(spark, d):
+    out = MT.mcc(table(spark, d, "labels"), "quality", "toxic")
+    return out.withColumn("mcc", F.round("mcc", 12))
+
+
+@query(
+    "mse_by_split",
+    _hashed_li(1)
+    + ", s AS (SELECT CASE WHEN rn <= CAST(floor(n * 0.75) AS BIGINT) THEN 'train' ELSE 'validation' END AS split, "
+    "CAST(l_extendedprice AS FLOAT) AS target FROM r), m AS (SELECT avg(target) AS mu FROM s WHERE split = 'train') "
+    "SELECT split, round(sqrt(avg(power(mu - target, 2))), 3) AS rmse, count(*) AS n_rows FROM s, m GROUP BY split",
+)
+def q_mse_by_split(spark, d):
+    """Mean predictor (train mean) scored per split."""
+    df = housing(spark, d)
+    train, valid = X.train_test_split(df, 0.25, key=HOUSING_KEY, seed=1)
+    mu = train.agg(F.avg("target")).collect()[0][0]
+    both = X.split_column({"train": train, "validation": valid}).withColumn("pred", F.lit(mu))
+    out = MT.mse(both, "target", "pred", by=["split"])
+    return out.select("split", F.round(F.sqrt("mse"), 3).alias("rmse"), "n_rows")
+
+
+@query(
+    "best_run",
+    "SELECT user_id, event_id, value FROM events WHERE value IS NOT NULL "
+    "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value, event_id) = 1",
+)
+def q_best_run(spark, d):
+    """Best (lowest ``value``) event per user, ties -> earliest event."""
+    ev = table(spark, d, "events").select("user_id", "event_id", "value")
+    return MT.best_run(ev, "value", "min", by=["user_id"], tie="event_id")
+
+
+@query(
+    "rounded_metrics",
+    "SELECT 'mean_price' AS metric, round(avg(l_extendedprice), 4) AS value FROM lineitem "
+    "UNION ALL SELECT 'max_tax', round(max(l_tax), 4) FROM lineitem "
+    "UNION ALL SELECT 'mean_discount', round(avg(l_discount), 4) FROM lineitem "
+    "UNION ALL SELECT 'rows', round(count(*), 4) FROM lineitem",
+)
+def q_rounded_metrics(spark, d):
+    li = table(spark, d, "lineitem")
+    wide = li.agg(
+        F.avg("l_extendedprice").alias("mean_price"), F.max("l_tax").alias("max_tax"),
+        F.avg("l_discount").alias("mean_discount"), F.count(F.lit(1)).alias("rows"),
+    )
+    return MT.round_metrics(MT.metrics_long(wide), "value", 4)
+
+
+@query(
+    "argmax_logits",
+    "SELECT vec_id, label, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS predicted, "
+    "CAST(list_position(embedding[1:2], list_max(embedding[1:2])) - 1 AS INTEGER) AS predicted_2 FROM embeddings",
+)
+def q_argmax_logits(spark, d):
+    emb = table(spark, d, "embeddings")
+    return emb.select("vec_id", "label", M.argmax("embedding").alias("predicted"), M.argmax(F.slice("embedding", 1, 2)).alias("predicted_2"))
+
+
+@query(
+    "sigmoid",
+    "SELECT vec_id, round(1.0 / (1.0 + exp(-CAST(embedding[1] AS DOUBLE))), 9) AS score FROM embeddings",
+)
+def q_sigmoid(spark, d):
+    emb = table(spark, d, "embeddings")
+    return emb.select("vec_id", F.round(M.sigmoid(F.col("embedding")[0].cast("double")), 9).alias("score"))
+
+
+DOC_WORDS_SQL = f"dw AS (SELECT doc_id, {sql_words('text')} AS w FROM documents)"
+
+
+@query(
+    "generation_score",
+    "WITH " + DOC_WORDS_SQL + " SELECT doc_id, len(w) - len(w) // 2 AS continuation_len, "
+    "least((len(w) - len(w) // 2) / 50.0, 1.0) AS generation_score FROM dw WHERE len(w) > 20",
+)
+def q_generation_score(spark, d):
+    """Score of each document's second half as the continuation of its first half."""
+    docs = table(spark, d, "documents").select("doc_id", TX.words("text").alias("w"))
+    cont = (F.size("w") - F.floor(F.size("w") / 2)).cast("int")
+    return docs.where(F.size("w") > 20).select("doc_id", cont.alias("continuation_len"), M.generation_score(cont).alias("generation_score"))
+
+
+def _lm_sql(n: int) -> str:
+    base = (
+        "WITH " + DOC_WORDS_SQL + ", "
+        "g AS (SELECT doc_id, unnest(w) AS token, unnest(generate_series(1, len(w))) AS pos FROM dw), "
+    )
+    if n == 1:
+        return base + (
+            "cnt AS (SELECT token, count(*) AS c FROM g GROUP BY token), "
+            "st AS (SELECT count(*) AS total, count(DISTINCT token) AS v FROM g), "
+            "s AS (SELECT g.doc_id, ln((cnt.c + 1.0) / (st.total + st.v)) AS logp FROM g JOIN cnt USING (token), st) "
+            "SELECT doc_id, count(*) AS n_tokens, round(exp(-avg(logp)), 4) AS perplexity FROM s GROUP BY doc_id"
+        )
+    return base + (
+        "g2 AS (SELECT doc_id, token, coalesce(lag(token) OVER (PARTITION BY doc_id ORDER BY pos), '<s>') AS prev FROM g), "
+        "cnt AS (SELECT prev, token, count(*) AS c FROM g2 GROUP BY prev, token), "
+        "ctx AS (SELECT prev, sum(c) AS c_ctx FROM cnt GROUP BY prev), "
+        "st AS (SELECT count(DISTINCT token) AS v FROM g2), "
+        "s AS (SELECT g2.doc_id, ln((cnt.c + 1.0) / (ctx.c_ctx + st.v)) AS logp "
+        "FROM g2 JOIN cnt USING (prev, token) JOIN ctx USING (prev), st) "
+        "SELECT doc_id, count(*) AS n_tokens, round(exp(-avg(logp)), 4) AS perplexity FROM s GROUP BY doc_id"
+    )
+
+
+def _doc_perplexity(spark, d, n: int) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    lm = LM.fit_ngram_lm(docs, "doc_id", "text", n)
+    return LM.perplexity(docs, lm, "doc_id")
+
+
+@query("unigram_perplexity", _lm_sql(1))
+def q_unigram_perplexity(spark, d):
+    return _doc_perplexity(spark, d, 1).withColumn("perplexity", F.round("perplexity", 4))
+
+
+@query("bigram_perplexity", _lm_sql(2))
+def q_bigram_perplexity(spark, d):
+    return _doc_perplexity(spark, d, 2).withColumn("perplexity", F.round("perplexity", 4))
+
+
+@query(
+    "eval_summary",
+    "WITH p AS (" + _lm_sql(2).replace("round(exp(-avg(logp)), 4)", "exp(-avg(logp))") + "), "
+    + DOC_WORDS_SQL + ", "
+    "gs AS (SELECT doc_id, least((len(w) - len(w) // 2) / 50.0, 1.0) AS score FROM dw WHERE len(w) > 20), "
+    "j AS (SELECT p.perplexity, gs.score FROM p LEFT JOIN gs USING (doc_id)) "
+    "SELECT count(perplexity) AS num_samples_evaluated, round(coalesce(avg(perplexity), 'inf'::DOUBLE), 4) AS average_perplexity, "
+    "round(coalesce(stddev_pop(perplexity), 0.0), 4) AS perplexity_std, round(coalesce(avg(score), 0.0), 6) AS average_generation_score, "
+    "round(coalesce(stddev_pop(score), 0.0), 6) AS generation_score_std FROM j",
+)
+def q_eval_summary(spark, d):
+    """Bigram-LM perplexity of every document + continuation score of long ones."""
+    ppl = _doc_perplexity(spark, d, 2)
+    docs = table(spark, d, "documents").select("doc_id", TX.words("text").alias("w"))
+    cont = F.size("w") - F.floor(F.size("w") / 2)
+    scores = docs.where(F.size("w") > 20).select("doc_id", M.generation_score(cont).alias("generation_score"))
+    summary = MT.eval_summary(ppl.join(scores, "doc_id", "left"))
+    return summary.select(
+        "num_samples_evaluated",
+        F.round("average_perplexity", 4).alias("average_perplexity"),
+        F.round("perplexity_std", 4).alias("perplexity_std"),
+        F.round("average_generation_score", 6).alias("average_generation_score"),
+        F.round("generation_score_std", 6).alias("generation_score_std"),
+    )
+
+
+@query(
+    "contract_violations",
+    "WITH " + vocab_sql() + ", " + ids_sql("documents", "doc_id")
+    + " SELECT 'logits' AS column, 'missing' AS problem, CAST(NULL AS BIGINT) AS n_rows "
+    "UNION ALL SELECT 'input_ids', 'length != 128', count_if(len(ids[1:128]) <> 128) FROM ids HAVING count_if(len(ids[1:128]) <> 128) > 0 "
+    "UNION ALL SELECT 'attention_mask', 'length != 128', count_if(len(ids[1:128]) <> 128) FROM ids HAVING count_if(len(ids[1:128]) <> 128) > 0",
+)
+def q_contract_violations(spark, d):
+    """Unpadded tokens checked against the padded model-input contract."""
+    from pyspark.sql import types as T
+
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    tok = TX.tokenise(docs, doc_vocab(spark, d), 128, key="doc_id")
+    contract = [
+        P.ColumnSpec("input_ids", T.LongType(), 128),
+        P.ColumnSpec("attention_mask", T.LongType(), 128),
+        P.ColumnSpec("logits", T.FloatType(), 2),
+    ]
+    return P.check_contract(tok, contract)
