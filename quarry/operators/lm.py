@@ -20,9 +20,14 @@ from quarry.functions.text import words
 START = "<s>"
 
 
-def ngram_rows(df: DataFrame, key: str, text_col: str = "text", n: int = 2) -> DataFrame:
-    """``(key, pos, prev, token)``; ``prev`` is the previous token or ``<s>``."""
-    w = df.select(key, words(text_col).alias("_w"))
+def ngram_rows(df: DataFrame, key: str, text_col: str = "text", n: int = 2, tokens_col: str | None = None) -> DataFrame:
+    """``(key, pos, prev, token)``; ``prev`` is the previous token or ``<s>``.
+
+    Tokens are the words of ``text_col``, or the elements of the array column
+    ``tokens_col`` (e.g. token ids) when given.
+    """
+    toks = F.col(tokens_col).cast("array<string>") if tokens_col else words(text_col)
+    w = df.select(key, toks.alias("_w"))
     if n == 1:
         return w.select(key, F.posexplode("_w").alias("pos", "token")).withColumn("prev", F.lit(None).cast("string"))
     pairs = F.transform(
@@ -45,10 +50,10 @@ class NgramLM:
     total: int
 
 
-def fit_ngram_lm(df: DataFrame, key: str, text_col: str = "text", n: int = 2) -> NgramLM:
+def fit_ngram_lm(df: DataFrame, key: str, text_col: str = "text", n: int = 2, tokens_col: str | None = None) -> NgramLM:
     if n not in (1, 2):
         raise ValueError("n must be 1 or 2")
-    rows = ngram_rows(df, key, text_col, n)
+    rows = ngram_rows(df, key, text_col, n, tokens_col)
     stats = rows.agg(F.count(F.lit(1)).alias("total"), F.countDistinct("token").alias("v")).collect()[0]
     if n == 1:
         counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("c"))
@@ -70,9 +75,9 @@ def token_log_prob(rows: DataFrame, lm: NgramLM) -> DataFrame:
     return j.withColumn("logp", logp)
 
 
-def perplexity(df: DataFrame, lm: NgramLM, key: str, text_col: str = "text") -> DataFrame:
+def perplexity(df: DataFrame, lm: NgramLM, key: str, text_col: str = "text", tokens_col: str | None = None) -> DataFrame:
     """``(key, n_tokens, perplexity)`` per row; rows without tokens are skipped."""
-    rows = ngram_rows(df, key, text_col, lm.n)
+    rows = ngram_rows(df, key, text_col, lm.n, tokens_col)
     scored = token_log_prob(rows, lm)
     return scored.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_tokens"), F.exp(-F.avg("logp")).alias("perplexity")

@@ -744,3 +744,232 @@ def q_contract_violations(spark, d):
         P.ColumnSpec("logits", T.FloatType(), 2),
     ]
     return P.check_contract(tok, contract)
+
+
+# ------------------------------------------------ fits and scoring (2.7)
+
+from quarry.operators import learners as L  # noqa: E402
+from quarry.operators import mlp as MLP  # noqa: E402
+from quarry.plans import pipelines as E  # noqa: E402
+from quarry.sources import readers as R  # noqa: E402
+from quarry.sources import sinks as S  # noqa: E402
+
+FIT_FEATURES = ["n_words", "n_lines", "n_sentences"]
+
+
+def doc_features(spark, d) -> DataFrame:
+    """Housing-for-fits stand-in: text counts of each document, target ``n_chars``."""
+    docs = table(spark, d, "documents")
+    return docs.select(
+        "doc_id",
+        F.size(TX.words("text")).cast("double").alias("n_words"),
+        F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
+        F.size(F.filter(F.split("text", "[.!?]+"), lambda s: F.trim(s) != "")).cast("double").alias("n_sentences"),
+        F.col("n_chars").cast("double").alias("target"),
+    )
+
+
+def _mlp_fixed_sql(model) -> str:
+    w1, b1, w2, b2 = model.weights
+    feats = [f"CAST({c} AS DOUBLE)" for c in model.features]
+    hidden = []
+    for j in range(w1.shape[1]):
+        terms = " + ".join(f"({float(w1[i, j])!r}) * {x}" for i, x in enumerate(feats))
+        hidden.append(f"greatest(0.0, {terms} + ({float(b1[j])!r}))")
+    out = " + ".join(f"({float(w2[j, 0])!r}) * {h}" for j, h in enumerate(hidden)) + f" + ({float(b2[0])!r})"
+    return f"SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, round({out}, 6) AS prediction FROM lineitem"
+
+
+FIXED_MLP = MLP.mlp_from_fixed(HOUSING_FEATURES, "target", [4, 8, 1], seed=7)
+
+
+@query("mlp_score_fixed_weights", _mlp_fixed_sql(FIXED_MLP))
+def q_mlp_score_fixed_weights(spark, d):
+    """Batch scoring (Arrow batches, broadcast weights) with fixed seeded weights."""
+    li = table(spark, d, "lineitem")
+    out = MLP.score_mlp(li, FIXED_MLP, keep=["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])
+    return out.withColumn("prediction", F.round("prediction", 6))
+
+
+@query("gbt_fit")
+def q_gbt_fit(spark, d):
+    """Boosted trees on document counts; validation RMSE per round (rows-only)."""
+    df = doc_features(spark, d)
+    train, valid = X.train_test_split(df, 0.25, key="doc_id", seed=1)
+    res = L.fit_gbt(train, valid, FIT_FEATURES, "target")
+    return L.gbt_round_metrics(res, spark)
+
+
+@query("mlp_fit")
+def q_mlp_fit(spark, d):
+    """MLP on document counts; train/validation MSE of the fitted model (rows-only)."""
+    df = doc_features(spark, d)
+    train, valid = X.train_test_split(df, 0.25, key="doc_id", seed=1)
+    model = MLP.fit_mlp(train, FIT_FEATURES, "target", steps=30)
+    both = X.split_column({"train": train, "validation": valid})
+    return MT.mse(MLP.score_mlp(both, model, keep=["split", "target"]), "target", "prediction", by=["split"])
+
+
+@query("als_fit")
+def q_als_fit(spark, d):
+    """Ratings stand-in -> index -> split -> ALS; MSE per split (rows-only)."""
+    r = ratings(spark, d)
+    splits = E.prepare_ratings(r, ["l_orderkey", "l_linenumber", "l_suppkey", "item_id"], 0.2, 42)
+    return E.recommender_job(splits, rank=8, iterations=5)
+
+
+@query("text_classifier_fit")
+def q_text_classifier_fit(spark, d):
+    """``lang = 'en'`` from text: confusion counts and MCC on the held-out split (rows-only)."""
+    docs = table(spark, d, "documents").select("doc_id", "text", (F.col("lang") == "en").cast("int").alias("label"))
+    train, valid = X.train_test_split(docs, 0.25, key="doc_id", seed=1)
+    model = L.fit_text_classifier(train, "text", "label", num_features=1 << 16)
+    pred = L.classify(model, valid, ["doc_id", "label"]).withColumn("argmax", M.argmax("logits"))
+    return MT.mcc(pred, "label", "argmax")
+
+
+# ------------------------------------------------------ sources & sinks
+
+TSV_RATINGS_SQL = (
+    "SELECT o.o_custkey AS user_id, l.l_partkey AS item_id, CAST(ceil(l.l_quantity / 10) AS BIGINT) AS rating, "
+    "date_diff('day', DATE '1970-01-01', CAST(l.l_shipdate AS DATE)) * 86400 AS timestamp "
+    "FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"
+)
+
+
+def ratings_for_tsv(spark, d) -> DataFrame:
+    r = ratings(spark, d)
+    days = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date"))
+    return r.select("user_id", "item_id", "rating", (days.cast("bigint") * 86400).alias("timestamp"))
+
+
+@query("ratings_tsv_roundtrip", TSV_RATINGS_SQL)
+def q_ratings_tsv_roundtrip(spark, d):
+    """Write ratings as headerless TSV, read back with the typed reader."""
+    path = R.scratch_dir(spark, "ratings-tsv")
+    ratings_for_tsv(spark, d).write.option("sep", "\t").option("header", "false").csv(path)
+    return R.read_ratings_tsv(spark, path)
+
+
+@query(
+    "split_loader",
+    _hashed_li(1)
+    + ", s AS (SELECT CASE WHEN rn <= CAST(floor(n * 0.75) AS BIGINT) THEN 'train' ELSE 'validation' END AS split, "
+    "l_orderkey, l_linenumber, CAST(l_quantity AS FLOAT) AS l_quantity FROM r) "
+    "SELECT split, l_orderkey, l_linenumber, l_quantity FROM s",
+)
+def q_split_loader(spark, d):
+    """Export splits under ``split=<name>/``, reload them by name with partition pruning."""
+    df = housing(spark, d)
+    train, valid = X.train_test_split(df, 0.25, key=HOUSING_KEY, seed=1)
+    both = X.split_column({"train": train, "validation": valid}).select(
+        "split", "l_orderkey", F.col("l_linenumber").cast("int").alias("l_linenumber"), "l_quantity"
+    )
+    root = S.export_splits(both, R.scratch_dir(spark, "splits"), "housing", "run-1")
+    loaded = R.load_splits(spark, root, splits=("train", "validation"))
+    return X.split_column(loaded).select("split", "l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query("fallback_source", "SELECT o_orderkey, o_custkey FROM orders")
+def q_fallback_source(spark, d):
+    """A missing first source falls through to the next one."""
+    paths = [f"{d}/missing_source.parquet", f"{d}/orders.parquet"]
+    return R.read_first_available(spark, paths, lambda s, p: s.read.parquet(p)).select("o_orderkey", "o_custkey")
+
+
+@query("dataset_handle", "SELECT doc_id, n_chars FROM documents")
+def q_dataset_handle(spark, d):
+    """Save behind a handle, reload by handle with the recorded schema."""
+    h = R.DatasetHandle.save(table(spark, d, "documents").select("doc_id", "n_chars"), R.scratch_dir(spark, "handle"))
+    return h.load(spark)
+
+
+@query("find_artifact")
+def q_find_artifact(spark, d):
+    """Store a fitted LM table, then locate its first data file by glob (rows-only)."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    lm = LM.fit_ngram_lm(docs, "doc_id", "text", 1)
+    root = R.scratch_dir(spark, "artifact")
+    lm.counts.write.parquet(f"{root}/run-1/checkpoint")
+    found = R.find_artifact(spark, root, "*.parquet")
+    return found.select(F.col("path").endswith(".parquet").alias("is_parquet"), (F.col("length") > 0).alias("has_bytes"))
+
+
+@query("push_results")
+def q_push_results(spark, d):
+    """Push three artifacts (two succeed, one points at a missing source) (rows-only)."""
+    root = R.scratch_dir(spark, "push")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+
+    def missing():
+        return spark.read.parquet(f"{d}/no_such_table.parquet").count()
+
+    res = S.push_all(spark, [
+        S.PushItem("datasets", "parquet", lambda: R.DatasetHandle.save(orders, f"{root}/orders").path),
+        S.PushItem("report", "json", lambda: S.write_report(spark, "orders", MT.metrics_long(orders.agg(F.avg("o_totalprice").alias("mean_price"))), f"{root}/report") and f"{root}/report"),
+        S.PushItem("missing", "parquet", missing),
+    ])
+    return res.select("name", "plugin", "success", F.col("error").isNotNull().alias("has_error"))
+
+
+@query("model_record")
+def q_model_record(spark, d):
+    """Register a model record with metrics from the data (rows-only)."""
+    li = table(spark, d, "lineitem")
+    m = li.agg(F.avg("l_extendedprice").alias("mean_price"), F.count(F.lit(1)).alias("rows")).collect()[0]
+    rec = {
+        "name": "housing-mean", "description": "mean predictor", "kind": "REGRESSION",
+        "labels": {"project": "housing"}, "metrics": {"mean_price": m["mean_price"], "rows": m["rows"]},
+        "params": {"test_size": 0.25, "seed": 1},
+    }
+    out = S.register_model(spark, rec, R.scratch_dir(spark, "registry"))
+    return out.select("name", "kind", F.size("metrics").alias("n_metrics"))
+
+
+# ------------------------------------------------------------- jobs E7-E11
+
+
+@query("job_tabular_mlp")
+def q_job_tabular_mlp(spark, d):
+    root = R.scratch_dir(spark, "job-mlp")
+    metrics, push = E.tabular_mlp_job(spark, doc_features(spark, d), "doc_id,n_words,n_lines,n_sentences,target",
+                                      ("target", "target"), "doc_id", root, steps=20)
+    return metrics.select("split", "n_rows", F.col("mse").isNotNull().alias("has_mse"))
+
+
+@query("job_tabular_gbt")
+def q_job_tabular_gbt(spark, d):
+    root = R.scratch_dir(spark, "job-gbt")
+    report, push = E.tabular_gbt_job(spark, doc_features(spark, d), "n_words,n_lines,n_sentences,target",
+                                     ("target", "target"), "doc_id", root)
+    return push.select("name", "success")
+
+
+@query("job_sentence_classifier")
+def q_job_sentence_classifier(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", F.col("text").alias("sentence"), (F.col("lang") == "en").cast("int").alias("label"))
+    parts = X.sequential_split_hashed(with_hash_key(docs, "doc_id", 1))
+    root = R.scratch_dir(spark, "job-cls")
+    S.export_splits(X.split_column(parts), root, "sentences", "run-1")
+    vocab = TX.build_vocab(parts["train"], "sentence", VOCAB_MAX)
+    splits = E.load_text_splits(spark, f"{root}/datasets/sentences/run-1", vocab, "doc_id", train_fraction=1.0)
+    raw = R.load_splits(spark, f"{root}/datasets/sentences/run-1")
+    metrics, push = E.sentence_classifier_job(spark, raw, "doc_id", "sentence", "label", root, splits)
+    return metrics.select("split", "tp", "tn", "fp", "fn")
+
+
+@query("job_instruction_eval")
+def q_job_instruction_eval(spark, d):
+    sources = {"conversations": lambda s: pairs_with_context(s, d).withColumn("row_key", F.concat_ws("-", "conv_id", "turn")).drop("conv_id", "turn")}
+    counts, summary = E.instruction_eval_job(spark, "conversations", sources, "row_key", R.scratch_dir(spark, "job-lm"),
+                                             max_length=256, sample_size=200, num_samples=50)
+    return summary.select("num_samples_evaluated", F.col("average_perplexity") > 1.0)
+
+
+@query("job_recommender")
+def q_job_recommender(spark, d):
+    root = R.scratch_dir(spark, "job-rec")
+    tsv = f"{root}/ratings"
+    ratings_for_tsv(spark, d).write.option("sep", "\t").csv(tsv)
+    splits = E.load_ratings(spark, [f"{root}/cache_missing", tsv])
+    return E.recommender_job(splits, rank=8, iterations=5).select("split", "n_rows")

@@ -158,3 +158,12 @@ def find_artifact(spark: SparkSession, root: str, name: str = "model.ubj") -> Da
         if found.take(1):
             return found
     raise FileNotFoundError(f"no artifact under {root}")
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the session's (shared) checkpoint folder."""
+    import uuid
+
+    from quarry.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-io/{name}-{uuid.uuid4().hex[:12]}"
