@@ -45,7 +45,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------- stand-ins
 
 HOUSING_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
-LI_KEY = [F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber"), F.col("l_shipdate").cast("date")]
+def li_key():
+    """Unique key of ``lineitem`` at every scale (five columns)."""
+    return [F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber"), F.col("l_shipdate").cast("date")]
 LI_KEY_SQL = "concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_shipdate AS DATE))"
 
 
@@ -63,10 +65,11 @@ def housing(spark, d) -> DataFrame:
     return P.cast_float(keyed, cols)
 
 
-# Key of the housing stand-in after the float cast (l_linenumber is a float there).
-HOUSING_KEY = [
-    F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber").cast("int"), F.col("l_shipdate").cast("date")
-]
+def housing_key():
+    """Key of the housing stand-in after the float cast (``l_linenumber`` is a float there)."""
+    return [
+        F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber").cast("int"), F.col("l_shipdate").cast("date")
+    ]
 
 
 LI_KEY_KEEP = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
@@ -157,7 +160,7 @@ def _hashed_li(seed) -> str:
 )
 def q_train_test_split(spark, d):
     df = housing(spark, d)
-    train, valid = X.train_test_split(df, 0.25, key=HOUSING_KEY, seed=1)
+    train, valid = X.train_test_split(df, 0.25, key=housing_key(), seed=1)
     parts = X.split_column({"train": train, "validation": valid})
     return parts.select("l_orderkey", "l_partkey", "l_suppkey", F.col("l_linenumber").cast("int").alias("l_linenumber"), "target", "split")
 
@@ -170,7 +173,7 @@ def q_train_test_split(spark, d):
 )
 def q_permutation_split(spark, d):
     li = table(spark, d, "lineitem").select(*LI_KEY_KEEP)
-    train, valid = X.permutation_split(li, 0.2, key=LI_KEY, seed=42)
+    train, valid = X.permutation_split(li, 0.2, key=li_key(), seed=42)
     return X.split_column({"train": train, "validation": valid}).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "split"
     )
@@ -234,7 +237,7 @@ def q_head_rows(spark, d):
 )
 def q_renumbered_rows(spark, d):
     li = table(spark, d, "lineitem").select(*LI_KEY_KEEP)
-    keyed = with_hash_key(li, LI_KEY, 1)
+    keyed = with_hash_key(li, li_key(), 1)
     return X.renumber_hashed(keyed, "row_idx").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "row_idx")
 
 
@@ -313,7 +316,7 @@ def q_catalog_sizes(spark, d):
 def q_split_summary(spark, d):
     """Flagship: housing prep + exact seeded 75/25 split, rows and mean target per split."""
     df = housing(spark, d)
-    train, valid = X.train_test_split(df, 0.25, key=HOUSING_KEY, seed=1)
+    train, valid = X.train_test_split(df, 0.25, key=housing_key(), seed=1)
     parts = X.split_column({"train": train, "validation": valid})
     return parts.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.avg("target"), 4).alias("mean_target"))
 
@@ -592,7 +595,7 @@ def q_confusion_mcc(spark, d):
 def q_mse_by_split(spark, d):
     """Mean predictor (train mean) scored per split."""
     df = housing(spark, d)
-    train, valid = X.train_test_split(df, 0.25, key=HOUSING_KEY, seed=1)
+    train, valid = X.train_test_split(df, 0.25, key=housing_key(), seed=1)
     mu = train.agg(F.avg("target")).collect()[0][0]
     both = X.split_column({"train": train, "validation": valid}).withColumn("pred", F.lit(mu))
     out = MT.mse(both, "target", "pred", by=["split"])
@@ -861,7 +864,7 @@ def q_ratings_tsv_roundtrip(spark, d):
 def q_split_loader(spark, d):
     """Export splits under ``split=<name>/``, reload them by name with partition pruning."""
     df = housing(spark, d)
-    train, valid = X.train_test_split(df, 0.25, key=HOUSING_KEY, seed=1)
+    train, valid = X.train_test_split(df, 0.25, key=housing_key(), seed=1)
     both = X.split_column({"train": train, "validation": valid}).select(
         "split", "l_orderkey", F.col("l_linenumber").cast("int").alias("l_linenumber"), "l_quantity"
     )
