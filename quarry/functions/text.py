@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.keys import rank_by
+from quarry.operators.layout import spread
 
 # Prompt layout of the instruction format.
 INSTRUCTION_HEADER = "### Instruction:\n"
@@ -78,9 +79,9 @@ def format_prompt(df: DataFrame, eos: str = EOS, keep: list[str] | None = None)
 
 
 def words(text) -> Column:
-    """Lower-cased whitespace tokens, empty strings removed."""
+    """Lower-cased whitespace tokens, empty strings removed (no lambda: stays in codegen)."""
     t = text if isinstance(text, Column) else F.col(text)
-    return F.filter(F.split(F.lower(t), TOKEN_SPLIT), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(t), TOKEN_SPLIT), "")
 
 
 @dataclass(frozen=True)
@@ -104,7 +105,8 @@ def build_vocab(df: DataFrame, text_col: str = "text", max_size: int | None = No
     """
     spark = df.sparkSession
     counts = (
-        df.select(F.explode(words(text_col)).alias("token"))
+        spread(df.select(text_col))
+        .select(F.explode(words(text_col)).alias("token"))
         .where(~F.col("token").isin(list(specials)))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -130,26 +132,30 @@ def build_vocab(df: DataFrame, text_col: str = "text", max_size: int | None = No
 
 
 # A vocabulary is broadcast for the lookup only below this many entries.
-BROADCAST_VOCAB_ROWS = 5_000_000
+BROADCAST_VOCAB_ROWS = 1_000_000
 
 
-def token_ids(df: DataFrame, vocab: Vocab, key: str, text_col: str = "text", eos: str = EOS) -> DataFrame:
+def token_ids(df: DataFrame, vocab: Vocab, key: str, text_col: str = "text", eos: str = EOS, limit: int | None = None) -> DataFrame:
     """``(key, ids array<bigint>)``: every token mapped to its id (unknown -> unk).
 
     The literal end-of-sequence marker is split off as its own token.  Rows
     explode to ``(key, pos, token)``, join the vocabulary on ``token`` and are
     gathered again per key in position order; the grouping key is the row
-    key, so no group is larger than one row's tokens.
+    key, so no group is larger than one row's tokens.  With ``limit`` only
+    the first ``limit`` tokens of a row go through the join and the gather
+    (truncation is pushed before the shuffle).
     """
     text = F.regexp_replace(F.col(text_col), F.lit(_regex_quote(eos)), F.lit(f" {eos} "))
-    toks = df.select(key, F.posexplode_outer(words(text)).alias("pos", "token"))
+    toks = spread(df.select(key, text_col), key).select(key, F.posexplode_outer(words(text)).alias("pos", "token"))
+    if limit is not None:
+        toks = toks.where(F.col("pos").isNull() | (F.col("pos") < limit))
     vt = vocab.table
     side = F.broadcast(vt) if vocab.size <= BROADCAST_VOCAB_ROWS else vt
     looked = toks.join(side, "token", "left").select(
         key, "pos", F.when(F.col("token").isNull(), F.lit(None)).otherwise(F.coalesce("id", F.lit(vocab.unk_id))).alias("id")
     )
     gathered = looked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_p"))
-    return gathered.select(key, F.filter(F.transform("_p", lambda s: s["id"]), lambda x: x.isNotNull()).alias("ids"))
+    return gathered.select(key, F.array_compact(F.col("_p")["id"]).alias("ids"))
 
 
 def _regex_quote(s: str) -> str:
@@ -159,7 +165,7 @@ def _regex_quote(s: str) -> str:
 def tokenise(df: DataFrame, vocab: Vocab, max_length: int, key: str, text_col: str = "text") -> DataFrame:
     """Truncate to ``max_length``, no padding; mask of ones; labels = ids."""
     ids = F.slice(F.col("ids"), 1, max_length)
-    return token_ids(df, vocab, key, text_col).select(
+    return token_ids(df, vocab, key, text_col, limit=max_length).select(
         key,
         ids.alias("input_ids"),
         F.transform(ids, lambda x: F.lit(1).cast("bigint")).alias("attention_mask"),
@@ -178,7 +184,7 @@ def tokenise_padded(
     body = F.slice(F.col("ids"), 1, max_length - 2)
     ids = F.concat(F.array(F.lit(vocab.bos_id).cast("bigint")), body, F.array(F.lit(vocab.eos_id).cast("bigint")))
     n_pad = F.lit(max_length) - F.size("_ids")
-    out = token_ids(df, vocab, key, text_col).select(key, ids.alias("_ids"))
+    out = token_ids(df, vocab, key, text_col, limit=max(max_length - 2, 0)).select(key, ids.alias("_ids"))
     out = out.select(
         key,
         F.concat("_ids", F.array_repeat(F.lit(vocab.pad_id).cast("bigint"), n_pad)).alias("input_ids"),

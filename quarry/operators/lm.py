@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import words
+from quarry.operators.layout import spread
+from quarry.session import ensure_checkpoint_dir
 
 START = "<s>"
 
@@ -24,21 +26,16 @@ def ngram_rows(df: DataFrame, key: str, text_col: str = "text", n: int = 2, toke
     """``(key, pos, prev, token)``; ``prev`` is the previous token or ``<s>``.
 
     Tokens are the words of ``text_col``, or the elements of the array column
-    ``tokens_col`` (e.g. token ids) when given.
+    ``tokens_col`` (e.g. token ids) when given.  Pairs come from zipping the
+    token array with itself shifted by ``<s>`` (built-ins only, no lambdas).
     """
     toks = F.col(tokens_col).cast("array<string>") if tokens_col else words(text_col)
-    w = df.select(key, toks.alias("_w"))
+    w = spread(df.select(key, tokens_col or text_col), key).select(key, toks.alias("_w"))
     if n == 1:
         return w.select(key, F.posexplode("_w").alias("pos", "token")).withColumn("prev", F.lit(None).cast("string"))
-    pairs = F.transform(
-        "_w",
-        lambda x, i: F.struct(
-            i.alias("pos"),
-            F.when(i == 0, F.lit(START)).otherwise(F.element_at(F.col("_w"), i)).alias("prev"),
-            x.alias("token"),
-        ),
-    )
-    return w.select(key, F.explode(pairs).alias("g")).select(key, "g.pos", "g.prev", "g.token")
+    shifted = w.select(key, F.concat(F.array(F.lit(START)), F.col("_w")).alias("prev"), F.col("_w").alias("token"))
+    pairs = shifted.select(key, F.posexplode(F.arrays_zip("prev", "token")).alias("pos", "g"))
+    return pairs.where(F.col("g.token").isNotNull()).select(key, "pos", "g.prev", "g.token")
 
 
 @dataclass
@@ -51,16 +48,24 @@ class NgramLM:
 
 
 def fit_ngram_lm(df: DataFrame, key: str, text_col: str = "text", n: int = 2, tokens_col: str | None = None) -> NgramLM:
+    """Count n-grams once and materialise the model tables.
+
+    The counts are the fitted model, so they are cut from the corpus lineage
+    with a reliable ``checkpoint()``; totals and the vocabulary size are read
+    from the (much smaller) count table instead of a second corpus pass.
+    """
     if n not in (1, 2):
         raise ValueError("n must be 1 or 2")
+    ensure_checkpoint_dir(df.sparkSession)
     rows = ngram_rows(df, key, text_col, n, tokens_col)
-    stats = rows.agg(F.count(F.lit(1)).alias("total"), F.countDistinct("token").alias("v")).collect()[0]
     if n == 1:
-        counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("c"))
-        return NgramLM(1, counts, None, int(stats["v"]), int(stats["total"]))
-    counts = rows.groupBy("prev", "token").agg(F.count(F.lit(1)).alias("c"))
+        counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
+        st = counts.agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("v")).collect()[0]
+        return NgramLM(1, counts, None, int(st["v"] or 0), int(st["total"] or 0))
+    counts = rows.groupBy("prev", "token").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
     context = counts.groupBy("prev").agg(F.sum("c").alias("c_ctx"))
-    return NgramLM(2, counts, context, int(stats["v"]), int(stats["total"]))
+    st = counts.agg(F.sum("c").alias("total"), F.countDistinct("token").alias("v")).collect()[0]
+    return NgramLM(2, counts, context, int(st["v"] or 0), int(st["total"] or 0))
 
 
 def token_log_prob(rows: DataFrame, lm: NgramLM) -> DataFrame:
