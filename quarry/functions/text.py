@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.joins import lookup
 from quarry.operators.keys import rank_by
 from quarry.operators.layout import spread
 
@@ -131,8 +132,8 @@ def build_vocab(df: DataFrame, text_col: str = "text", max_size: int | None = No
     )
 
 
-# A vocabulary is broadcast for the lookup only below this many entries.
-BROADCAST_VOCAB_ROWS = 1_000_000
+# Larger vocabularies are joined hot/cold: the most frequent ids are broadcast.
+HOT_VOCAB_IDS = 100_000
 
 
 def token_ids(df: DataFrame, vocab: Vocab, key: str, text_col: str = "text", eos: str = EOS, limit: int | None = None) -> DataFrame:
@@ -150,8 +151,9 @@ def token_ids(df: DataFrame, vocab: Vocab, key: str, text_col: str = "text", eos
     if limit is not None:
         toks = toks.where(F.col("pos").isNull() | (F.col("pos") < limit))
     vt = vocab.table
-    side = F.broadcast(vt) if vocab.size <= BROADCAST_VOCAB_ROWS else vt
-    looked = toks.join(side, "token", "left").select(
+    # Ids are ranked by frequency, so the first HOT_VOCAB_IDS entries are the hot tokens.
+    hot = vt.where(F.col("id") < HOT_VOCAB_IDS)
+    looked = lookup(toks, vt, ["token"], vocab.size, "left", hot).select(
         key, "pos", F.when(F.col("token").isNull(), F.lit(None)).otherwise(F.coalesce("id", F.lit(vocab.unk_id))).alias("id")
     )
     gathered = looked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_p"))

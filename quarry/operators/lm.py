@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import words
+from quarry.operators.joins import HOT_SHARE, lookup
 from quarry.operators.layout import spread
 from quarry.session import ensure_checkpoint_dir
 
@@ -45,6 +46,8 @@ class NgramLM:
     context: DataFrame | None  # (prev, c_ctx) for n = 2
     vocab_size: int
     total: int
+    n_grams: int = 0  # rows of ``counts``
+    n_contexts: int = 0  # rows of ``context``
 
 
 def fit_ngram_lm(df: DataFrame, key: str, text_col: str = "text", n: int = 2, tokens_col: str | None = None) -> NgramLM:
@@ -61,21 +64,29 @@ def fit_ngram_lm(df: DataFrame, key: str, text_col: str = "text", n: int = 2, to
     if n == 1:
         counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
         st = counts.agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("v")).collect()[0]
-        return NgramLM(1, counts, None, int(st["v"] or 0), int(st["total"] or 0))
+        v = int(st["v"] or 0)
+        return NgramLM(1, counts, None, v, int(st["total"] or 0), v, 0)
     counts = rows.groupBy("prev", "token").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
     context = counts.groupBy("prev").agg(F.sum("c").alias("c_ctx"))
-    st = counts.agg(F.sum("c").alias("total"), F.countDistinct("token").alias("v")).collect()[0]
-    return NgramLM(2, counts, context, int(st["v"] or 0), int(st["total"] or 0))
+    st = counts.agg(
+        F.sum("c").alias("total"), F.countDistinct("token").alias("v"), F.count(F.lit(1)).alias("g"),
+        F.countDistinct("prev").alias("p"),
+    ).collect()[0]
+    return NgramLM(2, counts, context, int(st["v"] or 0), int(st["total"] or 0), int(st["g"] or 0), int(st["p"] or 0))
 
 
 def token_log_prob(rows: DataFrame, lm: NgramLM) -> DataFrame:
     """Rows of ``ngram_rows`` with ``logp`` (natural log, add-one smoothing)."""
     v = F.lit(float(lm.vocab_size))
+    # n-grams holding >= 1/HOT_SHARE of all tokens are at most HOT_SHARE rows: broadcast them.
+    hot_c = lm.counts.where(F.col("c") * F.lit(HOT_SHARE) >= F.lit(lm.total))
     if lm.n == 1:
-        j = rows.join(lm.counts, "token", "left")
+        j = lookup(rows, lm.counts, ["token"], lm.n_grams, "left", hot_c)
         logp = F.log((F.coalesce("c", F.lit(0)).cast("double") + 1.0) / (F.lit(float(lm.total)) + v))
         return j.withColumn("logp", logp)
-    j = rows.join(lm.counts, ["prev", "token"], "left").join(lm.context, "prev", "left")
+    hot_ctx = lm.context.where(F.col("c_ctx") * F.lit(HOT_SHARE) >= F.lit(lm.total))
+    j = lookup(rows, lm.counts, ["prev", "token"], lm.n_grams, "left", hot_c)
+    j = lookup(j, lm.context, ["prev"], lm.n_contexts, "left", hot_ctx)
     logp = F.log((F.coalesce("c", F.lit(0)).cast("double") + 1.0) / (F.coalesce("c_ctx", F.lit(0)).cast("double") + v))
     return j.withColumn("logp", logp)
 

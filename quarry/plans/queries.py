@@ -337,30 +337,18 @@ def sql_words(text_sql: str) -> str:
 
 
 PAIRS_SQL = (
-    "c AS (SELECT conv_id, turn, role, text, "
-    "lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_role, "
-    "lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_text, "
-    "lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role, "
-    "lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text FROM conversations), "
-    "pairs AS (SELECT conv_id, turn, text AS instruction, "
-    "CASE WHEN prev_role = 'system' THEN prev_text ELSE '' END AS input, next_text AS output "
-    "FROM c WHERE role = 'user' AND next_role = 'assistant')"
+    "u AS (SELECT conv_id, turn, text FROM conversations WHERE role = 'user'), "
+    "a AS (SELECT conv_id, turn - 1 AS turn, text FROM conversations WHERE role = 'assistant'), "
+    "sy AS (SELECT conv_id, turn + 1 AS turn, text FROM conversations WHERE role = 'system'), "
+    "pairs AS (SELECT u.conv_id, u.turn, u.text AS instruction, coalesce(sy.text, '') AS input, a.text AS output "
+    "FROM u JOIN a ON u.conv_id = a.conv_id AND u.turn = a.turn "
+    "LEFT JOIN sy ON u.conv_id = sy.conv_id AND u.turn = sy.turn)"
 )
 
 
 def pairs_with_context(spark, d) -> DataFrame:
     """Instruction pairs whose ``input`` is a system turn right before the user turn."""
-    from pyspark.sql import Window
-
-    conv = table(spark, d, "conversations")
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    ctx = conv.select(
-        "conv_id", "turn",
-        F.when(F.lag("role").over(w) == "system", F.lag("text").over(w)).otherwise(F.lit("")).alias("input"),
-    )
-    return instruction_pairs(conv).drop("input").join(ctx, ["conv_id", "turn"], "inner").select(
-        "conv_id", "turn", "instruction", "input", "output"
-    )
+    return instruction_pairs(table(spark, d, "conversations"), with_context=True)
 
 
 INSTR_PROMPT_SQL = (

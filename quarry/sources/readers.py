@@ -87,22 +87,29 @@ def dummy_instructions(spark: SparkSession, n: int) -> DataFrame:
     )
 
 
-def instruction_pairs(conversations: DataFrame) -> DataFrame:
-    """Conversation turns as instruction rows: a user turn and the next assistant turn."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    nxt = conversations.select(
-        "conv_id",
-        "turn",
-        "role",
-        "text",
-        F.lead("role").over(w).alias("next_role"),
-        F.lead("text").over(w).alias("next_text"),
-    )
-    return nxt.where((F.col("role") == "user") & (F.col("next_role") == "assistant")).select(
-        "conv_id", "turn", F.col("text").alias("instruction"), F.lit("").alias("input"), F.col("next_text").alias("output")
+def instruction_pairs(conversations: DataFrame, with_context: bool = False) -> DataFrame:
+    """Instruction rows from conversation turns: a user turn ``t`` and the
+    assistant turn ``t + 1`` of the same conversation.
+
+    With ``with_context`` the system turn ``t - 1`` (if any) becomes ``input``.
+    Pairs are equi-joins on the unique ``(conv_id, turn)`` key rather than a
+    window over each conversation, so one very long conversation is spread
+    over many tasks instead of being sorted in one.
+    """
+    c = conversations.select("conv_id", "turn", "role", "text")
+    user = c.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("instruction"))
+    nxt = c.where(F.col("role") == "assistant").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("output")
     )
+    pairs = user.join(nxt, ["conv_id", "turn"], "inner")
+    if with_context:
+        sys_prev = c.where(F.col("role") == "system").select(
+            "conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("input")
+        )
+        pairs = pairs.join(sys_prev, ["conv_id", "turn"], "left").withColumn("input", F.coalesce("input", F.lit("")))
+    else:
+        pairs = pairs.withColumn("input", F.lit(""))
+    return pairs.select("conv_id", "turn", "instruction", "input", "output")
 
 
 def load_instructions(spark: SparkSession, name: str, sample_size: int, sources: dict[str, Callable[[SparkSession], DataFrame]],
