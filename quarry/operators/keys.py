@@ -73,7 +73,14 @@ class Boundary:
     key: str
 
     def at_or_before(self) -> Column:
-        return (F.col(H) < F.lit(self.h)) | ((F.col(H) == F.lit(self.h)) & (F.col(K) <= F.lit(self.key)))
+        """``(h, key) <= (self.h, self.key)`` as one struct comparison (lexicographic),
+        so the hash is evaluated once per row rather than once per disjunct."""
+        return position() <= F.struct(F.lit(self.h).cast("bigint").alias(H), F.lit(self.key).alias(K))
+
+
+def position() -> Column:
+    """The row's place in seeded hash order, as a comparable struct."""
+    return F.struct(F.col(H).alias(H), F.col(K).alias(K))
 
 
 class HashOrder:

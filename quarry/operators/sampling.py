@@ -62,6 +62,30 @@ def _cut(df: DataFrame, key, seed, cut_fn) -> tuple[DataFrame, DataFrame]:
     return drop_hash_key(keyed.where(pred)), drop_hash_key(keyed.where(~pred))
 
 
+def label_by_cutoffs(keyed: DataFrame, order: HashOrder, cuts: list[tuple[str, int]], last: str, name: str = "split") -> DataFrame:
+    """One pass: ``name`` = first label whose cut-off (row count) covers the row.
+
+    ``cuts`` are ``(label, first_k)`` in increasing ``first_k``; rows beyond the
+    last cut get ``last``.  Every label is decided by literal boundaries, so
+    a re-executed task labels its rows the same way.
+    """
+    expr = None
+    for label, k in cuts:
+        b = order.boundary(k)
+        cond = F.lit(True) if b is None else b.at_or_before()
+        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
+    return keyed.withColumn(name, expr.otherwise(F.lit(last)) if expr is not None else F.lit(last))
+
+
+def train_test_labelled(df: DataFrame, test_size: float = 0.25, key=None, seed: int = 1,
+                        names: tuple[str, str] = ("train", "validation")) -> DataFrame:
+    """``train_test_split`` as one frame with a ``split`` column (one scan for both sides)."""
+    keyed = with_hash_key(df, key, seed)
+    order = HashOrder(keyed)
+    k = int(order.count() * (1.0 - test_size))
+    return drop_hash_key(label_by_cutoffs(keyed, order, [(names[0], k)], names[1]))
+
+
 def train_test_split(df: DataFrame, test_size: float = 0.25, key=None, seed: int = 1) -> tuple[DataFrame, DataFrame]:
     """Shuffled split; train gets ``int(n * (1 - test_size))`` rows."""
     return _cut(df, key, seed, lambda n: int(n * (1.0 - test_size)))
@@ -143,6 +167,8 @@ __all__ = [
     "sequential_cutoffs",
     "sequential_split",
     "sequential_split_hashed",
+    "label_by_cutoffs",
     "split_column",
+    "train_test_labelled",
     "train_test_split",
 ]

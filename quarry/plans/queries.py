@@ -160,8 +160,7 @@ def _hashed_li(seed) -> str:
 )
 def q_train_test_split(spark, d):
     df = housing(spark, d)
-    train, valid = X.train_test_split(df, 0.25, key=housing_key(), seed=1)
-    parts = X.split_column({"train": train, "validation": valid})
+    parts = X.train_test_labelled(df, 0.25, key=housing_key(), seed=1)
     return parts.select("l_orderkey", "l_partkey", "l_suppkey", F.col("l_linenumber").cast("int").alias("l_linenumber"), "target", "split")
 
 
@@ -173,8 +172,7 @@ def q_train_test_split(spark, d):
 )
 def q_permutation_split(spark, d):
     li = table(spark, d, "lineitem").select(*LI_KEY_KEEP)
-    train, valid = X.permutation_split(li, 0.2, key=li_key(), seed=42)
-    return X.split_column({"train": train, "validation": valid}).select(
+    return X.train_test_labelled(li, 0.2, key=li_key(), seed=42).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "split"
     )
 
@@ -316,8 +314,7 @@ def q_catalog_sizes(spark, d):
 def q_split_summary(spark, d):
     """Flagship: housing prep + exact seeded 75/25 split, rows and mean target per split."""
     df = housing(spark, d)
-    train, valid = X.train_test_split(df, 0.25, key=housing_key(), seed=1)
-    parts = X.split_column({"train": train, "validation": valid})
+    parts = X.train_test_labelled(df, 0.25, key=housing_key(), seed=1)
     return parts.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.avg("target"), 4).alias("mean_target"))
 
 
@@ -582,10 +579,9 @@ def q_confusion_mcc(spark, d):
 )
 def q_mse_by_split(spark, d):
     """Mean predictor (train mean) scored per split."""
-    df = housing(spark, d)
-    train, valid = X.train_test_split(df, 0.25, key=housing_key(), seed=1)
-    mu = train.agg(F.avg("target")).collect()[0][0]
-    both = X.split_column({"train": train, "validation": valid}).withColumn("pred", F.lit(mu))
+    both = X.train_test_labelled(housing(spark, d), 0.25, key=housing_key(), seed=1)
+    mu = both.where(F.col("split") == "train").agg(F.avg("target")).collect()[0][0]
+    both = both.withColumn("pred", F.lit(mu))
     out = MT.mse(both, "target", "pred", by=["split"])
     return out.select("split", F.round(F.sqrt("mse"), 3).alias("rmse"), "n_rows")
 
@@ -851,9 +847,7 @@ def q_ratings_tsv_roundtrip(spark, d):
 )
 def q_split_loader(spark, d):
     """Export splits under ``split=<name>/``, reload them by name with partition pruning."""
-    df = housing(spark, d)
-    train, valid = X.train_test_split(df, 0.25, key=housing_key(), seed=1)
-    both = X.split_column({"train": train, "validation": valid}).select(
+    both = X.train_test_labelled(housing(spark, d), 0.25, key=housing_key(), seed=1).select(
         "split", "l_orderkey", F.col("l_linenumber").cast("int").alias("l_linenumber"), "l_quantity"
     )
     root = S.export_splits(both, R.scratch_dir(spark, "splits"), "housing", "run-1")
