@@ -442,7 +442,7 @@ def q_tokenise_truncate(spark, d):
     tok = TX.tokenise(docs, doc_vocab(spark, d), 128, key="doc_id")
     return tok.select(
         "doc_id", aj("input_ids").alias("input_ids"), aj("attention_mask").alias("attention_mask"), aj("labels").alias("labels"),
-        F.size("input_ids").alias("n_tokens"),
+        F.size("input_ids").cast("bigint").alias("n_tokens"),
     )
 
 
@@ -508,7 +508,7 @@ INSTR_IDS_SQL = (
 )
 def q_length_filter(spark, d):
     _, tok = instruction_tokens(spark, d, 64)
-    return P.filter_length(tok, "input_ids", 10, 64).select("row_key", F.size("input_ids").alias("n_tokens"))
+    return P.filter_length(tok, "input_ids", 10, 64).select("row_key", F.size("input_ids").cast("bigint").alias("n_tokens"))
 
 
 @query(
@@ -550,7 +550,7 @@ def q_step_counts(spark, d):
 def q_prompt_half(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     ids = TX.token_ids(docs, doc_vocab(spark, d), "doc_id")
-    return ids.select("doc_id", aj(M.prompt_half("ids")).alias("prompt_ids"), F.size(M.prompt_half("ids")).alias("prompt_len"))
+    return ids.select("doc_id", aj(M.prompt_half("ids")).alias("prompt_ids"), F.size(M.prompt_half("ids")).cast("bigint").alias("prompt_len"))
 
 
 # ------------------------------------------------------ metrics (2.5/2.6)
@@ -560,8 +560,9 @@ from quarry.operators import lm as LM  # noqa: E402
 
 @query(
     "confusion_mcc",
-    "WITH c AS (SELECT count_if(quality = 1 AND toxic = 1) AS tp, count_if(quality <> 1 AND toxic <> 1) AS tn, "
-    "count_if(quality <> 1 AND toxic = 1) AS fp, count_if(quality = 1 AND toxic <> 1) AS fn FROM labels) "
+    "WITH c AS (SELECT CAST(count_if(quality = 1 AND toxic = 1) AS BIGINT) AS tp, "
+    "CAST(count_if(quality <> 1 AND toxic <> 1) AS BIGINT) AS tn, "
+    "CAST(count_if(quality <> 1 AND toxic = 1) AS BIGINT) AS fp, CAST(count_if(quality = 1 AND toxic <> 1) AS BIGINT) AS fn FROM labels) "
     "SELECT tp, tn, fp, fn, round(CASE WHEN sqrt((tp + fp)::DOUBLE * (tp + fn) * (tn + fp) * (tn + fn)) = 0 THEN 0.0 "
     "ELSE (tp::DOUBLE * tn - fp::DOUBLE * fn) / sqrt((tp + fp)::DOUBLE * (tp + fn) * (tn + fp) * (tn + fn)) END, 12) AS mcc FROM c",
 )
@@ -643,7 +644,7 @@ DOC_WORDS_SQL = f"dw AS (SELECT doc_id, {sql_words('text')} AS w FROM documents)
 def q_generation_score(spark, d):
     """Score of each document's second half as the continuation of its first half."""
     docs = table(spark, d, "documents").select("doc_id", TX.words("text").alias("w"))
-    cont = (F.size("w") - F.floor(F.size("w") / 2)).cast("int")
+    cont = (F.size("w") - F.floor(F.size("w") / 2)).cast("bigint")
     return docs.where(F.size("w") > 20).select("doc_id", cont.alias("continuation_len"), M.generation_score(cont).alias("generation_score"))
 
 

@@ -48,6 +48,11 @@ def compare(spark_df, con, sql: str) -> tuple[bool, str]:
         return False, f"columns differ: {sorted(s.columns)} vs {sorted(o.columns)}"
     if len(s) != len(o):
         return False, f"row counts differ: {len(s)} vs {len(o)}"
+    st = {c: str(s[c].dtype) for c in s.columns}
+    ot = {c: str(o[c].dtype) for c in o.columns}
+    if len(s) and st != ot:
+        diff = {c: (st[c], ot[c]) for c in st if st[c] != ot[c]}
+        return False, f"column types differ (spark, oracle): {diff}"
     rs, ro = rows_of(s), rows_of(o)
     for a, b in zip(rs, ro):
         if a != b:
