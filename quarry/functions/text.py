@@ -150,14 +150,16 @@ def token_ids(df: DataFrame, vocab: Vocab, key: str, text_col: str = "text", eos
     toks = spread(df.select(key, text_col), key).select(key, F.posexplode_outer(words(text)).alias("pos", "token"))
     if limit is not None:
         toks = toks.where(F.col("pos").isNull() | (F.col("pos") < limit))
-    vt = vocab.table
+    # private column names so that a row key called "id" or "token" cannot collide
+    vt = vocab.table.select(F.col("token").alias("_qtok"), F.col("id").alias("_qtid"))
+    toks = toks.withColumnRenamed("token", "_qtok")
     # Ids are ranked by frequency, so the first HOT_VOCAB_IDS entries are the hot tokens.
-    hot = vt.where(F.col("id") < HOT_VOCAB_IDS)
-    looked = lookup(toks, vt, ["token"], vocab.size, "left", hot).select(
-        key, "pos", F.when(F.col("token").isNull(), F.lit(None)).otherwise(F.coalesce("id", F.lit(vocab.unk_id))).alias("id")
+    hot = vt.where(F.col("_qtid") < HOT_VOCAB_IDS)
+    looked = lookup(toks, vt, ["_qtok"], vocab.size, "left", hot).select(
+        key, "pos", F.when(F.col("_qtok").isNull(), F.lit(None)).otherwise(F.coalesce("_qtid", F.lit(vocab.unk_id))).alias("_qtid")
     )
-    gathered = looked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_p"))
-    return gathered.select(key, F.array_compact(F.col("_p")["id"]).alias("ids"))
+    gathered = looked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "_qtid"))).alias("_p"))
+    return gathered.select(key, F.array_compact(F.col("_p")["_qtid"]).alias("ids"))
 
 
 def _regex_quote(s: str) -> str:

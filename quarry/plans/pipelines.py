@@ -128,14 +128,18 @@ def load_ratings(spark: SparkSession, paths: list[str], val_fraction: float = 0.
 # ------------------------------------------------------------ E5
 
 
-def coalesce_inputs(df: DataFrame, vocab: TX.Vocab | None, key: str, max_length: int = 512) -> DataFrame:
-    """M7: rows with ids keep them (labels default to ids); text rows are tokenised."""
+def coalesce_inputs(df: DataFrame, vocab: TX.Vocab | None, key: str, max_length: int = 512,
+                    carry: list[str] | None = None) -> DataFrame:
+    """M7: rows with ids keep them (labels default to ids); text rows are tokenised;
+    rows with neither are skipped.  ``carry`` columns are kept."""
     cols = set(df.columns)
+    carry = carry or []
     if "input_ids" in cols:
         labels = F.coalesce(F.col("labels"), F.col("input_ids")) if "labels" in cols else F.col("input_ids")
-        return df.select(key, "input_ids", labels.alias("labels"))
+        return df.select(key, "input_ids", labels.alias("labels"), *carry)
     if "text" in cols and vocab is not None:
-        return TX.tokenise(df, vocab, max_length, key=key).select(key, "input_ids", "labels")
+        tok = TX.tokenise(df, vocab, max_length, key=key).select(key, "input_ids", "labels")
+        return tok.join(df.select(key, *carry), key, "inner") if carry else tok
     return df.sparkSession.createDataFrame([], f"{key} string, input_ids array<bigint>, labels array<bigint>")
 
 
@@ -148,11 +152,11 @@ def evaluate_lm(test: DataFrame, lm: LM.NgramLM, key: str, num_samples: int = 10
     the generated length; without it the reference continuation (the second
     half of the row) is scored.
     """
-    rows = coalesce_inputs(X.head(test, num_samples, key), vocab, key)
+    extra = [generated_len] if generated_len else []
+    rows = coalesce_inputs(X.head(test, num_samples, key), vocab, key, carry=extra)
     ppl = LM.perplexity(rows, lm, key, tokens_col="labels")
     n = F.size("input_ids")
     gen = F.col(generated_len) if generated_len else (n - F.size(M.prompt_half("input_ids")))
-    extra = [generated_len] if generated_len else []
     scored = rows.select(key, "input_ids", *extra).where(n > 20).select(key, M.generation_score(gen).alias("generation_score"))
     summary = MT.eval_summary(ppl.join(scored, key, "left"))
     return summary.select(

@@ -959,3 +959,18 @@ def q_job_recommender(spark, d):
     ratings_for_tsv(spark, d).write.option("sep", "\t").csv(tsv)
     splits = E.load_ratings(spark, [f"{root}/cache_missing", tsv])
     return E.recommender_job(splits, rank=8, iterations=5).select("split", "n_rows")
+
+
+@query(
+    "describe_first_row",
+    "SELECT 'struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_shipdate:timestamp_ntz,l_quantity:float,"
+    "l_discount:float,l_tax:float,l_linenumber:float,target:float>' AS schema, "
+    "l_orderkey, CAST(l_linenumber AS FLOAT) AS l_linenumber, CAST(l_extendedprice AS FLOAT) AS target "
+    "FROM lineitem ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate LIMIT 1",
+)
+def q_describe_first_row(spark, d):
+    """Schema string of the prepared housing frame and its first row by key."""
+    df = housing(spark, d)
+    schema, _ = P.describe(df.limit(0))
+    first = X.head(df, 1, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"])
+    return first.select(F.lit(schema).alias("schema"), "l_orderkey", "l_linenumber", "target")
