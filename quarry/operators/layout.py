@@ -13,7 +13,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 
 
+def _has_exchange(df: DataFrame) -> bool:
+    """Whether the physical plan already shuffles or broadcasts (read from the plan, nothing runs)."""
+    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def spread(df: DataFrame, key=None, min_partitions: int | None = None) -> DataFrame:
+    # Asking an adaptive plan with exchanges for its partitions would run its
+    # shuffle stages; such an input is already shuffle-partitioned anyway.
+    if _has_exchange(df):
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df

@@ -49,3 +49,12 @@ def test_lm_and_tokens_large_path(spark, monkeypatch):
     for a, b in zip(got_p, want_p):
         assert a[0] == b[0] and a[1] == b[1] and abs(a[2] - b[2]) < 1e-9
     assert _rows(TX.tokenise(docs, vocab, 5, key="k")) == want_t
+
+
+def test_spread(spark):
+    from quarry.operators.layout import spread
+
+    one = spark.range(100).coalesce(1)
+    assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    shuffled = spark.range(100).groupBy((F.col("id") % 3).alias("k")).count()
+    assert spread(shuffled, "k") is shuffled
