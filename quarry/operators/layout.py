@@ -30,3 +30,18 @@ def spread(df: DataFrame, key=None, min_partitions: int | None = None) -> DataFr
         return df.repartition(target)
     keys = [key] if isinstance(key, (str, Column)) else list(key)
     return df.repartition(target, *keys)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the session's reliable checkpoint folder and read it back.
+
+    Used before exact splits of expensive inputs: the cut-off search scans its
+    input more than once (key columns only) and every split side scans it
+    again, so a join- or tokenisation-derived input is computed once instead
+    of once per pass.  A reliable checkpoint (not a local one) survives the
+    loss of the executors that wrote it.
+    """
+    from quarry.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

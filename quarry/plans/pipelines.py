@@ -23,6 +23,7 @@ from quarry.operators import metrics as MT
 from quarry.operators import mlp as MLP
 from quarry.operators import sampling as X
 from quarry.operators.keys import with_hash_key
+from quarry.operators.layout import materialize
 from quarry.sources import readers as R
 from quarry.sources import sinks as S
 
@@ -86,7 +87,7 @@ def prepare_finetune_dataset(spark: SparkSession, dataset_name: str, sources: di
     prompts = TX.format_prompt(loaded, keep=[key])
     vocab = TX.build_vocab(prompts, "text", vocab_size)
     tok = TX.tokenise(prompts, vocab, max_length, key=key)
-    kept = P.filter_length(tok, "input_ids", 10, max_length)
+    kept = materialize(P.filter_length(tok, "input_ids", 10, max_length))
     if sampled:
         parts = X.sequential_split_hashed(with_hash_key(kept, key, seed))
     else:
@@ -113,7 +114,7 @@ def prepare_ratings(ratings: DataFrame, key, val_fraction: float = 0.2, seed: in
     iidx = A.dense_index(ratings, "item_id", "item_idx")
     sizes = A.catalog_sizes(ratings, {"num_users": "user_id", "num_items": "item_id"}).collect()[0]
     indexed = A.apply_index(A.apply_index(ratings, uidx, "user_id", sizes["num_users"]), iidx, "item_id", sizes["num_items"])
-    norm = P.normalise(indexed, "rating", 1.0, 5.0, "rating_norm")
+    norm = materialize(P.normalise(indexed, "rating", 1.0, 5.0, "rating_norm"))
     train, valid = X.permutation_split(norm, val_fraction, key=key, seed=seed)
     keep = ["user_idx", "item_idx", "rating_norm"]
     return RatingSplits(train.select(*keep), valid.select(*keep), int(sizes["num_users"]), int(sizes["num_items"]))
