@@ -136,11 +136,22 @@ def split_column(parts: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+# Above this many rows, head() ranks instead of gathering the top rows in one task.
+TOP_K_ROWS = 100_000
+
+
 def head(df: DataFrame, n: int, order_cols) -> DataFrame:
-    """First ``n`` rows by an explicit order (distributed top-k)."""
+    """First ``n`` rows by an explicit (unique) order.
+
+    Small ``n`` is a distributed top-k (each task keeps its best ``n``, one
+    task merges them); a large ``n`` would make that merge task hold ``n``
+    rows, so it becomes a distributed rank and a filter instead.
+    """
     if isinstance(order_cols, (str, Column)):
         order_cols = [order_cols]
-    return df.orderBy(*order_cols).limit(n)
+    if n <= TOP_K_ROWS:
+        return df.orderBy(*order_cols).limit(n)
+    return rank_by(df, order_cols, "_qpos").where(F.col("_qpos") < n).drop("_qpos")
 
 
 def renumber(df: DataFrame, order_cols, name: str = "row_idx") -> DataFrame:

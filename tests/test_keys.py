@@ -104,3 +104,11 @@ def test_key_text_columns(spark):
     df = spark.createDataFrame([(1, "a", None)], "x long, y string, z string")
     r = with_hash_key(df, ["x", "y", "z"], 9).select(K, H).collect()[0]
     assert r[K] == "1|a" and r[H] == py_hash("1|a", 9)
+
+
+def test_head_large_path(spark, monkeypatch):
+    df = frame(spark, 300, 3)
+    want = sorted(r["k"] for r in X.head(df, 50, [F.col("v").desc(), "k"]).collect())
+    monkeypatch.setattr(X, "TOP_K_ROWS", 10)
+    got = sorted(r["k"] for r in X.head(df, 50, [F.col("v").desc(), "k"]).collect())
+    assert got == want and len(got) == 50
