@@ -150,31 +150,29 @@ def first_k_predicate(order: HashOrder, k: int) -> Column:
     return F.lit(True) if b is None else b.at_or_before()
 
 
-def hash_rank(keyed: DataFrame, name: str, rows_per_bucket: int = 2_000_000, max_bits: int = 14) -> DataFrame:
+def hash_rank(keyed: DataFrame, name: str, rows_per_bucket: int = 1_000_000, max_bits: int = 20) -> DataFrame:
     """0-based gapless row number in ``(h, key)`` order, fully distributed.
 
-    The hash is uniform, so its high bits give evenly filled buckets: one
-    aggregate counts each bucket, the driver turns the counts into literal
-    offsets, and ``row_number`` runs per bucket.  No bucket holds more than
-    about ``rows_per_bucket`` rows unless the data exceeds
-    ``rows_per_bucket * 2^max_bits`` rows.
+    The hash is uniform, so its high bits give evenly filled buckets.  The
+    bucket count is picked from the row count so that a bucket holds about
+    ``rows_per_bucket`` rows (up to ``2^max_bits`` buckets, i.e. ~10^12 rows);
+    per-bucket counts become offsets by a running sum over at most
+    ``2^max_bits`` rows, which are broadcast back (a proven size bound), and
+    ``row_number`` runs inside each bucket.  Nothing is collected but the
+    row count.
     """
-    fine = keyed.groupBy(F.shiftright(F.col(H), HASH_BITS - max_bits).alias("b")).count().collect()
-    n = sum(int(r["count"]) for r in fine)
+    n = keyed.count()
     bits = 0
     while bits < max_bits and n > rows_per_bucket * (1 << bits):
         bits += 1
-    sizes = [0] * (1 << bits)
-    for r in fine:
-        sizes[int(r["b"]) >> (max_bits - bits)] += int(r["count"])
-    offsets, acc = [], 0
-    for s in sizes:
-        offsets.append(acc)
-        acc += s
     bucket = F.shiftright(F.col(H), HASH_BITS - bits)
-    offset = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), (bucket + 1).cast("int"))
-    w = Window.partitionBy(bucket).orderBy(F.col(H), F.col(K))
-    return keyed.withColumn(name, (F.row_number().over(w) - 1).cast("bigint") + offset)
+    with_b = keyed.withColumn("_qb", bucket)
+    counts = with_b.groupBy("_qb").agg(F.count(F.lit(1)).alias("_qn"))
+    before = Window.orderBy("_qb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_qb", F.coalesce(F.sum("_qn").over(before), F.lit(0)).cast("bigint").alias("_qoff"))
+    joined = with_b.join(F.broadcast(offsets), "_qb", "inner")
+    w = Window.partitionBy("_qb").orderBy(F.col(H), F.col(K))
+    return joined.withColumn(name, (F.row_number().over(w) - 1).cast("bigint") + F.col("_qoff")).drop("_qb", "_qoff")
 
 
 def rank_by(df: DataFrame, order_cols, name: str, num_partitions: int | None = None) -> DataFrame:
