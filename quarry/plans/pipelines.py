@@ -112,7 +112,8 @@ def prepare_ratings(ratings: DataFrame, key, val_fraction: float = 0.2, seed: in
     """E4 after reading: dense user/item index, normalised rating, permutation split."""
     uidx = A.dense_index(ratings, "user_id", "user_idx")
     iidx = A.dense_index(ratings, "item_id", "item_idx")
-    sizes = A.catalog_sizes(ratings, {"num_users": "user_id", "num_items": "item_id"}).collect()[0]
+    # catalog sizes = index sizes (the indexes are materialised, counting them is cheap)
+    sizes = {"num_users": uidx.count(), "num_items": iidx.count()}
     indexed = A.apply_index(A.apply_index(ratings, uidx, "user_id", sizes["num_users"]), iidx, "item_id", sizes["num_items"])
     norm = materialize(P.normalise(indexed, "rating", 1.0, 5.0, "rating_norm"))
     train, valid = X.permutation_split(norm, val_fraction, key=key, seed=seed)

@@ -802,7 +802,7 @@ def q_mlp_fit(spark, d):
 def q_als_fit(spark, d):
     """Ratings stand-in -> index -> split -> ALS; MSE per split (rows-only)."""
     r = ratings(spark, d)
-    splits = E.prepare_ratings(r, ["l_orderkey", "l_linenumber", "l_suppkey", "item_id"], 0.2, 42)
+    splits = E.prepare_ratings(r, ["l_orderkey", "l_linenumber", "l_suppkey", "item_id", F.col("l_shipdate").cast("date")], 0.2, 42)
     return E.recommender_job(splits, rank=8, iterations=5)
 
 
