@@ -80,3 +80,18 @@ def test_pad_batches(spark):
     assert all(len(r["input_ids"]) % 8 == 0 for r in out.values())
     assert out[0]["labels"][:1] == [1] and out[0]["labels"][1:] == [-100] * 7
     assert out[4]["padded_len"] == 8
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_vocab_and_tokens_partition_invariant(spark, parts):
+    base = spark.createDataFrame(
+        [(i, " ".join(f"w{(i * j) % 13}" for j in range(1, 12))) for i in range(40)], "k int, text string"
+    )
+    ref_v = TX.build_vocab(base.coalesce(1), "text")
+    ref = sorted(tuple(r) for r in ref_v.table.collect())
+    ref_t = sorted((r["k"], tuple(r["input_ids"])) for r in TX.tokenise(base.coalesce(1), ref_v, 8, key="k").collect())
+    df = base.repartition(parts)
+    v = TX.build_vocab(df, "text")
+    assert sorted(tuple(r) for r in v.table.collect()) == ref
+    got = sorted((r["k"], tuple(r["input_ids"])) for r in TX.tokenise(df, v, 8, key="k").collect())
+    assert got == ref_t
