@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 
 import duckdb
 import pandas as pd
@@ -25,7 +26,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return round(v, int(os.environ.get("QUARRY_ORACLE_DIGITS", "6"))) if os.environ.get("QUARRY_ORACLE_DIGITS", "6") != "exact" else v
     if hasattr(v, "item"):
         return _norm(v.item())
     if isinstance(v, (list, tuple)):
