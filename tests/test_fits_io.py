@@ -124,3 +124,20 @@ def test_entry_smoke(spark):
     rows = E.entry(spark).collect()
     assert {r["split"] for r in rows} == {"train", "validation"}
     assert sum(r["n_rows"] for r in rows) == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+
+
+def test_score_dispatch(spark):
+    from quarry.operators.scoring import score
+
+    df = spark.createDataFrame([(1, 1.0, 2.0)], "k int, a double, b double")
+    model = MLP.mlp_from_fixed(["a", "b"], "y", [2, 3, 1])
+    out = score(df, model, ["k"])
+    assert out.columns == ["k", "prediction"]
+
+    class Const:
+        def score(self, df, keep):
+            return df.select(*keep, F.lit(0.5).alias("p"))
+
+    assert score(df, Const(), ["k"]).collect()[0]["p"] == 0.5
+    with pytest.raises(TypeError):
+        score(df, object(), ["k"])
