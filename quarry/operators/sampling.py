@@ -114,16 +114,48 @@ def sequential_split_hashed(keyed: DataFrame, train: float = 0.8, val: float = 0
     }
 
 
+class OrderPositions:
+    """Rank of each distinct (unique, ascending) order key, computed once.
+
+    Only the order columns are ranked and checkpointed; ``keys_at`` brings at
+    most ``len(positions)`` rows to the driver.
+    """
+
+    def __init__(self, df: DataFrame, order_cols: list[str]):
+        self.order_cols = order_cols
+        self.ranked = rank_by(df.select(*order_cols), [F.col(c) for c in order_cols], "_qpos")
+        self.n = self.ranked.count()
+
+    def keys_at(self, positions: list[int]) -> dict[int, tuple]:
+        wanted = [p for p in positions if 0 <= p < self.n]
+        rows = self.ranked.where(F.col("_qpos").isin(wanted)).collect() if wanted else []
+        return {int(r["_qpos"]): tuple(r[c] for c in self.order_cols) for r in rows}
+
+
+def _at_or_before(df: DataFrame, order_cols: list[str], key: tuple | None) -> Column:
+    if key is None:
+        return F.lit(False)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    bound = F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(order_cols, key)])
+    return F.struct(*[F.col(c).alias(c) for c in order_cols]) <= bound
+
+
 def sequential_split(df: DataFrame, order_cols, train: float = 0.8, val: float = 0.1) -> dict[str, DataFrame]:
-    """80/10/10 by position in the order of ``order_cols`` (no shuffle)."""
-    ranked = rank_by(df, order_cols, "_qpos")
-    n = ranked.count()
-    a, b = sequential_cutoffs(n, train, val)
-    pos = F.col("_qpos")
+    """80/10/10 by position in the ascending order of ``order_cols`` (unique, no shuffle of the rows).
+
+    The boundary keys are found by ranking the order columns alone; the split
+    itself is two literal tuple comparisons on the original rows.
+    """
+    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    pos = OrderPositions(df, order_cols)
+    a, b = sequential_cutoffs(pos.n, train, val)
+    keys = pos.keys_at([a - 1, b - 1])
+    first_a = _at_or_before(df, order_cols, keys.get(a - 1))
+    first_b = _at_or_before(df, order_cols, keys.get(b - 1))
     return {
-        "train": ranked.where(pos < a).drop("_qpos"),
-        "validation": ranked.where((pos >= a) & (pos < b)).drop("_qpos"),
-        "test": ranked.where(pos >= b).drop("_qpos"),
+        "train": df.where(first_a),
+        "validation": df.where(~first_a & first_b),
+        "test": df.where(~first_b),
     }
 
 
@@ -178,6 +210,7 @@ __all__ = [
     "sequential_cutoffs",
     "sequential_split",
     "sequential_split_hashed",
+    "OrderPositions",
     "label_by_cutoffs",
     "split_column",
     "train_test_labelled",
