@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quarry.fixed import GENERATION_CAP_TOKENS
+
 
 def _c(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)
@@ -26,6 +28,6 @@ def prompt_half(ids) -> Column:
     return F.slice(x, 1, F.floor(F.size(x) / 2).cast("int"))
 
 
-def generation_score(generated_len, cap_len: int = 50) -> Column:
+def generation_score(generated_len, cap_len: int = GENERATION_CAP_TOKENS) -> Column:
     """``min(generated_len / cap_len, 1.0)``."""
     return F.least(_c(generated_len).cast("double") / F.lit(float(cap_len)), F.lit(1.0))

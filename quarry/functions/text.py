@@ -18,15 +18,18 @@ from quarry.operators.joins import lookup
 from quarry.operators.keys import rank_by
 from quarry.operators.layout import spread
 
-# Prompt layout of the instruction format.
-INSTRUCTION_HEADER = "### Instruction:\n"
-INPUT_HEADER = "### Input:\n"
-RESPONSE_HEADER = "### Response:\n"
-SECTION_BREAK = "\n\n"
-QUESTION_PREFIX = "Question: "
-ANSWER_PREFIX = "\nAnswer: "
-# Label value ignored by the loss for padded positions.
-IGNORE_INDEX = -100
+from quarry.fixed import (  # noqa: E402
+    ANSWER_PREFIX,
+    IGNORE_INDEX,
+    INPUT_HEADER,
+    INSTRUCTION_HEADER,
+    PAD_MULTIPLE,
+    PADDED_LENGTH,
+    QUESTION_PREFIX,
+    RESPONSE_HEADER,
+    SECTION_BREAK,
+)
+
 # Special tokens of our vocabulary, in id order.
 PAD, UNK, BOS, EOS = "<pad>", "<unk>", "<s>", "</s>"
 DEFAULT_SPECIALS = (PAD, UNK, BOS, EOS)
@@ -178,7 +181,7 @@ def tokenise(df: DataFrame, vocab: Vocab, max_length: int, key: str, text_col: s
 
 
 def tokenise_padded(
-    df: DataFrame, vocab: Vocab, max_length: int = 128, key: str = "id", text_col: str = "text", carry: list[str] | None = None
+    df: DataFrame, vocab: Vocab, max_length: int = PADDED_LENGTH, key: str = "id", text_col: str = "text", carry: list[str] | None = None
 ) -> DataFrame:
     """``<s>`` + tokens + ``</s>`` truncated to and padded up to ``max_length``.
 
@@ -202,7 +205,7 @@ def tokenise_padded(
     return out
 
 
-def pad_batches(df: DataFrame, batch_col: str, pad_id: int, multiple: int = 8, ids: str = "input_ids") -> DataFrame:
+def pad_batches(df: DataFrame, batch_col: str, pad_id: int, multiple: int = PAD_MULTIPLE, ids: str = "input_ids") -> DataFrame:
     """Pad each batch to its longest row rounded up to a multiple of ``multiple``.
 
     ``batch_col`` is a batch number (e.g. ``floor(row_idx / batch_size)``);

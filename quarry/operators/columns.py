@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.fixed import MIN_TOKENS
+
 
 def parse_columns(spec: str) -> list[str]:
     """Comma list of column names, split as given (no trimming)."""
@@ -67,7 +69,7 @@ def assemble(df: DataFrame, feature_cols: list[str], name: str = "features") ->
     return df.withColumn(name, F.array(*[F.col(c) for c in feature_cols]).cast("array<float>"))
 
 
-def filter_length(df: DataFrame, col: str = "input_ids", lo: int = 10, hi: int = 2048) -> DataFrame:
+def filter_length(df: DataFrame, col: str = "input_ids", lo: int = MIN_TOKENS, hi: int = 2048) -> DataFrame:
     """Keep rows with ``lo <= size(col) <= hi`` (both ends inclusive)."""
     return df.where(F.size(col).between(lo, hi))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.fixed import METRIC_DIGITS
+
 
 def _c(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)
@@ -90,7 +92,7 @@ def eval_summary(df: DataFrame, perplexity: str = "perplexity", score: str = "ge
     )
 
 
-def round_metrics(df: DataFrame, value: str = "value", digits: int = 4) -> DataFrame:
+def round_metrics(df: DataFrame, value: str = "value", digits: int = METRIC_DIGITS) -> DataFrame:
     """Round metric values half-up to ``digits`` decimals (NULL stays NULL)."""
     return df.withColumn(value, F.round(_c(value), digits))
 

@@ -10,6 +10,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.fixed import (
+    RATING_VAL_FRACTION,
+    SENTENCE_SEED,
+    SEQUENTIAL_TRAIN,
+    SEQUENTIAL_VAL,
+    SHUFFLE_SEED,
+    TABULAR_SEED,
+    TEST_SIZE,
+)
+
 from quarry.operators.keys import (
     H,
     K,
@@ -23,7 +33,7 @@ from quarry.operators.keys import (
 )
 
 
-def sample_n_keyed(df: DataFrame, n: int, key, seed: int = 42) -> tuple[DataFrame, bool]:
+def sample_n_keyed(df: DataFrame, n: int, key, seed: int = SHUFFLE_SEED) -> tuple[DataFrame, bool]:
     """First ``n`` rows in seeded hash order when ``n`` is below the row count.
 
     Returns the keyed frame (hash columns kept, so later steps can keep the
@@ -37,19 +47,19 @@ def sample_n_keyed(df: DataFrame, n: int, key, seed: int = 42) -> tuple[DataFram
     return keyed.where(first_k_predicate(order, n)), True
 
 
-def sample_n(df: DataFrame, n: int, key, seed: int = 42) -> DataFrame:
+def sample_n(df: DataFrame, n: int, key, seed: int = SHUFFLE_SEED) -> DataFrame:
     """Shuffle with ``seed`` and keep the first ``n`` rows, only if ``n < rows``."""
     return drop_hash_key(sample_n_keyed(df, n, key, seed)[0])
 
 
-def sample_capped(df: DataFrame, n: int, key, seed: int = 1) -> DataFrame:
+def sample_capped(df: DataFrame, n: int, key, seed: int = TABULAR_SEED) -> DataFrame:
     """``min(n, rows)`` rows in seeded order; ``n == 0`` keeps everything."""
     if n <= 0:
         return df
     return sample_n(df, n, key, seed)
 
 
-def sample_fraction(df: DataFrame, fraction: float, key, seed: int = 1) -> DataFrame:
+def sample_fraction(df: DataFrame, fraction: float, key, seed: int = SENTENCE_SEED) -> DataFrame:
     """Independent per-row sample: a narrow hash filter, pushed before later work."""
     return drop_hash_key(with_hash_key(df, key, seed).where(hash_fraction_predicate(fraction)))
 
@@ -77,7 +87,7 @@ def label_by_cutoffs(keyed: DataFrame, order: HashOrder, cuts: list[tuple[str, i
     return keyed.withColumn(name, expr.otherwise(F.lit(last)) if expr is not None else F.lit(last))
 
 
-def train_test_labelled(df: DataFrame, test_size: float = 0.25, key=None, seed: int = 1,
+def train_test_labelled(df: DataFrame, test_size: float = TEST_SIZE, key=None, seed: int = TABULAR_SEED,
                         names: tuple[str, str] = ("train", "validation")) -> DataFrame:
     """``train_test_split`` as one frame with a ``split`` column (one scan for both sides)."""
     keyed = with_hash_key(df, key, seed)
@@ -86,23 +96,23 @@ def train_test_labelled(df: DataFrame, test_size: float = 0.25, key=None, seed:
     return drop_hash_key(label_by_cutoffs(keyed, order, [(names[0], k)], names[1]))
 
 
-def train_test_split(df: DataFrame, test_size: float = 0.25, key=None, seed: int = 1) -> tuple[DataFrame, DataFrame]:
+def train_test_split(df: DataFrame, test_size: float = TEST_SIZE, key=None, seed: int = TABULAR_SEED) -> tuple[DataFrame, DataFrame]:
     """Shuffled split; train gets ``int(n * (1 - test_size))`` rows."""
     return _cut(df, key, seed, lambda n: int(n * (1.0 - test_size)))
 
 
-def permutation_split(df: DataFrame, val_fraction: float = 0.2, key=None, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def permutation_split(df: DataFrame, val_fraction: float = RATING_VAL_FRACTION, key=None, seed: int = SHUFFLE_SEED) -> tuple[DataFrame, DataFrame]:
     """Permutation split with cut-off ``int(n * (1 - val_fraction))``."""
     return _cut(df, key, seed, lambda n: int(n * (1.0 - val_fraction)))
 
 
-def sequential_cutoffs(n: int, train: float = 0.8, val: float = 0.1) -> tuple[int, int]:
+def sequential_cutoffs(n: int, train: float = SEQUENTIAL_TRAIN, val: float = SEQUENTIAL_VAL) -> tuple[int, int]:
     """Positions ``int(train*n)`` and ``int(train*n) + int(val*n)``; the rest is test."""
     a = int(train * n)
     return a, a + int(val * n)
 
 
-def sequential_split_hashed(keyed: DataFrame, train: float = 0.8, val: float = 0.1) -> dict[str, DataFrame]:
+def sequential_split_hashed(keyed: DataFrame, train: float = SEQUENTIAL_TRAIN, val: float = SEQUENTIAL_VAL) -> dict[str, DataFrame]:
     """80/10/10 by position in seeded hash order (after ``sample_n_keyed``)."""
     order = HashOrder(keyed)
     a, b = sequential_cutoffs(order.count(), train, val)
@@ -140,7 +150,7 @@ def _at_or_before(df: DataFrame, order_cols: list[str], key: tuple | None) -> Co
     return F.struct(*[F.col(c).alias(c) for c in order_cols]) <= bound
 
 
-def sequential_split(df: DataFrame, order_cols, train: float = 0.8, val: float = 0.1) -> dict[str, DataFrame]:
+def sequential_split(df: DataFrame, order_cols, train: float = SEQUENTIAL_TRAIN, val: float = SEQUENTIAL_VAL) -> dict[str, DataFrame]:
     """80/10/10 by position in the ascending order of ``order_cols`` (unique, no shuffle of the rows).
 
     The boundary keys are found by ranking the order columns alone; the split

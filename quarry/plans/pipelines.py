@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry import fixed as fx
 from quarry.functions import math as M
 from quarry.functions import text as TX
 from quarry.operators import columns as P
@@ -38,7 +39,7 @@ class Prepared:
 
 
 def feature_prep(df: DataFrame, columns: str, target: tuple[str, str], key, out_root: str,
-                 test_size: float = 0.25, seed: int = 1, keep_key: list[str] | None = None) -> Prepared:
+                 test_size: float = fx.TEST_SIZE, seed: int = fx.TABULAR_SEED, keep_key: list[str] | None = None) -> Prepared:
     """E1: rename the target, select the comma list, seeded split, save both splits."""
     cols = P.parse_columns(columns)
     renamed = P.rename(df, {target[0]: target[1]})
@@ -75,7 +76,7 @@ class FinetuneData:
 
 def prepare_finetune_dataset(spark: SparkSession, dataset_name: str, sources: dict, key: str, out_root: str,
                              max_length: int = 2048, sample_size: int = 10000, vocab_size: int = 50000,
-                             seed: int = 42) -> FinetuneData:
+                             seed: int = fx.SHUFFLE_SEED) -> FinetuneData:
     """E3: load by name, seeded sample, prompt text, tokenise, length filter, 80/10/10, save.
 
     When a sample was taken, the 80/10/10 positions follow the seeded
@@ -108,20 +109,20 @@ class RatingSplits:
     num_items: int
 
 
-def prepare_ratings(ratings: DataFrame, key, val_fraction: float = 0.2, seed: int = 42) -> RatingSplits:
+def prepare_ratings(ratings: DataFrame, key, val_fraction: float = fx.RATING_VAL_FRACTION, seed: int = fx.SHUFFLE_SEED) -> RatingSplits:
     """E4 after reading: dense user/item index, normalised rating, permutation split."""
     uidx = A.dense_index(ratings, "user_id", "user_idx")
     iidx = A.dense_index(ratings, "item_id", "item_idx")
     # catalog sizes = index sizes (the indexes are materialised, counting them is cheap)
     sizes = {"num_users": uidx.count(), "num_items": iidx.count()}
     indexed = A.apply_index(A.apply_index(ratings, uidx, "user_id", sizes["num_users"]), iidx, "item_id", sizes["num_items"])
-    norm = materialize(P.normalise(indexed, "rating", 1.0, 5.0, "rating_norm"))
+    norm = materialize(P.normalise(indexed, "rating", fx.RATING_MIN, fx.RATING_MAX, "rating_norm"))
     train, valid = X.permutation_split(norm, val_fraction, key=key, seed=seed)
     keep = ["user_idx", "item_idx", "rating_norm"]
     return RatingSplits(train.select(*keep), valid.select(*keep), int(sizes["num_users"]), int(sizes["num_items"]))
 
 
-def load_ratings(spark: SparkSession, paths: list[str], val_fraction: float = 0.2, seed: int = 42) -> RatingSplits:
+def load_ratings(spark: SparkSession, paths: list[str], val_fraction: float = fx.RATING_VAL_FRACTION, seed: int = fx.SHUFFLE_SEED) -> RatingSplits:
     """E4: first available TSV -> typed ratings -> ``prepare_ratings``."""
     df = R.read_first_available(spark, paths, R.read_ratings_tsv)
     return prepare_ratings(df, ["user_id", "item_id", "timestamp"], val_fraction, seed)
@@ -159,7 +160,7 @@ def evaluate_lm(test: DataFrame, lm: LM.NgramLM, key: str, num_samples: int = 10
     ppl = LM.perplexity(rows, lm, key, tokens_col="labels")
     n = F.size("input_ids")
     gen = F.col(generated_len) if generated_len else (n - F.size(M.prompt_half("input_ids")))
-    scored = rows.select(key, "input_ids", *extra).where(n > 20).select(key, M.generation_score(gen).alias("generation_score"))
+    scored = rows.select(key, "input_ids", *extra).where(n > fx.GENERATION_MIN_TOKENS).select(key, M.generation_score(gen).alias("generation_score"))
     summary = MT.eval_summary(ppl.join(scored, key, "left"))
     return summary.select(
         "*", F.lit(model_name).alias("model_name"), F.lit(checkpoint_path).alias("checkpoint_path"), F.lit("cpu").alias("device")
@@ -170,7 +171,7 @@ def evaluate_lm(test: DataFrame, lm: LM.NgramLM, key: str, num_samples: int = 10
 
 
 def load_text_splits(spark: SparkSession, root: str, vocab: TX.Vocab, key: str, text: str = "sentence", label: str = "label",
-                     max_length: int = 128, train_fraction: float = 0.01, seed: int = 1) -> dict[str, DataFrame]:
+                     max_length: int = fx.PADDED_LENGTH, train_fraction: float = fx.SENTENCE_SAMPLE_FRACTION, seed: int = fx.SENTENCE_SEED) -> dict[str, DataFrame]:
     """E6: named splits, 1 % seeded sample of train (before tokenising), padded tokens."""
     splits = R.load_splits(spark, root)
     out = {}

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.fixed import SHUFFLE_SEED
+
 log = logging.getLogger(__name__)
 
 RATINGS_SCHEMA = T.StructType(
@@ -79,11 +81,12 @@ def read_first_available(spark: SparkSession, paths: list[str], reader: Callable
 
 def dummy_instructions(spark: SparkSession, n: int) -> DataFrame:
     """Offline stand-in rows ``instruction, input, output``; at most 1,000."""
-    # Text of the offline stand-in rows.
-    return spark.range(min(n, 1000)).select(
-        F.format_string("What is the capital of country %d?", "id").alias("instruction"),
-        F.lit("").alias("input"),
-        F.format_string("The capital of country %d is City %d.", "id", "id").alias("output"),
+    from quarry.fixed import DUMMY_INPUT, DUMMY_INSTRUCTION, DUMMY_MAX_ROWS, DUMMY_OUTPUT
+
+    return spark.range(min(n, DUMMY_MAX_ROWS)).select(
+        F.format_string(DUMMY_INSTRUCTION, "id").alias("instruction"),
+        F.lit(DUMMY_INPUT).alias("input"),
+        F.format_string(DUMMY_OUTPUT, "id", "id").alias("output"),
     )
 
 
@@ -113,7 +116,7 @@ def instruction_pairs(conversations: DataFrame, with_context: bool = False) -> D
 
 
 def load_instructions(spark: SparkSession, name: str, sample_size: int, sources: dict[str, Callable[[SparkSession], DataFrame]],
-                      key=None, seed: int = 42) -> DataFrame:
+                      key=None, seed: int = SHUFFLE_SEED) -> DataFrame:
     """Source dispatch by name, then a seeded ``sample_size`` sample.
 
     An unknown name raises ``ValueError``.
