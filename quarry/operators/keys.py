@@ -9,9 +9,9 @@ instead.  The same hash can be written in SQL on any engine that has ``md5``::
 Ties on ``h`` (only possible for duplicate keys) are broken by the key text.
 
 Exact cut-offs ("the first k rows in hash order") never sort the data: a
-histogram of the high hash bits (one small aggregate) locates the bucket that
-holds row k, and the search recurses into that bucket until it is small
-enough to bring its ``(h, key)`` pairs to the driver.  The result is a
+materialised count per high-bit hash bucket locates the bucket that holds
+row k, and that bucket's ``(h, key)`` pairs (a few ten thousand rows even at
+10^12 rows) are brought to the driver.  The result is a
 literal boundary, so the split itself is a plain filter that Catalyst can
 push into the scan and that gives the same rows on every re-execution.
 """
@@ -65,6 +65,23 @@ def hash_fraction_predicate(fraction: float) -> Column:
     return F.col(H) < F.lit(int(fraction * (1 << HASH_BITS)))
 
 
+def estimated_rows(df: DataFrame) -> int:
+    """Row estimate from Catalyst statistics (size / row width); nothing is executed."""
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        rc = stats.rowCount()  # py4j gives None or a Scala Option
+        if isinstance(rc, int):
+            return rc
+        if rc is not None and rc.isDefined():
+            return int(str(rc.get()))
+        size = stats.sizeInBytes()  # py4j turns the BigInt into a Python int
+        size = size if isinstance(size, int) else int(str(size))
+        width = max(int(df._jdf.schema().defaultSize()), 1)
+        return size // width
+    except Exception:  # noqa: BLE001 - estimates are advisory
+        return 1 << 40
+
+
 @dataclass(frozen=True)
 class Boundary:
     """The ``(h, key)`` of one row; rows at or before it pass ``at_or_before``."""
@@ -86,62 +103,149 @@ def position() -> Column:
 class HashOrder:
     """Rows of a keyed frame in ``(h, key)`` order, without sorting them.
 
-    ``fanout_bits`` high bits form the first histogram (at most ``2^fanout_bits``
-    groups reach the driver); the search goes one level deeper while the
-    bucket that holds the wanted row has more than ``leaf_rows`` rows.
+    One pass counts rows per fine bucket (the top ``fine_bits`` hash bits,
+    sized from the optimizer's row estimate); up to ``2^14`` buckets the counts
+    are simply collected, above that the count table (at most ``2^fine_bits``
+    rows) is checkpointed.  The driver
+    reads a ``2^coarse_bits``-row coarse view of it and, for each wanted row,
+    the fine counts inside one coarse bucket, which locates the fine bucket
+    holding that row.  A second pass brings the ``(h, key)`` pairs of those
+    fine buckets (about ``n / 2^fine_bits`` rows each) to the driver.  So any
+    cut-off of up to ~10^12 rows costs two passes over the key columns; a
+    fine bucket above ``leaf_rows`` rows is narrowed further by recursive
+    histograms restricted to its hash range.
     """
 
-    def __init__(self, keyed: DataFrame, fanout_bits: int = 14, leaf_rows: int = 50_000):
+    def __init__(self, keyed: DataFrame, fine_bits: int | None = None, coarse_bits: int = 12, leaf_rows: int = 100_000,
+                 fanout_bits: int = 12):
         self.slim = keyed.select(H, K)
-        self.fanout_bits = fanout_bits
+        if fine_bits is None:
+            # ~leaf/4 rows per fine bucket by the optimizer's size estimate (no job runs);
+            # a wrong estimate only changes speed: a bigger count table or one narrowing pass.
+            fine_bits = 10
+            while fine_bits < 24 and estimated_rows(self.slim) > (leaf_rows // 4) << fine_bits:
+                fine_bits += 1
+        self.fine_bits = fine_bits
+        self.coarse_bits = min(coarse_bits, fine_bits)
         self.leaf_rows = leaf_rows
-        self._top = None
+        self.fanout_bits = fanout_bits
+        self._fine = None
+        self._coarse = None
+
+    # -- pass 1: fine counts, materialised once
+    def _fine_counts(self) -> DataFrame:
+        if self._fine is None:
+            ensure_checkpoint_dir(self.slim.sparkSession)
+            b = F.shiftright(F.col(H), HASH_BITS - self.fine_bits).alias("b")
+            self._fine = self.slim.groupBy(b).agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+        return self._fine
+
+    # Fine tables up to this many buckets are simply collected (one job, no checkpoint).
+    DIRECT_BITS = 14
+
+    def _direct(self) -> list[tuple[int, int]]:
+        if self._fine is None:
+            b = F.shiftright(F.col(H), HASH_BITS - self.fine_bits).alias("b")
+            rows = self.slim.groupBy(b).agg(F.count(F.lit(1)).alias("n")).collect()
+            self._fine = sorted((int(r["b"]), int(r["n"])) for r in rows)
+        return self._fine
+
+    def _coarse_counts(self) -> list[tuple[int, int]]:
+        if self.fine_bits <= self.DIRECT_BITS:
+            return self._direct()
+        if self._coarse is None:
+            shift = self.fine_bits - self.coarse_bits
+            rows = self._fine_counts().groupBy(F.shiftright("b", shift).alias("cb")).agg(F.sum("n").alias("n")).collect()
+            self._coarse = sorted((int(r["cb"]), int(r["n"])) for r in rows)
+        return self._coarse
+
+    def count(self) -> int:
+        return sum(c for _, c in self._coarse_counts())
+
+    def _locate(self, k: int) -> tuple[int, int, int] | None:
+        """(fine bucket, rows before it, rows in it) for the k-th row (1-based)."""
+        if self.fine_bits <= self.DIRECT_BITS:
+            before = 0
+            for b, c in self._direct():
+                if before + c >= k:
+                    return b, before, c
+                before += c
+            return None
+        before = 0
+        for cb, c in self._coarse_counts():
+            if before + c >= k:
+                break
+            before += c
+        else:
+            return None
+        shift = self.fine_bits - self.coarse_bits
+        fine = self._fine_counts().where(F.shiftright("b", shift) == F.lit(cb)).collect()
+        for r in sorted(fine, key=lambda r: r["b"]):
+            if before + r["n"] >= k:
+                return int(r["b"]), before, int(r["n"])
+            before += int(r["n"])
+        raise AssertionError("fine counts disagree with coarse counts")
 
     def _histogram(self, lo: int, width: int) -> list[tuple[int, int]]:
         shift = max(width - self.fanout_bits, 0)
         h = F.col(H)
-        rng = self.slim if width >= HASH_BITS else self.slim.where((h >= F.lit(lo)) & (h < F.lit(lo + (1 << width))))
+        rng = self.slim.where((h >= F.lit(lo)) & (h < F.lit(lo + (1 << width))))
         rows = rng.groupBy(F.shiftright(h - F.lit(lo), shift).alias("b")).count().collect()
         return sorted((int(r["b"]), int(r["count"])) for r in rows)
 
-    def top_histogram(self) -> list[tuple[int, int]]:
-        if self._top is None:
-            self._top = self._histogram(0, HASH_BITS)
-        return self._top
-
-    def count(self) -> int:
-        return sum(c for _, c in self.top_histogram())
-
-    def boundary(self, k: int) -> Boundary | None:
-        """Boundary of the k-th row (1-based); ``None`` if ``k`` covers all rows.
-
-        ``k <= 0`` returns a boundary below every row.
-        """
-        if k <= 0:
-            return Boundary(-1, "")
-        lo, width, before = 0, HASH_BITS, 0
-        hist = self.top_histogram()
+    def _narrow(self, lo: int, width: int, before: int, k: int) -> tuple[int, int, int]:
+        """Recurse inside an oversized bucket until the row's bucket is small."""
         while True:
             shift = max(width - self.fanout_bits, 0)
             cum = 0
-            for b, c in hist:
+            for b, c in self._histogram(lo, width):
                 if before + cum + c >= k:
                     break
                 cum += c
-            else:
-                return None  # fewer than k rows
             before += cum
             lo, width = lo + (b << shift), shift
             if c <= self.leaf_rows:
-                break
+                return lo, width, before
             if width == 0:
                 raise ValueError(f"sampling key is not unique: {c} rows share one hash value")
-            hist = self._histogram(lo, width)
-        h = F.col(H)
-        rows = self.slim.where((h >= F.lit(lo)) & (h < F.lit(lo + (1 << width)))).collect()
-        rows.sort(key=lambda r: (r[0], r[1]))  # str order = UTF-8 byte order = Spark order
-        row = rows[k - before - 1]
-        return Boundary(int(row[0]), row[1])
+
+    def boundaries(self, ks: list[int]) -> dict[int, Boundary | None]:
+        """Boundary of each k-th row (1-based); ``None`` if ``k`` covers all rows;
+        ``k <= 0`` gives a boundary below every row.  One collecting pass for all ks."""
+        out: dict[int, Boundary | None] = {}
+        ranges = {}  # k -> (lo, width, before)
+        width_fine = HASH_BITS - self.fine_bits
+        for k in ks:
+            if k <= 0:
+                out[k] = Boundary(-1, "")
+                continue
+            loc = self._locate(k)
+            if loc is None:
+                out[k] = None
+                continue
+            fb, before, c = loc
+            lo = fb << width_fine
+            if c > self.leaf_rows:
+                ranges[k] = self._narrow(lo, width_fine, before, k)
+            else:
+                ranges[k] = (lo, width_fine, before)
+        if ranges:
+            h = F.col(H)
+            spans = sorted({(lo, width) for lo, width, _ in ranges.values()})
+            cond = None
+            for lo, width in spans:
+                c = (h >= F.lit(lo)) & (h < F.lit(lo + (1 << width)))
+                cond = c if cond is None else cond | c
+            rows = self.slim.where(cond).collect()
+            rows.sort(key=lambda r: (r[0], r[1]))  # str order = UTF-8 byte order = Spark order
+            for k, (lo, width, before) in ranges.items():
+                inside = [r for r in rows if lo <= r[0] < lo + (1 << width)]
+                row = inside[k - before - 1]
+                out[k] = Boundary(int(row[0]), row[1])
+        return out
+
+    def boundary(self, k: int) -> Boundary | None:
+        return self.boundaries([k])[k]
 
 
 def first_k_predicate(order: HashOrder, k: int) -> Column:

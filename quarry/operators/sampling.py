@@ -80,8 +80,9 @@ def label_by_cutoffs(keyed: DataFrame, order: HashOrder, cuts: list[tuple[str, i
     a re-executed task labels its rows the same way.
     """
     expr = None
+    bounds = order.boundaries([k for _, k in cuts])
     for label, k in cuts:
-        b = order.boundary(k)
+        b = bounds[k]
         cond = F.lit(True) if b is None else b.at_or_before()
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return keyed.withColumn(name, expr.otherwise(F.lit(last)) if expr is not None else F.lit(last))
@@ -116,7 +117,8 @@ def sequential_split_hashed(keyed: DataFrame, train: float = SEQUENTIAL_TRAIN, v
     """80/10/10 by position in seeded hash order (after ``sample_n_keyed``)."""
     order = HashOrder(keyed)
     a, b = sequential_cutoffs(order.count(), train, val)
-    first_a, first_b = first_k_predicate(order, a), first_k_predicate(order, b)
+    bounds = order.boundaries([a, b])
+    first_a, first_b = (F.lit(True) if bounds[x] is None else bounds[x].at_or_before() for x in (a, b))
     return {
         "train": drop_hash_key(keyed.where(first_a)),
         "validation": drop_hash_key(keyed.where(~first_a & first_b)),

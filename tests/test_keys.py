@@ -24,15 +24,32 @@ def test_hash_matches_python(spark):
 
 
 @pytest.mark.parametrize("k", [0, 1, 2, 77, 499, 500, 600])
-def test_first_k_exact(spark, k):
+@pytest.mark.parametrize("narrow", [False, True])
+def test_first_k_exact(spark, k, narrow):
     n = 500
     keyed = with_hash_key(frame(spark, n), "k", 3)
-    order = HashOrder(keyed, fanout_bits=3, leaf_rows=5)  # forces several levels
+    # narrow=True: 16 fine buckets of ~31 rows > leaf 5, so the recursive narrowing runs
+    order = HashOrder(keyed, fine_bits=4, coarse_bits=2, leaf_rows=5, fanout_bits=3) if narrow else HashOrder(keyed)
     got = sorted(r["k"] for r in keyed.where(first_k_predicate(order, k)).select("k").collect())
     brute = sorted(range(n), key=lambda i: (py_hash(str(i), 3), str(i)))[: min(k, n)]
     assert got == sorted(brute)
 
 
+def test_boundaries_many_cuts_one_pass(spark):
+    n = 700
+    keyed = with_hash_key(frame(spark, n), "k", 11)
+    order = HashOrder(keyed, fine_bits=6, coarse_bits=3)
+    assert order.count() == n
+    brute = sorted(range(n), key=lambda i: (py_hash(str(i), 11), str(i)))
+    ks = [1, 350, 351, 699, 700, 701]
+    bounds = order.boundaries(ks)
+    for k in ks:
+        if k > n:
+            assert bounds[k] is None
+        else:
+            assert bounds[k].key == str(brute[k - 1])
+
+
 @pytest.mark.parametrize("parts", [1, 3, 7])
 def test_split_partition_invariant(spark, parts):
     df = frame(spark, 2000, parts)
@@ -97,7 +114,7 @@ def test_duplicate_keys_rejected(spark):
     df = spark.range(200).select(F.lit(1).alias("k"))
     keyed = with_hash_key(df, "k", 1)
     with pytest.raises(ValueError):
-        HashOrder(keyed, fanout_bits=30, leaf_rows=10).boundary(50)
+        HashOrder(keyed, fine_bits=8, leaf_rows=10, fanout_bits=30).boundary(50)
 
 
 def test_key_text_columns(spark):
