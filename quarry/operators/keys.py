@@ -129,7 +129,8 @@ class HashOrder:
         self.coarse_bits = min(coarse_bits, fine_bits)
         self.leaf_rows = leaf_rows
         self.fanout_bits = fanout_bits
-        self._fine = None
+        self._fine = None  # checkpointed count table (large fine tables)
+        self._fine_list = None  # collected counts (small fine tables)
         self._coarse = None
 
     # -- pass 1: fine counts, materialised once
@@ -144,11 +145,11 @@ class HashOrder:
     DIRECT_BITS = 14
 
     def _direct(self) -> list[tuple[int, int]]:
-        if self._fine is None:
+        if self._fine_list is None:
             b = F.shiftright(F.col(H), HASH_BITS - self.fine_bits).alias("b")
             rows = self.slim.groupBy(b).agg(F.count(F.lit(1)).alias("n")).collect()
-            self._fine = sorted((int(r["b"]), int(r["n"])) for r in rows)
-        return self._fine
+            self._fine_list = sorted((int(r["b"]), int(r["n"])) for r in rows)
+        return self._fine_list
 
     def _coarse_counts(self) -> list[tuple[int, int]]:
         if self.fine_bits <= self.DIRECT_BITS:
