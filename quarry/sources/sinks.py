@@ -107,8 +107,6 @@ def load_pipeline_model(path: str):
 
 def save_mlp(spark: SparkSession, model, path: str) -> str:
     """Store MLP weights and scaling as a one-row parquet table."""
-    import numpy as np
-
     row = {
         "features": model.features,
         "label": model.label,
@@ -124,7 +122,6 @@ def save_mlp(spark: SparkSession, model, path: str) -> str:
         "mean array<double>, std array<double>, y_mean double, y_std double"
     )
     spark.createDataFrame([row], schema).coalesce(1).write.mode("overwrite").parquet(path)
-    _ = np  # numpy arrays converted above
     return path
 
 
