@@ -33,6 +33,16 @@ from quarry.operators.keys import (
 )
 
 
+def sample_n_counted(df: DataFrame, n: int, key, seed: int = SHUFFLE_SEED) -> tuple[DataFrame, bool, int]:
+    """``sample_n_keyed`` plus the exact number of rows it keeps (no extra pass)."""
+    keyed = with_hash_key(df, key, seed)
+    order = HashOrder(keyed)
+    total = order.count()
+    if n >= total:
+        return keyed, False, total
+    return keyed.where(first_k_predicate(order, n)), True, n
+
+
 def sample_n_keyed(df: DataFrame, n: int, key, seed: int = SHUFFLE_SEED) -> tuple[DataFrame, bool]:
     """First ``n`` rows in seeded hash order when ``n`` is below the row count.
 
@@ -218,6 +228,7 @@ __all__ = [
     "sample_capped",
     "sample_fraction",
     "sample_n",
+    "sample_n_counted",
     "sample_n_keyed",
     "sequential_cutoffs",
     "sequential_split",

@@ -7,10 +7,9 @@ Every job returns a small result frame (metrics or push results).
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,26 +83,26 @@ def prepare_finetune_dataset(spark: SparkSession, dataset_name: str, sources: di
     shuffled order; otherwise the source order given by ``key``.
     """
     raw = R.load_instructions(spark, dataset_name, sample_size, sources)
-    keyed, sampled = X.sample_n_keyed(raw, sample_size, key, seed)
-    # Step counts are observed while the jobs that run anyway execute (A4):
-    # no extra pass over the tokenised data just to count it.
-    tag = uuid.uuid4().hex[:8]
-    loaded_obs, tok_obs = Observation(f"quarry_loaded_{tag}"), Observation(f"quarry_tokenised_{tag}")
-    loaded = keyed.drop("_qk", "_qh").observe(loaded_obs, F.count(F.lit(1)).alias("n"))
+    keyed, sampled, n_loaded = X.sample_n_counted(raw, sample_size, key, seed)
+    loaded = keyed.drop("_qk", "_qh")
     prompts = TX.format_prompt(loaded, keep=[key])
     vocab = TX.build_vocab(prompts, "text", vocab_size)
-    tok = TX.tokenise(prompts, vocab, max_length, key=key).observe(tok_obs, F.count(F.lit(1)).alias("n"))
+    tok = TX.tokenise(prompts, vocab, max_length, key=key)
     kept = materialize(P.filter_length(tok, "input_ids", 10, max_length))
     if sampled:
         parts = X.sequential_split_hashed(with_hash_key(kept, key, seed))
     else:
         parts = X.sequential_split(kept, [key])
     handles = {name: R.DatasetHandle.save(df, f"{out_root}/finetune/{name}") for name, df in parts.items()}
+    # Exact counts without extra passes over the tokenised data: the sample
+    # size is known from the cut-off search, tokenising keeps one row per
+    # (unique) key, the filtered rows are counted from their checkpoint and
+    # the splits from their parquet footers.
     rows = [
-        ("loaded", int(loaded_obs.get["n"])),
-        ("tokenised", int(tok_obs.get["n"])),
-        ("filtered", kept.count()),  # read from the checkpoint
-        *[(name, h.load(spark).count()) for name, h in handles.items()],  # parquet row counts
+        ("loaded", n_loaded),
+        ("tokenised", n_loaded),
+        ("filtered", kept.count()),
+        *[(name, h.load(spark).count()) for name, h in handles.items()],
     ]
     counts = spark.createDataFrame(rows, "step string, n_rows bigint")
     return FinetuneData(handles["train"], handles["validation"], handles["test"], vocab, counts)
