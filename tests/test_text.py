@@ -95,3 +95,8 @@ def test_vocab_and_tokens_partition_invariant(spark, parts):
     assert sorted(tuple(r) for r in v.table.collect()) == ref
     got = sorted((r["k"], tuple(r["input_ids"])) for r in TX.tokenise(df, v, 8, key="k").collect())
     assert got == ref_t
+
+
+def test_prompt_null_instruction_renders_none(spark):
+    df = spark.createDataFrame([(None, None, "x")], "instruction string, input string, output string")
+    assert TX.format_prompt(df).collect()[0]["text"] == "### Instruction:\nNone\n\n### Response:\nx</s>"
