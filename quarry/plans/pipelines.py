@@ -240,9 +240,12 @@ def tabular_gbt_job(spark: SparkSession, df: DataFrame, columns: str, target: tu
 
 
 def sentence_classifier_job(spark: SparkSession, splits: dict[str, DataFrame], key: str, text: str, label: str,
-                            out_root: str, padded: dict[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
-    """E9: classifier fit on train, MCC per split, contract check of the padded inputs (E6), save, push."""
-    model = L.fit_text_classifier(splits["train"], text, label)
+                            out_root: str, padded: dict[str, DataFrame] | None = None,
+                            num_features: int = 1 << 16) -> tuple[DataFrame, DataFrame]:
+    """E9: classifier fit on train keeping the best epoch on validation, MCC per split,
+    contract check of the padded inputs (E6), save, push."""
+    model, _history = L.fit_text_classifier_epochs(splits["train"], splits["validation"], text, label,
+                                                   num_features=num_features)
     rows = []
     for name, df in splits.items():
         pred = L.classify(model, df, [key, label]).withColumn("argmax", M.argmax("logits"))

@@ -141,3 +141,14 @@ def test_score_dispatch(spark):
     assert score(df, Const(), ["k"]).collect()[0]["p"] == 0.5
     with pytest.raises(TypeError):
         score(df, object(), ["k"])
+
+
+def test_classifier_best_epoch(spark):
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select(
+        "doc_id", "text", (F.col("lang") == "en").cast("int").alias("label"))
+    train, valid = X.train_test_split(docs, 0.25, key="doc_id", seed=1)
+    model, hist = L.fit_text_classifier_epochs(train, valid, epochs=2, iters_per_epoch=5, num_features=1 << 14)
+    rows = {r["epoch"]: r["eval_loss"] for r in hist.collect()}
+    assert set(rows) == {1, 2} and all(v > 0 for v in rows.values())
+    best = min(rows, key=lambda e: (rows[e], e))
+    assert L.eval_loss(model, valid) == pytest.approx(rows[best])
