@@ -263,11 +263,22 @@ def sentence_classifier_job(spark: SparkSession, splits: dict[str, DataFrame], k
 
 
 def instruction_eval_job(spark: SparkSession, dataset_name: str, sources: dict, key: str, out_root: str,
-                         max_length: int = 512, sample_size: int = 10000, num_samples: int = 100) -> tuple[DataFrame, DataFrame]:
-    """E10: prepare the data (E3), fit a bigram LM on train, evaluate on test (E5)."""
+                         max_length: int = 512, sample_size: int = 10000, num_samples: int = 100,
+                         orders: tuple[int, ...] = (1, 2)) -> tuple[DataFrame, DataFrame]:
+    """E10: prepare the data (E3), fit n-gram LMs on train, keep the one with the lowest
+    validation loss (``best_run`` over candidates, as the best checkpoint), evaluate it on test (E5)."""
     data = prepare_finetune_dataset(spark, dataset_name, sources, key, out_root, max_length, sample_size)
-    lm = LM.fit_ngram_lm(data.train.load(spark), key, tokens_col="input_ids", n=2)
-    summary = evaluate_lm(data.test.load(spark), lm, key, num_samples, data.vocab, checkpoint_path=f"{out_root}/finetune")
+    train, valid = data.train.load(spark), data.validation.load(spark)
+    models, rows = {}, []
+    for n in orders:
+        lm = LM.fit_ngram_lm(train, key, tokens_col="input_ids", n=n)
+        models[n] = lm
+        val = LM.perplexity(valid, lm, key, tokens_col="labels").agg(F.avg(F.log("perplexity")).alias("l")).collect()[0]["l"]
+        rows.append((n, float("inf") if val is None else float(val)))
+    history = spark.createDataFrame(rows, "epoch int, val_loss double")  # "epoch" = candidate order
+    best = MT.best_run(history, "val_loss", "min").collect()[0]["epoch"]
+    summary = evaluate_lm(data.test.load(spark), models[best], key, num_samples, data.vocab,
+                          model_name=f"{best}-gram", checkpoint_path=f"{out_root}/finetune")
     return data.counts, summary
 
 
