@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 
@@ -17,7 +18,12 @@ def main():
     only = set(sys.argv[2:])
     import __spark_entry__ as E
 
-    spark = local_session(8)
+    if os.environ.get("QUARRY_VANILLA") == "1":  # a plain session, like an outside driver's
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = local_session(8)
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf)
     qs, orc = E.queries(), E.oracle_sql()
