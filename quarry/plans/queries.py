@@ -978,3 +978,14 @@ def q_describe_first_row(spark, d):
     schema, _ = P.describe(df.limit(0))
     first = X.head(df, 1, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"])
     return first.select(F.lit(schema).alias("schema"), "l_orderkey", "l_linenumber", "target")
+
+
+@query(
+    "sample_capped_below_rows",
+    "WITH h AS (SELECT o_orderkey, o_totalprice, " + sql_hash("o_orderkey", 1) + " AS h, CAST(o_orderkey AS VARCHAR) AS kt FROM orders) "
+    "SELECT o_orderkey, o_totalprice FROM h ORDER BY h, kt LIMIT 2000",
+)
+def q_sample_capped_below_rows(spark, d):
+    """A cap below the row count keeps the first 2,000 rows in seeded order (seed 1)."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return X.sample_capped(orders, 2000, key="o_orderkey", seed=1)
