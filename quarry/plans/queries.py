@@ -989,3 +989,38 @@ def q_sample_capped_below_rows(spark, d):
     """A cap below the row count keeps the first 2,000 rows in seeded order (seed 1)."""
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
     return X.sample_capped(orders, 2000, key="o_orderkey", seed=1)
+
+
+@query(
+    "feature_prep_preprocess",
+    _hashed_li(1)
+    + "SELECT " + HOUSING_SQL_CAST + ", "
+    "CASE WHEN rn <= CAST(floor(n * 0.75) AS BIGINT) THEN 'train' ELSE 'validation' END AS split FROM r",
+)
+def q_feature_prep_preprocess(spark, d):
+    """E1 + E2: rename/select/seeded split saved behind handles, reloaded and cast to float."""
+    root = R.scratch_dir(spark, "feature-prep")
+    columns = ",".join(HOUSING_FEATURES + ["target"])
+    prep = E.feature_prep(table(spark, d, "lineitem"), columns, ("l_extendedprice", "target"), li_key(), root,
+                          keep_key=["l_orderkey", "l_partkey", "l_suppkey", "l_shipdate"])
+    cast = E.preprocess(spark, columns, prep, root)
+    return X.split_column({"train": cast.train.load(spark), "validation": cast.validation.load(spark)})
+
+
+@query(
+    "prepare_ratings_splits",
+    "WITH " + _RATINGS_SQL + ", "
+    "u AS (SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS user_idx FROM (SELECT DISTINCT user_id FROM ratings)), "
+    "i AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS item_idx FROM (SELECT DISTINCT item_id FROM ratings)), "
+    "x AS (SELECT r.*, u.user_idx, i.item_idx FROM ratings r JOIN u USING (user_id) JOIN i USING (item_id)), "
+    "k AS (SELECT *, concat_ws('|', l_orderkey, l_linenumber, l_suppkey, item_id, CAST(l_shipdate AS DATE)) AS kt FROM x), "
+    "h AS (SELECT *, " + sql_hash("kt", 42) + " AS h FROM k), "
+    "r AS (SELECT *, row_number() OVER (ORDER BY h, kt) AS rn, count(*) OVER () AS n FROM h) "
+    "SELECT user_idx, item_idx, CAST((CAST(rating AS FLOAT) - CAST(1 AS FLOAT)) / CAST(4 AS FLOAT) AS FLOAT) AS rating_norm, "
+    "CASE WHEN rn <= CAST(floor(n * 0.8) AS BIGINT) THEN 'train' ELSE 'validation' END AS split FROM r",
+)
+def q_prepare_ratings_splits(spark, d):
+    """E4 after reading: dense indexes, index joins, normalised rating, seeded 80/20 permutation split."""
+    key = ["l_orderkey", "l_linenumber", "l_suppkey", "item_id", F.col("l_shipdate").cast("date")]
+    splits = E.prepare_ratings(ratings(spark, d), key, 0.2, 42)
+    return X.split_column({"train": splits.train, "validation": splits.validation})
