@@ -1024,3 +1024,35 @@ def q_prepare_ratings_splits(spark, d):
     key = ["l_orderkey", "l_linenumber", "l_suppkey", "item_id", F.col("l_shipdate").cast("date")]
     splits = E.prepare_ratings(ratings(spark, d), key, 0.2, 42)
     return X.split_column({"train": splits.train, "validation": splits.validation})
+
+
+def _instruction_source(spark, d) -> DataFrame:
+    return pairs_with_context(spark, d).withColumn("row_key", F.concat_ws("-", "conv_id", "turn")).drop("conv_id", "turn")
+
+
+@query(
+    "prepare_finetune_splits",
+    "WITH " + PAIRS_SQL + ", "
+    "pk AS (SELECT instruction, input, output, conv_id || '-' || turn AS row_key FROM pairs), "
+    "hs AS (SELECT *, " + sql_hash("row_key", 42) + " AS h FROM pk), "
+    "samp AS (SELECT * FROM hs ORDER BY h, row_key LIMIT 200), "
+    f"prompts AS (SELECT row_key, {INSTR_PROMPT_SQL} AS text FROM samp), "
+    + vocab_sql(VOCAB_MAX, "text", "prompts") + ", " + ids_sql("prompts", "row_key") + ", "
+    "f AS (SELECT row_key, ids[1:64] AS x FROM ids WHERE len(ids[1:64]) BETWEEN 10 AND 64), "
+    "fh AS (SELECT *, " + sql_hash("row_key", 42) + " AS h2 FROM f), "
+    # seeded order only when a sample was taken (more than 200 pairs), else source order by key
+    "r AS (SELECT *, row_number() OVER (ORDER BY CASE WHEN (SELECT count(*) FROM pk) > 200 THEN h2 ELSE 0 END, row_key) AS rn, "
+    "count(*) OVER () AS n FROM fh) "
+    f"SELECT row_key, {sj('x')} AS input_ids, "
+    "CASE WHEN rn <= CAST(floor(n * 0.8) AS BIGINT) THEN 'train' "
+    "WHEN rn <= CAST(floor(n * 0.8) AS BIGINT) + CAST(floor(n * 0.1) AS BIGINT) THEN 'validation' ELSE 'test' END AS split FROM r",
+)
+def q_prepare_finetune_splits(spark, d):
+    """E3: seeded sample of 200 pairs, prompt text, vocabulary, tokenise (64), length filter,
+    80/10/10 in seeded order, saved behind handles and reloaded."""
+    data = E.prepare_finetune_dataset(spark, "conversations", {"conversations": lambda s: _instruction_source(s, d)},
+                                      "row_key", R.scratch_dir(spark, "finetune"), max_length=64, sample_size=200,
+                                      vocab_size=VOCAB_MAX)
+    parts = {"train": data.train, "validation": data.validation, "test": data.test}
+    out = X.split_column({k: h.load(spark) for k, h in parts.items()})
+    return out.select("row_key", aj("input_ids").alias("input_ids"), "split")
