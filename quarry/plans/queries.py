@@ -1056,3 +1056,34 @@ def q_prepare_finetune_splits(spark, d):
     parts = {"train": data.train, "validation": data.validation, "test": data.test}
     out = X.split_column({k: h.load(spark) for k, h in parts.items()})
     return out.select("row_key", aj("input_ids").alias("input_ids"), "split")
+
+
+_TEXT_SPLITS_SQL = (
+    "WITH d AS (SELECT doc_id, text AS sentence, CAST(lang = 'en' AS INTEGER) AS label FROM documents), "
+    "hs AS (SELECT *, " + sql_hash("CAST(doc_id AS VARCHAR)", 1) + " AS h FROM d), "
+    "r AS (SELECT *, row_number() OVER (ORDER BY h, CAST(doc_id AS VARCHAR)) AS rn, count(*) OVER () AS n FROM hs), "
+    "sp AS (SELECT doc_id, sentence, label, h, CASE WHEN rn <= CAST(floor(n * 0.8) AS BIGINT) THEN 'train' "
+    "WHEN rn <= CAST(floor(n * 0.8) AS BIGINT) + CAST(floor(n * 0.1) AS BIGINT) THEN 'validation' ELSE 'test' END AS split FROM r), "
+    "trainrows AS (SELECT * FROM sp WHERE split = 'train'), "
+    + vocab_sql(VOCAB_MAX, "sentence", "trainrows") + ", "
+    "sel AS (SELECT * FROM sp WHERE split <> 'train' OR h < CAST(0.5 * power(2, 60) AS BIGINT)), "
+    + ids_sql("sel", "doc_id", "sentence") + ", "
+    "body AS (SELECT ids.doc_id, [2::BIGINT] || ids[1:126] || [3::BIGINT] AS b FROM ids) "
+    f"SELECT sel.doc_id, sel.label, sel.split, {sj('b || list_transform(range(128 - len(b)), lambda x: 0)')} AS input_ids "
+    "FROM body JOIN sel ON body.doc_id = sel.doc_id"
+)
+
+
+@query("load_text_splits", _TEXT_SPLITS_SQL)
+def q_load_text_splits(spark, d):
+    """E6: named splits written as ``split=`` folders, reloaded by name; a seeded 50 % sample of
+    train before tokenising; padded 128-token inputs with the label carried."""
+    docs = table(spark, d, "documents").select(
+        "doc_id", F.col("text").alias("sentence"), (F.col("lang") == "en").cast("int").alias("label")
+    )
+    parts = X.sequential_split_hashed(with_hash_key(docs, "doc_id", 1))
+    root = S.export_splits(X.split_column(parts), R.scratch_dir(spark, "text-splits"), "sentences", "run-1")
+    vocab = TX.build_vocab(parts["train"], "sentence", VOCAB_MAX)
+    splits = E.load_text_splits(spark, root, vocab, "doc_id", text="sentence", label="label", train_fraction=0.5)
+    out = X.split_column(splits)
+    return out.select("doc_id", "label", "split", aj("input_ids").alias("input_ids"))
