@@ -1087,3 +1087,41 @@ def q_load_text_splits(spark, d):
     splits = E.load_text_splits(spark, root, vocab, "doc_id", text="sentence", label="label", train_fraction=0.5)
     out = X.split_column(splits)
     return out.select("doc_id", "label", "split", aj("input_ids").alias("input_ids"))
+
+
+_EVAL_LM_SQL = (
+    "WITH " + vocab_sql() + ", " + ids_sql("documents", "doc_id") + ", "
+    "t AS (SELECT doc_id, ids[1:256] AS x FROM ids), "
+    "g AS (SELECT doc_id, CAST(unnest(x) AS VARCHAR) AS token, unnest(generate_series(1, len(x))) AS pos FROM t), "
+    "g2 AS (SELECT doc_id, token, coalesce(lag(token) OVER (PARTITION BY doc_id ORDER BY pos), '<s>') AS prev FROM g), "
+    "cnt AS (SELECT prev, token, count(*) AS c FROM g2 GROUP BY prev, token), "
+    "ctx AS (SELECT prev, sum(c) AS c_ctx FROM cnt GROUP BY prev), "
+    "st AS (SELECT count(DISTINCT token) AS v FROM g2), "
+    "hd AS (SELECT doc_id, x FROM t ORDER BY doc_id LIMIT 100), "
+    "s AS (SELECT g2.doc_id, ln((cnt.c + 1.0) / (ctx.c_ctx + st.v)) AS logp "
+    "FROM g2 JOIN hd ON g2.doc_id = hd.doc_id JOIN cnt USING (prev, token) JOIN ctx USING (prev), st), "
+    "p AS (SELECT doc_id, exp(-avg(logp)) AS perplexity FROM s GROUP BY doc_id), "
+    "gs AS (SELECT doc_id, least((len(x) - len(x) // 2) / 50.0, 1.0) AS score FROM hd WHERE len(x) > 20), "
+    "j AS (SELECT p.perplexity, gs.score FROM p LEFT JOIN gs USING (doc_id)) "
+    "SELECT count(perplexity) AS num_samples_evaluated, round(coalesce(avg(perplexity), 'inf'::DOUBLE), 4) AS average_perplexity, "
+    "round(coalesce(stddev_pop(perplexity), 0.0), 4) AS perplexity_std, round(coalesce(avg(score), 0.0), 6) AS average_generation_score, "
+    "round(coalesce(stddev_pop(score), 0.0), 6) AS generation_score_std, 'ngram' AS model_name, '' AS checkpoint_path, 'cpu' AS device FROM j"
+)
+
+
+@query("evaluate_lm_head", _EVAL_LM_SQL)
+def q_evaluate_lm_head(spark, d):
+    """E5: first 100 rows by key of the token-id data, bigram-LM perplexity per row (labels
+    default to ids), generation score of the continuation for rows over 20 tokens, summary."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    tok = TX.tokenise(docs, doc_vocab(spark, d), 256, key="doc_id")
+    lm = LM.fit_ngram_lm(tok, "doc_id", tokens_col="input_ids", n=2)
+    s = E.evaluate_lm(tok, lm, "doc_id", num_samples=100)
+    return s.select(
+        "num_samples_evaluated",
+        F.round("average_perplexity", 4).alias("average_perplexity"),
+        F.round("perplexity_std", 4).alias("perplexity_std"),
+        F.round("average_generation_score", 6).alias("average_generation_score"),
+        F.round("generation_score_std", 6).alias("generation_score_std"),
+        "model_name", "checkpoint_path", "device",
+    )
