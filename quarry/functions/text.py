@@ -115,9 +115,11 @@ def build_vocab(df: DataFrame, text_col: str = "text", max_size: int | None = No
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = rank_by(counts, [F.col("n").desc(), F.col("token").asc()], "rank")
-    if max_size is not None:
-        ranked = ranked.where(F.col("rank") < max_size - len(specials))
+    order = [F.col("n").desc(), F.col("token").asc()]
+    if max_size is None:
+        ranked = rank_by(counts, order, "rank")
+    else:
+        ranked = rank_by(_top_tokens(counts, max(max_size - len(specials), 0)), order, "rank")
     n_sp = len(specials)
     words_tab = ranked.select("token", (F.col("rank") + n_sp).alias("id"))
     special_tab = spark.createDataFrame([(s, i) for i, s in enumerate(specials)], "token string, id bigint")
@@ -135,6 +137,34 @@ def build_vocab(df: DataFrame, text_col: str = "text", max_size: int | None = No
     )
 
 
+def _top_tokens(counts: DataFrame, budget: int) -> DataFrame:
+    """The ``budget`` first tokens by (count desc, token asc), without ranking all tokens.
+
+    The counts are materialised once; the distribution of count values (one
+    row per distinct count, small) gives the count ``n*`` at which the budget
+    is reached; every token above ``n*`` is kept, and among the tokens tied at
+    ``n*`` (possibly very many rare words) only the alphabetically first
+    ``r <= budget`` are taken by a bounded top-k.
+    """
+    from pyspark.sql import Window
+
+    from quarry.operators.layout import materialize
+
+    if budget <= 0:
+        return counts.limit(0)
+    counts = materialize(counts)
+    by_n = counts.groupBy("n").agg(F.count(F.lit(1)).alias("k"))
+    w = Window.orderBy(F.col("n").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = by_n.withColumn("cum", F.sum("k").over(w))  # one row per distinct count value
+    hit = cum.where(F.col("cum") >= budget).orderBy(F.col("n").desc()).limit(1).collect()
+    if not hit:
+        return counts  # fewer tokens than the budget
+    n_star, k_star, cum_star = int(hit[0]["n"]), int(hit[0]["k"]), int(hit[0]["cum"])
+    above = cum_star - k_star
+    ties = counts.where(F.col("n") == n_star).orderBy("token").limit(budget - above)
+    return counts.where(F.col("n") > n_star).unionByName(ties)
+
+
 # Larger vocabularies are joined hot/cold: the most frequent ids are broadcast.
 HOT_VOCAB_IDS = 100_000
 

@@ -100,3 +100,13 @@ def test_vocab_and_tokens_partition_invariant(spark, parts):
 def test_prompt_null_instruction_renders_none(spark):
     df = spark.createDataFrame([(None, None, "x")], "instruction string, input string, output string")
     assert TX.format_prompt(df).collect()[0]["text"] == "### Instruction:\nNone\n\n### Response:\nx</s>"
+
+
+@pytest.mark.parametrize("max_size", [4, 5, 6, 7, 8, 50])
+def test_capped_vocab_equals_prefix_of_full(spark, max_size):
+    df = spark.createDataFrame(
+        [(1, "b a a c c d"), (2, "a e e f g"), (3, "c h i j")], "k int, text string"
+    )
+    full = {r["token"]: r["id"] for r in TX.build_vocab(df, "text").table.collect()}
+    capped = {r["token"]: r["id"] for r in TX.build_vocab(df, "text", max_size).table.collect()}
+    assert capped == {t: i for t, i in full.items() if i < max_size}
