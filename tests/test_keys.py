@@ -129,3 +129,15 @@ def test_head_large_path(spark, monkeypatch):
     monkeypatch.setattr(X, "TOP_K_ROWS", 10)
     got = sorted(r["k"] for r in X.head(df, 50, [F.col("v").desc(), "k"]).collect())
     assert got == want and len(got) == 50
+
+
+def test_checkpointed_fine_counts_path(spark):
+    n = 800
+    keyed = with_hash_key(frame(spark, n), "k", 23)
+    order = HashOrder(keyed, fine_bits=16, coarse_bits=6)  # > 2^14 buckets: checkpointed table + coarse view
+    assert order.fine_bits > HashOrder.DIRECT_BITS and order.count() == n
+    brute = sorted(range(n), key=lambda i: (py_hash(str(i), 23), str(i)))
+    bounds = order.boundaries([1, 200, 599, 600, 800, 801])
+    assert bounds[801] is None
+    for k in (1, 200, 599, 600, 800):
+        assert bounds[k].key == str(brute[k - 1])
