@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import language_id, packing, url_filter
+from quarry.llm import language_id, packing, toxicity, url_filter
 from quarry.llm.common import read, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,11 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").select("doc_id", "toxic").where(remainder(F.col("doc_id"), 5) != 0)
+    judged = toxicity.judge(docs, toxicity.fit(docs, labels))
+    return judged.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
