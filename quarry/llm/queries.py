@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import language_id, packing, toxicity, url_filter
+from quarry.llm import language_id, packing, toxicity, url_filter, warc
 from quarry.llm.common import read, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read(spark, sf_dir, "labels").select("doc_id", "toxic").where(remainder(F.col("doc_id"), 5) != 0)
     judged = toxicity.judge(docs, toxicity.fit(docs, labels))
     return judged.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged = warc.captures(read(spark, sf_dir, "pages"))
+    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at", "shard", "position")
