@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ def arrow_rows(batches: Iterator[pa.RecordBatch], text_at: int, max_bytes: int =
     at most (one longer text stands alone), each with that column as Python strings."""
     for batch in batches:
         column = batch.column(text_at)
-        sizes = [0 if n is None else n for n in pa.compute.binary_length(column).to_pylist()]
+        sizes = [0 if n is None else n for n in pc.binary_length(column).to_pylist()]
         start = held = 0
         for i, n in enumerate(sizes):
             if i > start and held + n > max_bytes:

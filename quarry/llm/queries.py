@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import language_id, packing, toxicity, url_filter, warc
+from quarry.llm import jaccard_join, language_id, packing, toxicity, url_filter, warc
 from quarry.llm.common import read, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = warc.captures(read(spark, sf_dir, "pages"))
     return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at", "shard", "position")
+
+
+@query
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read(spark, sf_dir, "documents"), k=3, num=90, den=100)
