@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import ann, jaccard_join, language_id, packing, toxicity, url_filter, warc
+from quarry.llm import ann, fingerprints, jaccard_join, language_id, packing, toxicity, url_filter, warc
 from quarry.llm.common import read, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,8 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited(read(spark, sf_dir, "documents"))
