@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import ann, fingerprints, jaccard_join, language_id, packing, toxicity, url_filter, warc
+from quarry.llm import ann, fingerprints, jaccard_join, language_id, mixing, packing, toxicity, url_filter, warc
 from quarry.llm.common import read, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,13 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited(read(spark, sf_dir, "documents"))
+
+
+LABELS = ["quality", "toxic"]
+TARGETS = {"quality1_toxic0": 0.85, "quality0_toxic0": 0.10, "quality1_toxic1": 0.03, "quality0_toxic1": 0.02}
+
+
+@query
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"), LABELS, TARGETS)
+    return mixed.select("doc_id", "n_tokens", *[F.coalesce(F.col("posterior")[d], F.lit(0.0)).alias(f"p_{d}") for d in TARGETS], "rate")
