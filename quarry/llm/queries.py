@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import ann, fingerprints, jaccard_join, language_id, mixing, packing, toxicity, url_filter, warc
+from quarry.llm import ann, fingerprints, jaccard_join, language_id, lm_scoring, mixing, packing, toxicity, url_filter, warc
 from quarry.llm.common import read, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,10 @@ TARGETS = {"quality1_toxic0": 0.85, "quality0_toxic0": 0.10, "quality1_toxic1":
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"), LABELS, TARGETS)
     return mixed.select("doc_id", "n_tokens", *[F.coalesce(F.col("posterior")[d], F.lit(0.0)).alias(f"p_{d}") for d in TARGETS], "rate")
+
+
+@query
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    scored = lm_scoring.score(read(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
