@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -17,9 +18,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and cut from its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written as Parquet to the shared checkpoint folder and read back: cut from
+    its lineage, and the same rows however often it is read or an executor is lost."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/saved-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def remainder(doc_id: Column, k: int) -> Column:

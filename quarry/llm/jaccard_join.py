@@ -5,7 +5,7 @@ Texts become sets of 64-bit shingle hashes inside the tasks that read them.  A s
 
 1. *Classes.*  Equal sets share a fingerprint; from here on one row stands for a class.
 2. *Short lists, distributed.*  Shingles have one global order: those frequent in a bounded
-   sample of documents last, else by hash.  A linked pair shares at least ``l`` of the
+   sample of documents, or found to have long lists, last, else by hash.  A linked pair shares at least ``l`` of the
    first ``s - T + l`` shingles of both, with ``l`` half of ``s - T``.  Only those
    shingles are shuffled.  Short inverted lists yield pairs, counted and held against
    ``l``; a long list, or a frequent shingle, yields a star instead, one row per entry.
@@ -36,20 +36,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import arrow_rows, saved, shuffle_partitions
 from quarry.llm.components import connected_components
 
-#: An inverted list up to this long yields its pairs, a longer one a star.
-SHORT_LIST = 32
+#: Shingles whose lists would be longer than this count as frequent too (of those at most
+#: so many), which takes them out of most documents' first shingles.
+LONG_LIST, LONG_LISTS = 48, 4_000_000
+#: A list that still is up to this long yields its pairs, a longer one a star.
+SHORT_LIST = 256
 #: Shingles a task holds of one group, at most twice.
 GROUP_SHINGLES = 400_000
 #: Documents of the sample that tells frequent shingles, and in how many of them they stand.
 SAMPLE_DOCS, SAMPLE_HITS = 20_000, 3
 #: Bytes of text hashed at once.
 HASH_BYTES = 2 << 20
+#: Slots of the filter that keeps other texts from the shuffle of the candidates' texts.
+SLOTS = 1 << 23
 #: Cost ratio of DivideSkip's choice of long lists.
 MU = 0.0085
 
@@ -161,6 +166,13 @@ def frequent_shingles(docs: DataFrame, k: int, n_docs: int) -> np.ndarray:
     return np.sort(found.view(np.uint64))
 
 
+def with_long_lists(first: DataFrame, frequent: np.ndarray) -> np.ndarray:
+    """``frequent`` and the shingles whose lists in ``first`` are long."""
+    lengths = first.where("not frequent").groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") > LONG_LIST)
+    found = lengths.orderBy(F.desc("n"), "shingle").limit(LONG_LISTS).select("shingle").toPandas()["shingle"].to_numpy(np.int64)
+    return np.union1d(frequent, found.view(np.uint64))
+
+
 def first_shingles(docs: DataFrame, k: int, t: Threshold, frequent) -> DataFrame:
     """``shingle, fp, size, frequent``: what is shuffled of every set."""
 
@@ -243,7 +255,7 @@ def candidates(first: DataFrame, t: Threshold) -> DataFrame:
     least = F.expr(f"(size * {t.num}L + {t.den - 1}) div {t.den}")  # of the smaller set
     counted = found.groupBy("u", "v").agg(F.sum("n").alias("n"), F.min("size").alias("size"), star.alias("star"))
     kept = counted.where(F.col("star") | (F.col("n") >= F.greatest(F.lit(1), F.floor((F.col("size") - least) / 2)))).select("u", "v")
-    often = first.where("frequent").select("shingle", "fp")
+    often = saved(first.where("frequent").select("shingle", "fp").distinct())
     centre = often.groupBy("shingle").agg(F.min("fp").alias("u"))
     stars = often.join(centre, "shingle").where("u <> fp").select("u", F.col("fp").alias("v")).distinct()
     return kept.unionByName(stars)
@@ -337,6 +349,10 @@ def _group_links(num: int, den: int):
     return run
 
 
+def _slot(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(SLOTS))
+
+
 def links(docs: DataFrame, table: DataFrame, groups: DataFrame, k: int, t: Threshold) -> DataFrame:
     """``u, v``: links between classes that join all linked ones.  ``table``: ``classes``;
     ``groups``: ``node, component`` of the candidates."""
@@ -354,6 +370,17 @@ def links(docs: DataFrame, table: DataFrame, groups: DataFrame, k: int, t: Thres
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), pa.array([sets[i].tobytes() for i in own], pa.binary())], names=["fp", "grp", "blocks", "shingles"])
 
     members = members.withColumnRenamed("doc_id", "rep_id").drop("size")
+    near = docs.select("doc_id", "text", _slot(F.col("doc_id")).alias("slot"))
+    marked = np.zeros(SLOTS, bool)
+    marked[members.select(_slot(F.col("rep_id")).alias("slot")).distinct().toPandas()["slot"].to_numpy(np.int64)] = True
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(marked))  # of fixed size; only spares texts the shuffle
+
+    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = np.unpackbits(shared.value).astype(bool)
+        for batch in batches:
+            yield batch.select([0, 1]).filter(pa.array(marked[batch.column(2).to_numpy()]))
+
+    docs = near.mapInArrow(maybe, "doc_id long, text string")
     texts = docs.join(members, F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("fp", "text", "grp", "blocks")
     sets = texts.mapInArrow(run, "fp long, grp long, blocks int, shingles binary")
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
@@ -370,8 +397,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     table = saved(classes(rows, k))
     spark = docs.sparkSession
-    frequent = spark.sparkContext.broadcast(frequent_shingles(rows, k, table.count()))  # bounded by the sample
-    groups = connected_components(candidates(first_shingles(rows, k, t, frequent), t))
+    often = frequent_shingles(rows, k, table.count())  # bounded by the sample
+    often = with_long_lists(first_shingles(rows, k, t, spark.sparkContext.broadcast(often)), often)
+    first = first_shingles(rows, k, t, spark.sparkContext.broadcast(often))
+    groups = connected_components(candidates(first, t))
     comps = connected_components(links(rows, table, groups, k, t))
     reps = table.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("least"))
     reps = reps.join(comps, reps["fp"] == comps["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
