@@ -72,7 +72,7 @@ def prompt_expr(columns: list[str], eos: str = EOS) -> Column:
         )
     if "text" in cols:
         return F.concat(_required(F.col("text").cast("string"), "text"), F.lit(eos))
-    return F.concat(F.to_json(F.struct(*[F.col(c) for c in columns])), F.lit(eos))
+    return F.concat(F.to_json(F.struct(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"}), F.lit(eos))
 
 
 def format_prompt(df: DataFrame, eos: str = EOS, keep: list[str] | None = None) -> DataFrame:
@@ -88,6 +88,13 @@ def words(text) -> Column:
     return F.array_remove(F.split(F.lower(t), TOKEN_SPLIT), "")
 
 
+def marked_words(text, eos: str = EOS) -> Column:
+    """``words``, with every end-of-sequence marker a word of its own.  Vocabulary and
+    tokenisation both split with it, so that they agree on every token."""
+    t = text if isinstance(text, Column) else F.col(text)
+    return words(F.regexp_replace(t, F.lit(_regex_quote(eos)), F.lit(f" {eos} ")))
+
+
 @dataclass(frozen=True)
 class Vocab:
     """Token table ``(token string, id bigint)`` plus the special ids."""
@@ -110,7 +117,7 @@ def build_vocab(df: DataFrame, text_col: str = "text", max_size: int | None = No
     spark = df.sparkSession
     counts = (
         spread(df.select(text_col))
-        .select(F.explode(words(text_col)).alias("token"))
+        .select(F.explode(marked_words(text_col)).alias("token"))
         .where(~F.col("token").isin(list(specials)))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -179,10 +186,9 @@ def token_ids(df: DataFrame, vocab: Vocab, key: str, text_col: str = "text", eos
     the first ``limit`` tokens of a row go through the join and the gather
     (truncation is pushed before the shuffle).
     """
-    text = F.regexp_replace(F.col(text_col), F.lit(_regex_quote(eos)), F.lit(f" {eos} "))
-    toks = spread(df.select(key, text_col), key).select(key, F.posexplode_outer(words(text)).alias("pos", "token"))
-    if limit is not None:
-        toks = toks.where(F.col("pos").isNull() | (F.col("pos") < limit))
+    toks = spread(df.select(key, text_col), key).select(key, F.posexplode_outer(marked_words(text_col, eos)).alias("pos", "token"))
+    if limit is not None:  # the first token stays in any case, and with it the row
+        toks = toks.where(F.col("pos").isNull() | (F.col("pos") < max(limit, 1)))
     # private column names so that a row key called "id" or "token" cannot collide
     vt = vocab.table.select(F.col("token").alias("_qtok"), F.col("id").alias("_qtid"))
     toks = toks.withColumnRenamed("token", "_qtok")
@@ -199,9 +205,9 @@ def _regex_quote(s: str) -> str:
     return "".join("\\" + ch if not ch.isalnum() else ch for ch in s)
 
 
-def tokenise(df: DataFrame, vocab: Vocab, max_length: int, key: str, text_col: str = "text") -> DataFrame:
-    """Truncate to ``max_length``, no padding; mask of ones; labels = ids."""
-    ids = F.slice(F.col("ids"), 1, max_length)
+def tokenise(df: DataFrame, vocab: Vocab, max_length: int | None, key: str, text_col: str = "text") -> DataFrame:
+    """Truncate to ``max_length`` (``None``: whole texts), no padding; mask of ones; labels = ids."""
+    ids = F.col("ids") if max_length is None else F.slice(F.col("ids"), 1, max_length)
     return token_ids(df, vocab, key, text_col, limit=max_length).select(
         key,
         ids.alias("input_ids"),
@@ -218,8 +224,9 @@ def tokenise_padded(
     Outputs ``input_ids``, ``attention_mask`` (ones then zeros) and
     ``token_type_ids`` (zeros); ``carry`` columns (e.g. the label) are kept.
     """
-    body = F.slice(F.col("ids"), 1, max_length - 2)
+    body = F.slice(F.col("ids"), 1, max(max_length - 2, 0))
     ids = F.concat(F.array(F.lit(vocab.bos_id).cast("bigint")), body, F.array(F.lit(vocab.eos_id).cast("bigint")))
+    ids = F.slice(ids, 1, max_length)
     n_pad = F.lit(max_length) - F.size("_ids")
     out = token_ids(df, vocab, key, text_col, limit=max(max_length - 2, 0)).select(key, ids.alias("_ids"))
     out = out.select(

@@ -27,6 +27,7 @@ from quarry.session import ensure_checkpoint_dir
 
 H = "_qh"  # 60-bit seeded hash (bigint)
 K = "_qk"  # key text, tie-break for equal hashes
+T = "_qt"  # number of a row among those that share a cut-off's key
 HASH_BITS = 60
 
 
@@ -34,9 +35,13 @@ def _col(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)
 
 
+# Text of a NULL key part: ('a', NULL) and (NULL, 'a') are different keys.
+NULL_PART = "\\N"
+
+
 def key_text(*cols) -> Column:
-    """``'|'``-joined text of the key columns (NULL parts are skipped)."""
-    return F.concat_ws("|", *[_col(c).cast("string") for c in cols])
+    """``'|'``-joined text of the key columns, NULL parts marked."""
+    return F.concat_ws("|", *[F.coalesce(_col(c).cast("string"), F.lit(NULL_PART)) for c in cols])
 
 
 def seeded_hash(key: Column, seed) -> Column:
@@ -53,7 +58,7 @@ def with_hash_key(df: DataFrame, key_cols, seed) -> DataFrame:
 
 
 def drop_hash_key(df: DataFrame) -> DataFrame:
-    return df.drop(H, K)
+    return df.drop(H, K, T)
 
 
 def hash_fraction_predicate(fraction: float) -> Column:
@@ -84,15 +89,28 @@ def estimated_rows(df: DataFrame) -> int:
 
 @dataclass(frozen=True)
 class Boundary:
-    """The ``(h, key)`` of one row; rows at or before it pass ``at_or_before``."""
+    """The ``(h, key)`` of one row; rows at or before it pass ``at_or_before``.
+
+    ``taken`` is set where several rows share the key and only so many of them lie at or
+    before the cut; ``number_ties`` numbers those rows.
+    """
 
     h: int
     key: str
+    taken: int | None = None
+
+    def _here(self) -> Column:
+        return F.struct(F.lit(self.h).cast("bigint").alias(H), F.lit(self.key).alias(K))
+
+    def shared(self) -> Column:
+        return position() == self._here()
 
     def at_or_before(self) -> Column:
         """``(h, key) <= (self.h, self.key)`` as one struct comparison (lexicographic),
         so the hash is evaluated once per row rather than once per disjunct."""
-        return position() <= F.struct(F.lit(self.h).cast("bigint").alias(H), F.lit(self.key).alias(K))
+        if self.taken is not None:
+            return (position() < self._here()) | (self.shared() & (F.col(T) < self.taken))
+        return position() <= self._here()
 
 
 def position() -> Column:
@@ -205,10 +223,8 @@ class HashOrder:
                 cum += c
             before += cum
             lo, width = lo + (b << shift), shift
-            if c <= self.leaf_rows:
+            if c <= self.leaf_rows or width == 0:  # one hash value: a key that very many rows share
                 return lo, width, before
-            if width == 0:
-                raise ValueError(f"sampling key is not unique: {c} rows share one hash value")
 
     def boundaries(self, ks: list[int]) -> dict[int, Boundary | None]:
         """Boundary of each k-th row (1-based); ``None`` if ``k`` covers all rows;
@@ -237,22 +253,45 @@ class HashOrder:
             for lo, width in spans:
                 c = (h >= F.lit(lo)) & (h < F.lit(lo + (1 << width)))
                 cond = c if cond is None else cond | c
-            rows = self.slim.where(cond).collect()
+            rows = self.slim.where(cond).groupBy(H, K).count().collect()
             rows.sort(key=lambda r: (r[0], r[1]))  # str order = UTF-8 byte order = Spark order
             for k, (lo, width, before) in ranges.items():
-                inside = [r for r in rows if lo <= r[0] < lo + (1 << width)]
-                row = inside[k - before - 1]
-                out[k] = Boundary(int(row[0]), row[1])
+                for h_, key_, n in (r for r in rows if lo <= r[0] < lo + (1 << width)):
+                    if before + n >= k:
+                        out[k] = Boundary(int(h_), key_, None if before + n == k else k - before)
+                        break
+                    before += n
         return out
 
     def boundary(self, k: int) -> Boundary | None:
         return self.boundaries([k])[k]
 
 
-def first_k_predicate(order: HashOrder, k: int) -> Column:
-    """Predicate selecting exactly the first ``k`` rows in hash order."""
+def number_ties(keyed: DataFrame, bounds: list[Boundary | None]) -> DataFrame:
+    """``keyed`` with a number (from 0) for the rows that share the key of a cut-off which
+    lies among them, in the order of a hash of the whole row; equal rows are interchangeable.
+    Unchanged where every cut-off lies between keys, as with a unique key."""
+    inexact = list(dict.fromkeys((b.h, b.key) for b in bounds if b is not None and b.taken is not None))
+    if not inexact:
+        return keyed
+    marks = [Boundary(h, key) for h, key in inexact]
+    others = keyed
+    for mark in marks:
+        others = others.where(~mark.shared())
+    out = others.withColumn(T, F.lit(0).cast("bigint"))
+    content = F.xxhash64(*[F.col(c) for c in keyed.columns])
+    for mark in marks:
+        out = out.unionByName(rank_by(keyed.where(mark.shared()), [content], T))
+    return out
+
+
+def first_k(keyed: DataFrame, order: HashOrder, k: int) -> tuple[DataFrame, DataFrame]:
+    """Exactly the first ``k`` rows in hash order, and the others."""
     b = order.boundary(k)
-    return F.lit(True) if b is None else b.at_or_before()
+    if b is None:
+        return keyed, keyed.where(F.lit(False))
+    numbered = number_ties(keyed, [b])
+    return numbered.where(b.at_or_before()).drop(T), numbered.where(~b.at_or_before()).drop(T)
 
 
 def hash_rank(keyed: DataFrame, name: str, rows_per_bucket: int = 1_000_000, max_bits: int = 20) -> DataFrame:

@@ -33,9 +33,15 @@ def dataset_stats(df: DataFrame, order_cols, ids: str = "input_ids") -> DataFram
     )
 
 
-def step_counts(steps: dict[str, DataFrame]) -> DataFrame:
-    """Row count of each named step as rows ``(step, n_rows)``."""
+def step_counts(steps: dict[str, DataFrame], labelled: DataFrame | None = None,
+                splits: tuple[str, ...] = ("train", "validation", "test")) -> DataFrame:
+    """Row count of each named step as rows ``(step, n_rows)``; a frame with a ``split``
+    column adds one row per split from a single pass."""
     out = None
+    if labelled is not None:
+        none = labelled.sparkSession.createDataFrame([(s, 0) for s in splits], "step string, n_rows bigint")
+        each = labelled.groupBy(F.col("split").alias("step")).agg(F.count(F.lit(1)).alias("n_rows"))
+        out = each.unionByName(none).groupBy("step").agg(F.max("n_rows").alias("n_rows"))
     for name, df in steps.items():
         part = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("step"), "n_rows")
         out = part if out is None else out.unionByName(part)

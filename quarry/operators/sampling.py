@@ -23,11 +23,13 @@ from quarry.fixed import (
 from quarry.operators.keys import (
     H,
     K,
+    T,
     HashOrder,
     drop_hash_key,
-    first_k_predicate,
+    first_k,
     hash_fraction_predicate,
     hash_rank,
+    number_ties,
     rank_by,
     with_hash_key,
 )
@@ -40,7 +42,7 @@ def sample_n_counted(df: DataFrame, n: int, key, seed: int = SHUFFLE_SEED) -> tu
     total = order.count()
     if n >= total:
         return keyed, False, total
-    return keyed.where(first_k_predicate(order, n)), True, n
+    return first_k(keyed, order, n)[0], True, n
 
 
 def sample_n_keyed(df: DataFrame, n: int, key, seed: int = SHUFFLE_SEED) -> tuple[DataFrame, bool]:
@@ -54,7 +56,7 @@ def sample_n_keyed(df: DataFrame, n: int, key, seed: int = SHUFFLE_SEED) -> tupl
     order = HashOrder(keyed)
     if n >= order.count():
         return keyed, False
-    return keyed.where(first_k_predicate(order, n)), True
+    return first_k(keyed, order, n)[0], True
 
 
 def sample_n(df: DataFrame, n: int, key, seed: int = SHUFFLE_SEED) -> DataFrame:
@@ -78,8 +80,8 @@ def _cut(df: DataFrame, key, seed, cut_fn) -> tuple[DataFrame, DataFrame]:
     keyed = with_hash_key(df, key, seed)
     order = HashOrder(keyed)
     k = cut_fn(order.count())
-    pred = first_k_predicate(order, k)
-    return drop_hash_key(keyed.where(pred)), drop_hash_key(keyed.where(~pred))
+    first, rest = first_k(keyed, order, k)
+    return drop_hash_key(first), drop_hash_key(rest)
 
 
 def label_by_cutoffs(keyed: DataFrame, order: HashOrder, cuts: list[tuple[str, int]], last: str, name: str = "split") -> DataFrame:
@@ -95,7 +97,8 @@ def label_by_cutoffs(keyed: DataFrame, order: HashOrder, cuts: list[tuple[str, i
         b = bounds[k]
         cond = F.lit(True) if b is None else b.at_or_before()
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return keyed.withColumn(name, expr.otherwise(F.lit(last)) if expr is not None else F.lit(last))
+    numbered = number_ties(keyed, list(bounds.values()))
+    return numbered.withColumn(name, expr.otherwise(F.lit(last)) if expr is not None else F.lit(last)).drop(T)
 
 
 def train_test_labelled(df: DataFrame, test_size: float = TEST_SIZE, key=None, seed: int = TABULAR_SEED,
@@ -129,6 +132,7 @@ def sequential_split_hashed(keyed: DataFrame, train: float = SEQUENTIAL_TRAIN, v
     a, b = sequential_cutoffs(order.count(), train, val)
     bounds = order.boundaries([a, b])
     first_a, first_b = (F.lit(True) if bounds[x] is None else bounds[x].at_or_before() for x in (a, b))
+    keyed = number_ties(keyed, list(bounds.values()))
     return {
         "train": drop_hash_key(keyed.where(first_a)),
         "validation": drop_hash_key(keyed.where(~first_a & first_b)),
@@ -168,12 +172,7 @@ def sequential_split(df: DataFrame, order_cols, train: float = SEQUENTIAL_TRAIN,
     The boundary keys are found by ranking the order columns alone; the split
     itself is two literal tuple comparisons on the original rows.
     """
-    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
-    pos = OrderPositions(df, order_cols)
-    a, b = sequential_cutoffs(pos.n, train, val)
-    keys = pos.keys_at([a - 1, b - 1])
-    first_a = _at_or_before(df, order_cols, keys.get(a - 1))
-    first_b = _at_or_before(df, order_cols, keys.get(b - 1))
+    first_a, first_b = _sequential_bounds(df, order_cols, train, val)
     return {
         "train": df.where(first_a),
         "validation": df.where(~first_a & first_b),
@@ -181,6 +180,20 @@ def sequential_split(df: DataFrame, order_cols, train: float = SEQUENTIAL_TRAIN,
     }
 
 
+def _sequential_bounds(df: DataFrame, order_cols, train: float, val: float) -> tuple[Column, Column]:
+    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    pos = OrderPositions(df, order_cols)
+    a, b = sequential_cutoffs(pos.n, train, val)
+    keys = pos.keys_at([a - 1, b - 1])
+    return _at_or_before(df, order_cols, keys.get(a - 1)), _at_or_before(df, order_cols, keys.get(b - 1))
+
+
+def sequential_labelled(df: DataFrame, order_cols, train: float = SEQUENTIAL_TRAIN, val: float = SEQUENTIAL_VAL) -> DataFrame:
+    """``sequential_split`` as one frame with a ``split`` column, read once for all splits."""
+    first_a, first_b = _sequential_bounds(df, order_cols, train, val)
+    return df.withColumn("split", F.when(first_a, "train").when(first_b, "validation").otherwise("test"))
+
+
 def split_column(parts: dict[str, DataFrame]) -> DataFrame:
     """One frame with a ``split`` column instead of a dict of frames."""
     out = None
@@ -231,6 +244,7 @@ __all__ = [
     "sample_n_counted",
     "sample_n_keyed",
     "sequential_cutoffs",
+    "sequential_labelled",
     "sequential_split",
     "sequential_split_hashed",
     "OrderPositions",

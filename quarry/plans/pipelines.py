@@ -75,7 +75,7 @@ class FinetuneData:
 
 
 def prepare_finetune_dataset(spark: SparkSession, dataset_name: str, sources: dict, key: str, out_root: str,
-                             max_length: int = 2048, sample_size: int = 10000, vocab_size: int = 50000,
+                             max_length: int = 2048, sample_size: int = 10000, vocab_size: int | None = None,
                              seed: int = fx.SHUFFLE_SEED) -> FinetuneData:
     """E3: load by name, seeded sample, prompt text, tokenise, length filter, 80/10/10, save.
 
@@ -153,7 +153,8 @@ def coalesce_inputs(df: DataFrame, vocab: TX.Vocab | None, key: str, max_length:
     if "text" in cols and vocab is not None:
         tok = TX.tokenise(df, vocab, max_length, key=key).select(key, "input_ids", "labels")
         return tok.join(df.select(key, *carry), key, "inner") if carry else tok
-    return df.sparkSession.createDataFrame([], f"{key} string, input_ids array<bigint>, labels array<bigint>")
+    none = F.lit(None).cast("array<bigint>")
+    return df.where(F.lit(False)).select(key, none.alias("input_ids"), none.alias("labels"), *carry)
 
 
 def evaluate_lm(test: DataFrame, lm: LM.NgramLM, key: str, num_samples: int = 100, vocab: TX.Vocab | None = None,
@@ -181,15 +182,10 @@ def evaluate_lm(test: DataFrame, lm: LM.NgramLM, key: str, num_samples: int = 10
 
 
 def load_text_splits(spark: SparkSession, root: str, vocab: TX.Vocab, key: str, text: str = "sentence", label: str = "label",
-                     max_length: int = fx.PADDED_LENGTH, train_fraction: float = fx.SENTENCE_SAMPLE_FRACTION, seed: int = fx.SENTENCE_SEED) -> dict[str, DataFrame]:
-    """E6: named splits, 1 % seeded sample of train (before tokenising), padded tokens."""
-    splits = R.load_splits(spark, root)
-    out = {}
-    for name, df in splits.items():
-        if name == "train":
-            df = X.sample_fraction(df, train_fraction, key, seed)
-        out[name] = TX.tokenise_padded(df, vocab, max_length, key=key, text_col=text, carry=[label])
-    return out
+                     max_length: int = fx.PADDED_LENGTH, fraction: float = fx.SENTENCE_SAMPLE_FRACTION, seed: int = fx.SENTENCE_SEED) -> dict[str, DataFrame]:
+    """E6: named splits, a 1 % seeded sample of each (before tokenising), padded tokens."""
+    splits = R.load_splits(spark, root, lambda df: X.sample_fraction(df, fraction, key, seed))
+    return {name: TX.tokenise_padded(df, vocab, max_length, key=key, text_col=text, carry=[label]) for name, df in splits.items()}
 
 
 # ------------------------------------------------------------ E7 .. E11
@@ -226,13 +222,12 @@ def tabular_gbt_job(spark: SparkSession, df: DataFrame, columns: str, target: tu
     res = L.fit_gbt(train, valid, feats, label, params)
     model_dir = f"{out_root}/model/{run_id}"
     S.save_pipeline_model(res.model, f"{model_dir}/checkpoint")
-    artifact = R.find_artifact(spark, model_dir, "*.parquet").collect()[0]
     rounds = L.gbt_round_metrics(res, spark)
     final = rounds.orderBy(F.col("round").desc()).limit(1).select(F.lit("validation_rmse").alias("metric"), F.col("validation_rmse").alias("value"))
     report = S.write_report(spark, "Boosted-tree regression", MT.round_metrics(final), f"{out_root}/report/{run_id}")
     both = X.split_column({"train": train, "validation": valid})
     push = _push(spark, [
-        ("model", "spark-ml", lambda: artifact["path"]),
+        ("model", "spark-ml", lambda: f"{model_dir}/checkpoint"),  # the folder, as it can be loaded
         ("report", "json", lambda: f"{out_root}/report/{run_id}"),
         ("datasets", "parquet", lambda: S.export_splits(both, out_root, project, S.run_id_of(model_dir))),
     ])
@@ -241,7 +236,7 @@ def tabular_gbt_job(spark: SparkSession, df: DataFrame, columns: str, target: tu
 
 def sentence_classifier_job(spark: SparkSession, splits: dict[str, DataFrame], key: str, text: str, label: str,
                             out_root: str, padded: dict[str, DataFrame] | None = None,
-                            num_features: int = 1 << 16) -> tuple[DataFrame, DataFrame]:
+                            num_features: int = 1 << 18) -> tuple[DataFrame, DataFrame]:
     """E9: classifier fit on train keeping the best epoch on validation, MCC per split,
     contract check of the padded inputs (E6), save, push."""
     model, _history = L.fit_text_classifier_epochs(splits["train"], splits["validation"], text, label,

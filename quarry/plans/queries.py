@@ -23,6 +23,7 @@ from quarry.operators import columns as P
 from quarry.operators import indexing as A
 from quarry.operators import sampling as X
 from quarry.operators.keys import with_hash_key
+from quarry.sources.readers import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,7 +40,7 @@ def query(name: str, oracle: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return load_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # ---------------------------------------------------------------- stand-ins
@@ -385,38 +386,49 @@ def q_prompt_plain_text(spark, d):
 
 @query(
     "prompt_any_row",
-    "SELECT doc_id, to_json(struct_pack(quality := quality, toxic := toxic))::VARCHAR || '</s>' AS text FROM labels",
+    "SELECT doc_id, to_json(struct_pack(quality := quality, toxic := nullif(toxic, 0)))::VARCHAR || '</s>' AS text FROM labels",
 )
 def q_prompt_any_row(spark, d):
-    return TX.format_prompt(table(spark, d, "labels"), keep=["doc_id"])
+    """Rows of another shape as JSON, their NULL columns included."""
+    return TX.format_prompt(table(spark, d, "labels").withColumn("toxic", F.expr("nullif(toxic, 0)")), keep=["doc_id"])
+
+
+@query("project_only", "SELECT text || ' (' || lang || ')' AS line, n_chars // 2 AS half FROM documents")
+def q_project_only(spark, d):
+    """Mapped rows without any of their input columns."""
+    docs = table(spark, d, "documents")
+    line = F.concat("text", F.lit(" ("), "lang", F.lit(")"))
+    return P.project_only(docs, {"line": line, "half": F.floor(F.col("n_chars") / 2)})
 
 
-VOCAB_MAX = 5000
 SPECIALS_SQL = "SELECT * FROM (VALUES ('<pad>', 0), ('<unk>', 1), ('<s>', 2), ('</s>', 3)) v(token, id)"
 
 
-def vocab_sql(max_size: int | None = VOCAB_MAX, text_sql: str = "text", src: str = "documents") -> str:
-    limit = f" QUALIFY row_number() OVER (ORDER BY n DESC, token) <= {max_size - 4}" if max_size else ""
+def marked_words_sql(text_sql: str) -> str:
+    return sql_words(f"replace({text_sql}, '</s>', ' </s> ')")
+
+
+def vocab_sql(text_sql: str = "text", src: str = "documents") -> str:
     return (
-        f"vw AS (SELECT unnest({sql_words(text_sql)}) AS token FROM {src}), "
+        f"vw AS (SELECT unnest({marked_words_sql(text_sql)}) AS token FROM {src}), "
         "vc AS (SELECT token, count(*) AS n FROM vw WHERE token NOT IN ('<pad>', '<unk>', '<s>', '</s>') GROUP BY token), "
-        f"vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) - 1 + 4 AS BIGINT) AS id FROM vc{limit} "
+        f"vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) - 1 + 4 AS BIGINT) AS id FROM vc "
         f"UNION ALL {SPECIALS_SQL})"
     )
 
 
-def doc_vocab(spark, d, max_size: int | None = VOCAB_MAX) -> TX.Vocab:
-    return TX.build_vocab(table(spark, d, "documents"), "text", max_size)
+def doc_vocab(spark, d) -> TX.Vocab:
+    return TX.build_vocab(table(spark, d, "documents"), "text")
 
 
-@query("vocabulary", "WITH " + vocab_sql(None) + " SELECT token, id FROM vocab")
+@query("vocabulary", "WITH " + vocab_sql() + " SELECT token, id FROM vocab")
 def q_vocabulary(spark, d):
-    return doc_vocab(spark, d, None).table
+    return doc_vocab(spark, d).table
 
 
 def ids_sql(src: str, key: str, text_sql: str = "text") -> str:
     """``ids(key, ids)``: token ids per row of ``src`` (needs ``vocab``)."""
-    words_sql = sql_words(f"replace({text_sql}, '</s>', ' </s> ')")
+    words_sql = marked_words_sql(text_sql)
     return (
         f"tw AS (SELECT {key}, {words_sql} AS w FROM {src}), "
         f"tt AS (SELECT {key}, unnest(w) AS token, unnest(generate_series(1, len(w))) AS pos FROM tw), "
@@ -472,7 +484,7 @@ def q_tokenise_padded(spark, d):
 @query(
     "pad_batches",
     "WITH " + vocab_sql() + ", " + ids_sql("documents", "doc_id")
-    + ", t AS (SELECT doc_id, ids[1:100] AS x, (row_number() OVER (ORDER BY doc_id) - 1) // 8 AS batch FROM ids), "
+    + ", t AS (SELECT doc_id, ids AS x, (row_number() OVER (ORDER BY doc_id) - 1) // 8 AS batch FROM ids), "
     "m AS (SELECT *, CAST(ceil(max(len(x)) OVER (PARTITION BY batch) / 8) * 8 AS INTEGER) AS padded_len FROM t) "
     f"SELECT doc_id, batch, padded_len, {sj('x || list_transform(range(padded_len - len(x)), lambda i: 0)')} AS input_ids, "
     f"{sj('x || list_transform(range(padded_len - len(x)), lambda i: -100)')} AS labels, "
@@ -481,7 +493,7 @@ def q_tokenise_padded(spark, d):
 def q_pad_batches(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     vocab = doc_vocab(spark, d)
-    tok = TX.tokenise(docs, vocab, 100, key="doc_id")
+    tok = TX.tokenise(docs, vocab, None, key="doc_id")
     numbered = X.renumber(tok, ["doc_id"], "row_idx").withColumn("batch", F.floor(F.col("row_idx") / 8))
     padded = TX.pad_batches(numbered, "batch", vocab.pad_id, 8)
     return padded.select(
@@ -490,11 +502,11 @@ def q_pad_batches(spark, d):
     )
 
 
-def instruction_tokens(spark, d, max_length: int = 64):
+def instruction_tokens(spark, d, max_length: int = 2048):
     """T1 -> T2 over the instruction pairs, vocabulary built from the formatted text."""
     prompts = TX.format_prompt(pairs_with_context(spark, d), keep=["conv_id", "turn"])
     prompts = prompts.withColumn("row_key", F.concat_ws("-", "conv_id", "turn"))
-    vocab = TX.build_vocab(prompts, "text", VOCAB_MAX)
+    vocab = TX.build_vocab(prompts, "text")
     tok = TX.tokenise(prompts, vocab, max_length, key="row_key")
     return prompts, tok
 
@@ -502,35 +514,35 @@ def instruction_tokens(spark, d, max_length: int = 64):
 INSTR_IDS_SQL = (
     "WITH " + PAIRS_SQL + ", "
     f"prompts AS (SELECT conv_id, turn, conv_id || '-' || turn AS row_key, {INSTR_PROMPT_SQL} AS text FROM pairs), "
-    + vocab_sql(VOCAB_MAX, "text", "prompts") + ", " + ids_sql("prompts", "row_key")
+    + vocab_sql("text", "prompts") + ", " + ids_sql("prompts", "row_key")
 )
 
 
 @query(
     "length_filter",
-    INSTR_IDS_SQL + " SELECT row_key, len(ids[1:64]) AS n_tokens FROM ids WHERE len(ids[1:64]) BETWEEN 10 AND 64",
+    INSTR_IDS_SQL + " SELECT row_key, len(ids[1:2048]) AS n_tokens FROM ids WHERE len(ids[1:2048]) BETWEEN 10 AND 300",
 )
 def q_length_filter(spark, d):
-    _, tok = instruction_tokens(spark, d, 64)
-    return P.filter_length(tok, "input_ids", 10, 64).select("row_key", F.size("input_ids").cast("bigint").alias("n_tokens"))
+    _, tok = instruction_tokens(spark, d)
+    return P.filter_length(tok, "input_ids", 10, 300).select("row_key", F.size("input_ids").cast("bigint").alias("n_tokens"))
 
 
 @query(
     "dataset_stats",
-    INSTR_IDS_SQL + ", f AS (SELECT row_key, ids[1:64] AS x FROM ids WHERE len(ids[1:64]) BETWEEN 10 AND 64) "
+    INSTR_IDS_SQL + ", f AS (SELECT row_key, ids[1:2048] AS x FROM ids WHERE len(ids[1:2048]) BETWEEN 10 AND 300) "
     "SELECT count(*) AS num_samples, 'row_key,input_ids,attention_mask,labels' AS columns, "
     "CAST(arg_min(len(x), row_key) AS BIGINT) AS sample_input_ids_length, CAST(min(len(x)) AS BIGINT) AS min_length, "
     "CAST(max(len(x)) AS BIGINT) AS max_length, round(avg(len(x)), 6) AS avg_length FROM f",
 )
 def q_dataset_stats(spark, d):
-    _, tok = instruction_tokens(spark, d, 64)
-    st = MT.dataset_stats(P.filter_length(tok, "input_ids", 10, 64), "row_key")
+    _, tok = instruction_tokens(spark, d)
+    st = MT.dataset_stats(P.filter_length(tok, "input_ids", 10, 300), "row_key")
     return st.withColumn("avg_length", F.round("avg_length", 6))
 
 
 @query(
     "step_counts",
-    INSTR_IDS_SQL + ", f AS (SELECT row_key FROM ids WHERE len(ids[1:64]) BETWEEN 10 AND 64), "
+    INSTR_IDS_SQL + ", f AS (SELECT row_key FROM ids WHERE len(ids[1:2048]) BETWEEN 10 AND 300), "
     "n AS (SELECT count(*) AS n FROM f) "
     "SELECT 'loaded' AS step, (SELECT count(*) FROM pairs) AS n_rows "
     "UNION ALL SELECT 'tokenised', (SELECT count(*) FROM ids) "
@@ -540,10 +552,10 @@ def q_dataset_stats(spark, d):
     "UNION ALL SELECT 'test', n - CAST(floor(n * 0.8) AS BIGINT) - CAST(floor(n * 0.1) AS BIGINT) FROM n",
 )
 def q_step_counts(spark, d):
-    prompts, tok = instruction_tokens(spark, d, 64)
-    kept = P.filter_length(tok, "input_ids", 10, 64)
-    parts = X.sequential_split(kept, ["row_key"])
-    return MT.step_counts({"loaded": prompts, "tokenised": tok, "filtered": kept, **parts})
+    prompts, tok = instruction_tokens(spark, d)
+    tok = materialize(tok.select("row_key", F.size("input_ids").alias("n")))
+    kept = tok.where(F.col("n").between(10, 300))
+    return MT.step_counts({"loaded": prompts, "tokenised": tok, "filtered": kept}, X.sequential_labelled(kept, ["row_key"]))
 
 
 @query(
@@ -721,15 +733,15 @@ def q_eval_summary(spark, d):
     "contract_violations",
     "WITH " + vocab_sql() + ", " + ids_sql("documents", "doc_id")
     + " SELECT 'logits' AS column, 'missing' AS problem, CAST(NULL AS BIGINT) AS n_rows "
-    "UNION ALL SELECT 'input_ids', 'length != 128', count_if(len(ids[1:128]) <> 128) FROM ids HAVING count_if(len(ids[1:128]) <> 128) > 0 "
-    "UNION ALL SELECT 'attention_mask', 'length != 128', count_if(len(ids[1:128]) <> 128) FROM ids HAVING count_if(len(ids[1:128]) <> 128) > 0",
+    "UNION ALL SELECT 'input_ids', 'length != 128', count_if(len(ids) <> 128) FROM ids HAVING count_if(len(ids) <> 128) > 0 "
+    "UNION ALL SELECT 'attention_mask', 'length != 128', count_if(len(ids) <> 128) FROM ids HAVING count_if(len(ids) <> 128) > 0",
 )
 def q_contract_violations(spark, d):
     """Unpadded tokens checked against the padded model-input contract."""
     from pyspark.sql import types as T
 
     docs = table(spark, d, "documents").select("doc_id", "text")
-    tok = TX.tokenise(docs, doc_vocab(spark, d), 128, key="doc_id")
+    tok = TX.tokenise(docs, doc_vocab(spark, d), None, key="doc_id")
     contract = [
         P.ColumnSpec("input_ids", T.LongType(), 128),
         P.ColumnSpec("attention_mask", T.LongType(), 128),
@@ -742,6 +754,8 @@ def q_contract_violations(spark, d):
 
 from quarry.operators import learners as L  # noqa: E402
 from quarry.operators import mlp as MLP  # noqa: E402
+from quarry.operators import scoring as SC  # noqa: E402
+from quarry.operators.layout import materialize  # noqa: E402
 from quarry.plans import pipelines as E  # noqa: E402
 from quarry.sources import readers as R  # noqa: E402
 from quarry.sources import sinks as S  # noqa: E402
@@ -762,17 +776,20 @@ def doc_features(spark, d) -> DataFrame:
 
 
 def _mlp_fixed_sql(model) -> str:
-    w1, b1, w2, b2 = model.weights
-    feats = [f"CAST({c} AS DOUBLE)" for c in model.features]
-    hidden = []
-    for j in range(w1.shape[1]):
-        terms = " + ".join(f"({float(w1[i, j])!r}) * {x}" for i, x in enumerate(feats))
-        hidden.append(f"greatest(0.0, {terms} + ({float(b1[j])!r}))")
-    out = " + ".join(f"({float(w2[j, 0])!r}) * {h}" for j, h in enumerate(hidden)) + f" + ({float(b2[0])!r})"
-    return f"SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, round({out}, 6) AS prediction FROM lineitem"
+    """The forward pass layer by layer, each a subquery."""
+    keys = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
+    src, names = "lineitem", [f"CAST({c} AS DOUBLE)" for c in model.features]
+    for layer in range(len(model.weights) // 2):
+        w, b = model.weights[2 * layer], model.weights[2 * layer + 1]
+        sums = [" + ".join(f"({float(w[i, j])!r}) * {x}" for i, x in enumerate(names)) + f" + ({float(b[j])!r})" for j in range(w.shape[1])]
+        if layer == len(model.weights) // 2 - 1:
+            return f"SELECT {keys}, round({sums[0]}, 6) AS prediction FROM {src}"
+        cols = ", ".join(f"greatest(0.0, {x}) AS u{layer}_{j}" for j, x in enumerate(sums))
+        src, names = f"(SELECT {keys}, {cols} FROM {src})", [f"u{layer}_{j}" for j in range(w.shape[1])]
+    raise ValueError("a model without layers")
 
 
-FIXED_MLP = MLP.mlp_from_fixed(HOUSING_FEATURES, "target", [4, 8, 1], seed=7)
+FIXED_MLP = MLP.mlp_from_fixed(HOUSING_FEATURES, "target", [4, 64, 32, 1], seed=7)
 
 
 @query("mlp_score_fixed_weights", _mlp_fixed_sql(FIXED_MLP))
@@ -783,41 +800,107 @@ def q_mlp_score_fixed_weights(spark, d):
     return out.withColumn("prediction", F.round("prediction", 6))
 
 
-@query("gbt_fit")
+def _doc_split_sql(where: str = "", cols: str = "") -> str:
+    """``sp(doc_id, split, ...)``: the seeded 75/25 split of the documents."""
+    return (
+        f"hs AS (SELECT doc_id, {sql_hash('doc_id', 1)} AS h, CAST(doc_id AS VARCHAR) AS kt{cols} FROM documents{where}), "
+        "rn AS (SELECT *, row_number() OVER (ORDER BY h, kt) AS rn, count(*) OVER () AS n FROM hs), "
+        "sp AS (SELECT *, CASE WHEN rn <= CAST(floor(n * 0.75) AS BIGINT) THEN 'train' ELSE 'validation' END AS split FROM rn)"
+    )
+
+
+@query(
+    "gbt_fit",
+    "WITH " + _doc_split_sql() + ", v AS (SELECT count(*) AS n_rows FROM sp WHERE split = 'validation') "
+    "SELECT CAST(r AS INTEGER) AS round, n_rows, true AS rmse_matches, true AS beats_mean FROM range(1, 11) t(r), v",
+)
 def q_gbt_fit(spark, d):
-    """Boosted trees on document counts; validation RMSE per round (rows-only)."""
+    """Boosted trees on document counts; per round, whether the reported validation RMSE is
+    the one recomputed from the predictions, and below the mean predictor's."""
     df = doc_features(spark, d)
     train, valid = X.train_test_split(df, 0.25, key="doc_id", seed=1)
     res = L.fit_gbt(train, valid, FIT_FEATURES, "target")
-    return L.gbt_round_metrics(res, spark)
+    again = L.gbt_round_predictions(res, valid).select("target", F.posexplode("rounds").alias("i", "p"))
+    own = again.groupBy((F.col("i") + 1).alias("round")).agg(
+        F.count("*").alias("n_rows"), F.sqrt(F.avg(F.pow(F.col("p") - F.col("target"), 2))).alias("rmse"), F.stddev_pop("target").alias("spread"))
+    both = L.gbt_round_metrics(res, spark).join(own, "round")
+    near = F.abs(F.col("rmse") - F.col("validation_rmse")) <= 1e-6 * F.col("rmse")
+    return both.select("round", "n_rows", near.alias("rmse_matches"), (F.col("validation_rmse") < F.col("spread")).alias("beats_mean"))
 
 
-@query("mlp_fit")
+@query(
+    "mlp_fit",
+    "WITH " + _doc_split_sql() + " SELECT split, count(*) AS n_rows, true AS mse_matches, true AS beats_mean FROM sp GROUP BY split",
+)
 def q_mlp_fit(spark, d):
-    """MLP on document counts; train/validation MSE of the fitted model (rows-only)."""
+    """MLP on document counts; per split, whether the reported MSE is the one recomputed
+    after saving and reloading the model, and below the variance of the target."""
     df = doc_features(spark, d)
     train, valid = X.train_test_split(df, 0.25, key="doc_id", seed=1)
-    model = MLP.fit_mlp(train, FIT_FEATURES, "target", steps=30)
+    model = MLP.fit_mlp(train, FIT_FEATURES, "target", steps=60, lr=0.02)
     both = X.split_column({"train": train, "validation": valid})
-    return MT.mse(MLP.score_mlp(both, model, keep=["split", "target"]), "target", "prediction", by=["split"])
+    reported = MT.mse(MLP.score_mlp(both, model, keep=["split", "target"]), "target", "prediction", by=["split"])
+    loaded = S.load_mlp(spark, S.save_mlp(spark, model, R.scratch_dir(spark, "mlp")))
+    own = SC.score(both, loaded, ["split", "target"]).groupBy("split").agg(
+        F.avg(F.pow(F.col("prediction") - F.col("target"), 2)).alias("own"), F.var_pop("target").alias("spread"))
+    near = F.abs(F.col("mse") - F.col("own")) <= 1e-9 * F.col("own")
+    return reported.join(own, "split").select("split", "n_rows", near.alias("mse_matches"), (F.col("mse") < F.col("spread")).alias("beats_mean"))
 
 
-@query("als_fit")
+@query(
+    "als_fit",
+    "WITH " + _RATINGS_SQL + ", "
+    "k AS (SELECT *, concat_ws('|', l_orderkey, l_linenumber, l_suppkey, item_id, CAST(l_shipdate AS DATE)) AS kt FROM ratings), "
+    "h AS (SELECT *, " + sql_hash("kt", 42) + " AS h FROM k), "
+    "r AS (SELECT *, row_number() OVER (ORDER BY h, kt) AS rn, count(*) OVER () AS n FROM h), "
+    "sp AS (SELECT *, CASE WHEN rn <= CAST(floor(n * 0.8) AS BIGINT) THEN 'train' ELSE 'validation' END AS split FROM r), "
+    "tr AS (SELECT * FROM sp WHERE split = 'train') "
+    "SELECT split, count(*) AS n_rows, true AS in_range, true AS beats_mean FROM sp "
+    "WHERE user_id IN (SELECT user_id FROM tr) AND item_id IN (SELECT item_id FROM tr) GROUP BY split",
+)
 def q_als_fit(spark, d):
-    """Ratings stand-in -> index -> split -> ALS; MSE per split (rows-only)."""
+    """Ratings stand-in -> index -> split -> ALS; per split the rows it can score (user and
+    item known from training), whether all predictions lie in [0, 1], and on the training
+    rows whether the error is below the variance."""
     r = ratings(spark, d)
     splits = E.prepare_ratings(r, ["l_orderkey", "l_linenumber", "l_suppkey", "item_id", F.col("l_shipdate").cast("date")], 0.2, 42)
-    return E.recommender_job(splits, rank=8, iterations=5)
+    model = L.fit_recommender(splits.train)
+    scored = SC.score(X.split_column({"train": splits.train, "validation": splits.validation}), model, ["split", "rating_norm"])
+    out = scored.groupBy("split").agg(
+        F.count("*").alias("n_rows"), F.bool_and(F.col("prediction").between(0.0, 1.0)).alias("in_range"),
+        F.avg(F.pow(F.col("prediction") - F.col("rating_norm"), 2)).alias("mse"), F.var_pop("rating_norm").alias("spread"))
+    return out.select("split", "n_rows", "in_range", ((F.col("split") != "train") | (F.col("mse") < F.col("spread"))).alias("beats_mean"))
 
 
-@query("text_classifier_fit")
+@query(
+    "text_classifier_fit",
+    "WITH " + _doc_split_sql(cols=", lang") + " SELECT CAST(count_if(lang = 'en') AS BIGINT) AS n_positive, CAST(count_if(lang <> 'en') AS BIGINT) AS n_negative, "
+    "true AS learned, true AS reload_equal FROM sp WHERE split = 'validation'",
+)
 def q_text_classifier_fit(spark, d):
-    """``lang = 'en'`` from text: confusion counts and MCC on the held-out split (rows-only)."""
+    """``lang = 'en'`` from text: the held-out classes' sizes from the confusion counts,
+    whether the correlation is above 0.8, and whether the saved and reloaded model
+    predicts alike."""
     docs = table(spark, d, "documents").select("doc_id", "text", (F.col("lang") == "en").cast("int").alias("label"))
     train, valid = X.train_test_split(docs, 0.25, key="doc_id", seed=1)
-    model = L.fit_text_classifier(train, "text", "label", num_features=1 << 16)
-    pred = L.classify(model, valid, ["doc_id", "label"]).withColumn("argmax", M.argmax("logits"))
-    return MT.mcc(pred, "label", "argmax")
+    model = L.fit_text_classifier(train, "text", "label")
+    loaded = S.load_pipeline_model(S.save_pipeline_model(model, R.scratch_dir(spark, "classifier")))
+    pred = SC.score(valid, model, ["doc_id", "label"]).withColumn("argmax", M.argmax("logits"))
+    again = SC.score(valid, loaded, ["doc_id"]).select("doc_id", F.col("prediction").alias("again"))
+    same = pred.join(again, "doc_id").agg(F.bool_and(F.col("prediction") == F.col("again")).alias("reload_equal"))
+    out = MT.mcc(pred, "label", "argmax").select((F.col("tp") + F.col("fn")).alias("n_positive"), (F.col("tn") + F.col("fp")).alias("n_negative"), (F.col("mcc") > 0.8).alias("learned"))
+    return out.join(same, F.lit(True))
+
+
+@query(
+    "keep_inputs",
+    "WITH " + vocab_sql() + ", " + ids_sql("documents", "doc_id")
+    + f" SELECT {sj('ids[1:512]')} AS input_ids, {sj('list_transform(ids[1:512], lambda x: 1)')} AS attention_mask FROM ids",
+)
+def q_keep_inputs(spark, d):
+    """Only the model's inputs of the tokenised rows."""
+    tok = P.keep_inputs(TX.tokenise(table(spark, d, "documents").select("doc_id", "text"), doc_vocab(spark, d), 512, key="doc_id"))
+    return tok.select(aj("input_ids").alias("input_ids"), aj("attention_mask").alias("attention_mask"))
 
 
 # ------------------------------------------------------ sources & sinks
@@ -919,50 +1002,105 @@ def q_model_record(spark, d):
 # ------------------------------------------------------------- jobs E7-E11
 
 
-@query("job_tabular_mlp")
+@query("job_tabular_mlp", "WITH " + _doc_split_sql() + " SELECT split, count(*) AS n_rows, true AS has_mse FROM sp GROUP BY split")
 def q_job_tabular_mlp(spark, d):
     root = R.scratch_dir(spark, "job-mlp")
-    metrics, push = E.tabular_mlp_job(spark, doc_features(spark, d), "doc_id,n_words,n_lines,n_sentences,target",
-                                      ("target", "target"), "doc_id", root, steps=20)
-    return metrics.select("split", "n_rows", F.col("mse").isNotNull().alias("has_mse"))
+    metrics, push = E.tabular_mlp_job(spark, doc_features(spark, d), "n_words,n_lines,n_sentences,target",
+                                      ("target", "target"), "doc_id", root)
+    return metrics.select("split", "n_rows", (F.col("mse") > 0).alias("has_mse"))
 
 
-@query("job_tabular_gbt")
+@query(
+    "job_tabular_gbt",
+    "WITH " + _doc_split_sql() + " SELECT 'model' AS name, true AS success, count(*) AS n_scored, true AS rmse_matches FROM sp WHERE split = 'validation' "
+    "UNION ALL SELECT 'report', true, 0, true UNION ALL SELECT 'datasets', true, 0, true",
+)
 def q_job_tabular_gbt(spark, d):
+    """The push results; the pushed model is loaded from where it was pushed to, scores the
+    exported validation rows, and must give the error that the report names."""
     root = R.scratch_dir(spark, "job-gbt")
     report, push = E.tabular_gbt_job(spark, doc_features(spark, d), "n_words,n_lines,n_sentences,target",
                                      ("target", "target"), "doc_id", root)
-    return push.select("name", "success")
+    where = {r["name"]: r["value"] for r in push.collect()}
+    valid = R.load_splits(spark, where["datasets"], splits=("validation",))["validation"]
+    scored = SC.score(valid, S.load_pipeline_model(where["model"]), ["target"])
+    own = scored.agg(F.count("*").alias("n_scored"), F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("target"), 2))).alias("rmse"))
+    own = own.join(report.select("value"), F.lit(True)).select("n_scored", (F.abs(F.col("rmse") - F.col("value")) <= 1e-4).alias("rmse_matches"), F.lit("model").alias("name"))
+    out = push.select("name", "success").join(own, "name", "left")
+    return out.select("name", "success", F.coalesce("n_scored", F.lit(0)).alias("n_scored"), F.coalesce("rmse_matches", F.col("name") != "model").alias("rmse_matches"))
 
 
-@query("job_sentence_classifier")
+@query(
+    "job_sentence_classifier",
+    "WITH hs AS (SELECT doc_id, lang, " + sql_hash("CAST(doc_id AS VARCHAR)", 1) + " AS h FROM documents), "
+    "r AS (SELECT *, row_number() OVER (ORDER BY h, CAST(doc_id AS VARCHAR)) AS rn, count(*) OVER () AS n FROM hs), "
+    "sp AS (SELECT lang, CASE WHEN rn <= CAST(floor(n * 0.8) AS BIGINT) THEN 'train' "
+    "WHEN rn <= CAST(floor(n * 0.8) AS BIGINT) + CAST(floor(n * 0.1) AS BIGINT) THEN 'validation' ELSE 'test' END AS split FROM r) "
+    "SELECT split, CAST(count_if(lang = 'en') AS BIGINT) AS n_positive, CAST(count_if(lang <> 'en') AS BIGINT) AS n_negative, true AS learned FROM sp GROUP BY split",
+)
 def q_job_sentence_classifier(spark, d):
     docs = table(spark, d, "documents").select("doc_id", F.col("text").alias("sentence"), (F.col("lang") == "en").cast("int").alias("label"))
     parts = X.sequential_split_hashed(with_hash_key(docs, "doc_id", 1))
     root = R.scratch_dir(spark, "job-cls")
     S.export_splits(X.split_column(parts), root, "sentences", "run-1")
-    vocab = TX.build_vocab(parts["train"], "sentence", VOCAB_MAX)
-    splits = E.load_text_splits(spark, f"{root}/datasets/sentences/run-1", vocab, "doc_id", train_fraction=1.0)
     raw = R.load_splits(spark, f"{root}/datasets/sentences/run-1")
+    vocab = TX.build_vocab(raw["train"], "sentence")
+    splits = E.load_text_splits(spark, f"{root}/datasets/sentences/run-1", vocab, "doc_id", fraction=1.0)
     metrics, push = E.sentence_classifier_job(spark, raw, "doc_id", "sentence", "label", root, splits)
-    return metrics.select("split", "tp", "tn", "fp", "fn")
+    return metrics.select("split", (F.col("tp") + F.col("fn")).alias("n_positive"), (F.col("tn") + F.col("fp")).alias("n_negative"), (F.col("mcc") > 0.8).alias("learned"))
 
 
-@query("job_instruction_eval")
+@query(
+    "job_instruction_eval",
+    INSTR_IDS_SQL + ", n AS (SELECT count(*) AS n FROM ids WHERE len(ids[1:512]) BETWEEN 10 AND 512) "
+    "SELECT least(100, n - CAST(floor(n * 0.8) AS BIGINT) - CAST(floor(n * 0.1) AS BIGINT)) AS num_samples_evaluated, true AS above_one FROM n",
+)
 def q_job_instruction_eval(spark, d):
     sources = {"conversations": lambda s: pairs_with_context(s, d).withColumn("row_key", F.concat_ws("-", "conv_id", "turn")).drop("conv_id", "turn")}
-    counts, summary = E.instruction_eval_job(spark, "conversations", sources, "row_key", R.scratch_dir(spark, "job-lm"),
-                                             max_length=256, sample_size=200, num_samples=50)
-    return summary.select("num_samples_evaluated", F.col("average_perplexity") > 1.0)
+    counts, summary = E.instruction_eval_job(spark, "conversations", sources, "row_key", R.scratch_dir(spark, "job-lm"))
+    return summary.select("num_samples_evaluated", (F.col("average_perplexity") > 1.0).alias("above_one"))
 
 
-@query("job_recommender")
+@query(
+    "job_recommender",
+    "WITH t AS (" + TSV_RATINGS_SQL + "), n AS (SELECT count(*) AS n FROM t) "
+    "SELECT 'train' AS split, CAST(floor(n * 0.8) AS BIGINT) AS n_rows FROM n",
+)
 def q_job_recommender(spark, d):
+    """Ratings file -> index -> split -> fit; every training row can be scored.  The key of
+    the ratings repeats, and the split is exact all the same."""
     root = R.scratch_dir(spark, "job-rec")
     tsv = f"{root}/ratings"
     ratings_for_tsv(spark, d).write.option("sep", "\t").csv(tsv)
     splits = E.load_ratings(spark, [f"{root}/cache_missing", tsv])
-    return E.recommender_job(splits, rank=8, iterations=5).select("split", "n_rows")
+    return E.recommender_job(splits).where("split = 'train'").select("split", "n_rows")
+
+
+@query(
+    "exact_split_repeated_key",
+    "WITH n AS (SELECT count(*) AS n FROM documents) SELECT 'train' AS split, CAST(floor(n * 0.75) AS BIGINT) AS n_rows FROM n "
+    "UNION ALL SELECT 'validation', n - CAST(floor(n * 0.75) AS BIGINT) FROM n",
+)
+def q_exact_split_repeated_key(spark, d):
+    """A key of a few values, some of them NULL: the split has the exact sizes."""
+    docs = table(spark, d, "documents").select("doc_id", F.expr("nullif(lang, 'fr')").alias("a"), F.expr("nullif(source, 'src3')").alias("b"))
+    train, valid = X.train_test_split(docs, 0.25, key=["a", "b"], seed=1)
+    return X.split_column({"train": train, "validation": valid}).groupBy("split").agg(F.count("*").alias("n_rows"))
+
+
+@query(
+    "load_ratings",
+    "WITH t AS (" + TSV_RATINGS_SQL + "), n AS (SELECT count(*) AS n, count(DISTINCT user_id) AS u, count(DISTINCT item_id) AS i FROM t) "
+    "SELECT 'train' AS split, CAST(floor(n * 0.8) AS BIGINT) AS n_rows, u AS num_users, i AS num_items FROM n "
+    "UNION ALL SELECT 'validation', n - CAST(floor(n * 0.8) AS BIGINT), u, i FROM n",
+)
+def q_load_ratings(spark, d):
+    """E4 from the ratings file: exact split sizes though the key repeats, and the catalogue."""
+    tsv = f"{R.scratch_dir(spark, 'ratings')}/ratings"
+    ratings_for_tsv(spark, d).write.option("sep", "\t").csv(tsv)
+    splits = E.load_ratings(spark, [tsv])
+    both = X.split_column({"train": splits.train, "validation": splits.validation}).groupBy("split").agg(F.count("*").alias("n_rows"))
+    return both.select("split", "n_rows", F.lit(splits.num_users).cast("bigint").alias("num_users"), F.lit(splits.num_items).cast("bigint").alias("num_items"))
 
 
 @query(
@@ -975,8 +1113,8 @@ def q_job_recommender(spark, d):
 def q_describe_first_row(spark, d):
     """Schema string of the prepared housing frame and its first row by key."""
     df = housing(spark, d)
-    schema, _ = P.describe(df.limit(0))
-    first = X.head(df, 1, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"])
+    schema, rows = P.describe(X.head(df, 1, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]))
+    first = spark.createDataFrame(rows, df.schema)
     return first.select(F.lit(schema).alias("schema"), "l_orderkey", "l_linenumber", "target")
 
 
@@ -1037,7 +1175,7 @@ def _instruction_source(spark, d) -> DataFrame:
     "hs AS (SELECT *, " + sql_hash("row_key", 42) + " AS h FROM pk), "
     "samp AS (SELECT * FROM hs ORDER BY h, row_key LIMIT 200), "
     f"prompts AS (SELECT row_key, {INSTR_PROMPT_SQL} AS text FROM samp), "
-    + vocab_sql(VOCAB_MAX, "text", "prompts") + ", " + ids_sql("prompts", "row_key") + ", "
+    + vocab_sql("text", "prompts") + ", " + ids_sql("prompts", "row_key") + ", "
     "f AS (SELECT row_key, ids[1:64] AS x FROM ids WHERE len(ids[1:64]) BETWEEN 10 AND 64), "
     "fh AS (SELECT *, " + sql_hash("row_key", 42) + " AS h2 FROM f), "
     # seeded order only when a sample was taken (more than 200 pairs), else source order by key
@@ -1051,8 +1189,7 @@ def q_prepare_finetune_splits(spark, d):
     """E3: seeded sample of 200 pairs, prompt text, vocabulary, tokenise (64), length filter,
     80/10/10 in seeded order, saved behind handles and reloaded."""
     data = E.prepare_finetune_dataset(spark, "conversations", {"conversations": lambda s: _instruction_source(s, d)},
-                                      "row_key", R.scratch_dir(spark, "finetune"), max_length=64, sample_size=200,
-                                      vocab_size=VOCAB_MAX)
+                                      "row_key", R.scratch_dir(spark, "finetune"), max_length=64, sample_size=200)
     parts = {"train": data.train, "validation": data.validation, "test": data.test}
     out = X.split_column({k: h.load(spark) for k, h in parts.items()})
     return out.select("row_key", aj("input_ids").alias("input_ids"), "split")
@@ -1065,8 +1202,8 @@ _TEXT_SPLITS_SQL = (
     "sp AS (SELECT doc_id, sentence, label, h, CASE WHEN rn <= CAST(floor(n * 0.8) AS BIGINT) THEN 'train' "
     "WHEN rn <= CAST(floor(n * 0.8) AS BIGINT) + CAST(floor(n * 0.1) AS BIGINT) THEN 'validation' ELSE 'test' END AS split FROM r), "
     "trainrows AS (SELECT * FROM sp WHERE split = 'train'), "
-    + vocab_sql(VOCAB_MAX, "sentence", "trainrows") + ", "
-    "sel AS (SELECT * FROM sp WHERE split <> 'train' OR h < CAST(0.5 * power(2, 60) AS BIGINT)), "
+    + vocab_sql("sentence", "trainrows") + ", "
+    "sel AS (SELECT * FROM sp WHERE h < CAST(0.5 * power(2, 60) AS BIGINT)), "
     + ids_sql("sel", "doc_id", "sentence") + ", "
     "body AS (SELECT ids.doc_id, [2::BIGINT] || ids[1:126] || [3::BIGINT] AS b FROM ids) "
     f"SELECT sel.doc_id, sel.label, sel.split, {sj('b || list_transform(range(128 - len(b)), lambda x: 0)')} AS input_ids "
@@ -1077,21 +1214,21 @@ _TEXT_SPLITS_SQL = (
 @query("load_text_splits", _TEXT_SPLITS_SQL)
 def q_load_text_splits(spark, d):
     """E6: named splits written as ``split=`` folders, reloaded by name; a seeded 50 % sample of
-    train before tokenising; padded 128-token inputs with the label carried."""
+    each before tokenising; padded 128-token inputs with the label carried."""
     docs = table(spark, d, "documents").select(
         "doc_id", F.col("text").alias("sentence"), (F.col("lang") == "en").cast("int").alias("label")
     )
     parts = X.sequential_split_hashed(with_hash_key(docs, "doc_id", 1))
     root = S.export_splits(X.split_column(parts), R.scratch_dir(spark, "text-splits"), "sentences", "run-1")
-    vocab = TX.build_vocab(parts["train"], "sentence", VOCAB_MAX)
-    splits = E.load_text_splits(spark, root, vocab, "doc_id", text="sentence", label="label", train_fraction=0.5)
+    vocab = TX.build_vocab(parts["train"], "sentence")
+    splits = E.load_text_splits(spark, root, vocab, "doc_id", text="sentence", label="label", fraction=0.5)
     out = X.split_column(splits)
     return out.select("doc_id", "label", "split", aj("input_ids").alias("input_ids"))
 
 
 _EVAL_LM_SQL = (
     "WITH " + vocab_sql() + ", " + ids_sql("documents", "doc_id") + ", "
-    "t AS (SELECT doc_id, ids[1:256] AS x FROM ids), "
+    "t AS (SELECT doc_id, ids AS x FROM ids), "
     "g AS (SELECT doc_id, CAST(unnest(x) AS VARCHAR) AS token, unnest(generate_series(1, len(x))) AS pos FROM t), "
     "g2 AS (SELECT doc_id, token, coalesce(lag(token) OVER (PARTITION BY doc_id ORDER BY pos), '<s>') AS prev FROM g), "
     "cnt AS (SELECT prev, token, count(*) AS c FROM g2 GROUP BY prev, token), "
@@ -1114,7 +1251,7 @@ def q_evaluate_lm_head(spark, d):
     """E5: first 100 rows by key of the token-id data, bigram-LM perplexity per row (labels
     default to ids), generation score of the continuation for rows over 20 tokens, summary."""
     docs = table(spark, d, "documents").select("doc_id", "text")
-    tok = TX.tokenise(docs, doc_vocab(spark, d), 256, key="doc_id")
+    tok = materialize(TX.tokenise(docs, doc_vocab(spark, d), None, key="doc_id"))
     lm = LM.fit_ngram_lm(tok, "doc_id", tokens_col="input_ids", n=2)
     s = E.evaluate_lm(tok, lm, "doc_id", num_samples=100)
     return s.select(

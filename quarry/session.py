@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -47,7 +48,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):
         raise RuntimeError(
             "set spark.checkpoint.dir to a shared folder: exact ranks cut lineage with checkpoint()"
         )

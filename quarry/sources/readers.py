@@ -124,7 +124,7 @@ def load_instructions(spark: SparkSession, name: str, sample_size: int, sources:
     from quarry.operators.sampling import sample_n
 
     if name not in sources:
-        raise ValueError(f"Unsupported dataset: {name}")
+        raise ValueError(f"no source is registered under {name!r}")
     df = sources[name](spark)
     return sample_n(df, sample_size, key, seed) if key is not None else df
 

@@ -37,10 +37,6 @@ def run_id_of(path: str) -> str:
     return path.rstrip("/").split("/")[-1]
 
 
-def run_id_col(path_col) -> "F.Column":
-    return F.element_at(F.split(F.regexp_replace(path_col, "/+$", ""), "/"), -1)
-
-
 def export_splits(df: DataFrame, root: str, project: str, run_id: str, split_col: str = "split") -> str:
     """Write ``datasets/<project>/<run_id>/split=<name>/`` in one distributed write.
 

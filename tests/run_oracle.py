@@ -23,7 +23,7 @@ def main():
 
         spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
     else:
-        spark = local_session(8)
+        spark = local_session(int(os.environ.get("QUARRY_CORES", "8")))
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf)
     qs, orc = E.queries(), E.oracle_sql()

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import sampling as X
-from quarry.operators.keys import H, K, HashOrder, first_k_predicate, hash_rank, rank_by, with_hash_key
+from quarry.operators.keys import H, K, HashOrder, first_k, hash_rank, rank_by, with_hash_key
 
 
 def py_hash(key: str, seed) -> int:
@@ -30,7 +30,7 @@ def test_first_k_exact(spark, k, narrow):
     keyed = with_hash_key(frame(spark, n), "k", 3)
     # narrow=True: 16 fine buckets of ~31 rows > leaf 5, so the recursive narrowing runs
     order = HashOrder(keyed, fine_bits=4, coarse_bits=2, leaf_rows=5, fanout_bits=3) if narrow else HashOrder(keyed)
-    got = sorted(r["k"] for r in keyed.where(first_k_predicate(order, k)).select("k").collect())
+    got = sorted(r["k"] for r in first_k(keyed, order, k)[0].select("k").collect())
     brute = sorted(range(n), key=lambda i: (py_hash(str(i), 3), str(i)))[: min(k, n)]
     assert got == sorted(brute)
 
@@ -110,17 +110,20 @@ def test_sequential_split(spark):
     assert max(r["k"] for r in parts["train"].collect()) == 83
 
 
-def test_duplicate_keys_rejected(spark):
-    df = spark.range(200).select(F.lit(1).alias("k"))
+def test_one_key_for_all_rows(spark):
+    """A cut inside a key that all rows share names how many of them it takes."""
+    df = spark.range(200).select(F.lit(1).alias("k"), F.col("id"))
     keyed = with_hash_key(df, "k", 1)
-    with pytest.raises(ValueError):
-        HashOrder(keyed, fine_bits=8, leaf_rows=10, fanout_bits=30).boundary(50)
+    order = HashOrder(keyed, fine_bits=8, leaf_rows=10, fanout_bits=30)
+    assert order.boundary(50).taken == 50
+    first, rest = first_k(keyed, order, 50)
+    assert first.count() == 50 and rest.count() == 150
 
 
 def test_key_text_columns(spark):
     df = spark.createDataFrame([(1, "a", None)], "x long, y string, z string")
     r = with_hash_key(df, ["x", "y", "z"], 9).select(K, H).collect()[0]
-    assert r[K] == "1|a" and r[H] == py_hash("1|a", 9)
+    assert r[K] == "1|a|\\N" and r[H] == py_hash("1|a|\\N", 9)
 
 
 def test_head_large_path(spark, monkeypatch):
@@ -141,3 +144,23 @@ def test_checkpointed_fine_counts_path(spark):
     assert bounds[801] is None
     for k in (1, 200, 599, 600, 800):
         assert bounds[k].key == str(brute[k - 1])
+
+
+def test_cuts_are_exact_on_repeated_and_null_keys(spark):
+    rows = [(i % 10 if i % 7 else None, "x" if i % 3 else None, i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "a int, b string, v int")
+    t, v = X.train_test_split(df, 0.25, key=["a", "b"], seed=1)
+    assert (t.count(), v.count()) == (750, 250)
+    assert sorted(r["v"] for r in t.union(v).collect()) == list(range(1000))
+    same = spark.createDataFrame([(1, 2)] * 40, "a int, v int")
+    t, v = X.permutation_split(same, 0.2, key="a")
+    assert (t.count(), v.count()) == (32, 8)
+    assert X.sample_n(df, 123, key="a").count() == 123
+    parts = X.sequential_split_hashed(with_hash_key(df, "a", 1))
+    assert {k: p.count() for k, p in parts.items()} == {"train": 800, "validation": 100, "test": 100}
+    assert "_qt" not in parts["train"].columns
+
+
+def test_null_parts_are_marked(spark):
+    df = spark.createDataFrame([("a", None), (None, "a")], "x string, y string")
+    assert with_hash_key(df, ["x", "y"], 1).select(K).distinct().count() == 2
