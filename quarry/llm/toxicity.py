@@ -169,7 +169,7 @@ def backward(p: Params, vecs: np.ndarray, flat, kept, dlogit: np.ndarray) -> Par
     return g
 
 
-def train(model: Model, windows: list[list[str]], toxic: np.ndarray, hidden: int = 8, width: int = 10, epochs: int = 4, batch: int = 128, rate: float = 0.01, seed: int = 5) -> Params:
+def train(model: Model, windows: list[list[str]], toxic: np.ndarray, hidden: int = 8, width: int = 10, steps: int = 400, batch: int = 128, rate: float = 0.01, seed: int = 5) -> Params:
     rng = np.random.default_rng(seed)
     inputs = Inputs(model)
     ids = np.zeros((len(windows), WINDOW), np.int32)
@@ -183,7 +183,7 @@ def train(model: Model, windows: list[list[str]], toxic: np.ndarray, hidden: int
         p |= {d + "x": normal(width, 3 * hidden), d + "h": normal(hidden, 3 * hidden), d + "b": np.zeros(3 * hidden)}
     m, v, step = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}, 0
     weight = np.where(toxic == 1, min(8.0, 0.5 * len(toxic) / max(1, toxic.sum())), 1.0)
-    for _ in range(epochs):
+    while step < steps:
         order = rng.permutation(len(windows))
         for at in range(0, len(order), batch):
             rows = order[at : at + batch]

@@ -199,7 +199,7 @@ def test_gradients_match_finite_differences():
     ids = np.zeros((3, toxicity.WINDOW), np.int32)
     filled = np.array([len(w) for w in windows])
     ids[np.arange(toxicity.WINDOW)[None] < filled[:, None]] = inputs.look_up([w for ws in windows for w in ws])
-    p = {k: v.astype(float) for k, v in toxicity.train(model, windows, np.array([1.0, 0, 0]), hidden=3, width=4, epochs=1).items()}
+    p = {k: v.astype(float) for k, v in toxicity.train(model, windows, np.array([1.0, 0, 0]), hidden=3, width=4, steps=1).items()}
     flat = inputs.flat()
     loss = lambda p: toxicity.forward(p, toxicity.vectors(p, flat), ids, filled).sum()
     vecs = toxicity.vectors(p, flat)
