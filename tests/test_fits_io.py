@@ -59,7 +59,9 @@ def test_als_low_rank(spark):
 
 
 def test_text_classifier(spark):
-    r = Q.q_text_classifier_fit(spark, SF_ORACLE).collect()[0]
+    docs = Q.table(spark, SF_ORACLE, "documents").select("doc_id", "text", (F.col("lang") == "en").cast("int").alias("label"))
+    train, valid = Q.X.train_test_split(docs, 0.25, key="doc_id", seed=1)
+    r = Q.MT.mcc(Q.L.classify(Q.L.fit_text_classifier(train), valid, ["label"]), "label", "prediction").collect()[0]
     acc = (r["tp"] + r["tn"]) / (r["tp"] + r["tn"] + r["fp"] + r["fn"])
     assert acc > 0.9 and r["mcc"] > 0.8
 
