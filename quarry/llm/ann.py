@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import saved
+from quarry.llm.common import saved, shuffle_partitions
 
 WIDTH = 2.0
 FIT_ROWS, FIT_QUERIES = 20_000, 100
@@ -109,7 +109,7 @@ def fit(vectors: DataFrame, d: int, k: int, tables: int = 8, recall: float = 0.9
     n, norm = stats["n"], float(np.sqrt(stats["norm"] or 1.0))
     rng = np.random.default_rng(seed)
     m = int(np.clip(round(np.log2(max(2, n / 16)) / 1.5), 2, 16))
-    coarse = int(np.clip(np.ceil(np.log(max(1, n / 5000)) / np.log(2.5)), 1, m))
+    coarse = int(np.clip(round(np.log(max(1, n / GROUP_ROWS)) / np.log(2.5)), 1, m))
     index = Index(rng.normal(size=(tables, d + 1, m)), rng.uniform(0, WIDTH, (tables, m)), coarse, norm, 1)
     share = min(1 << 20, int(FIT_ROWS / max(1, n) * (1 << 20)))
     sample = np.array([r["v"] for r in vectors.where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < share).select("v").collect()])
@@ -198,7 +198,7 @@ def search(rows: DataFrame, is_query, k: int = 20, tables: int = 8, recall: floa
                 yield pd.DataFrame(out, columns=["tab", "grp", "cells", "key", "v"])
 
     indexed = saved(vectors.select("key", "v").mapInPandas(lambda b: cells(b, False), "tab int, grp long, cell long, key long, v array<double>"))
-    probing = queries.mapInPandas(lambda b: cells(b, True), "tab int, grp long, cells array<long>, key long, v array<double>")
+    probing = queries.repartition(shuffle_partitions(rows.sparkSession), "key").mapInPandas(lambda b: cells(b, True), "tab int, grp long, cells array<long>, key long, v array<double>")
     parts = saved(indexed.groupBy("tab", "grp").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("parts")))
     right = indexed.join(parts, ["tab", "grp"]).select("tab", "grp", "cell", "key", "v", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"))
     asked = parts.select(F.col("tab").alias("t"), F.col("grp").alias("g"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
