@@ -141,7 +141,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
                         names=["run", "page_id", "url_key", "captured_at", "record_type", "payload_bytes", "payload_digest", "refers_to"])
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.repartition(F.col("path")).mapInArrow(run, RUN)
+    return files.mapInArrow(run, RUN)  # files are read where they are parsed
 
 
 def loser_tree_merge(runs: list[list[tuple]]) -> Iterator[tuple]:
