@@ -13,7 +13,7 @@ each; a null id is kept; an empty table gives no rows; other columns are not rea
 
 from __future__ import annotations
 
-import re
+import functools
 import zlib
 from array import array
 from collections.abc import Callable
@@ -26,42 +26,64 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import map_rows, saved
 
-#: Chunks kept per task with their ids, before the cache starts anew.
-CACHE_ENTRIES = 300_000
+#: Chunks kept per worker with their ids, before the cache starts anew.
+CACHE_ENTRIES = 400_000
 
-#: Letters and what may close them, once more after a line end.
-PLAIN = re.compile(r"([^\W\d_]+)([.,;:!?]*)(?:\n([^\W\d_]+)([.,;:!?]*))?")
+#: Fixed value: the pattern of the byte-level pre-tokeniser.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Punctuation that often closes a word.
+CLOSING = ".,;:!?"
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, piece long"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def _merger(tokenizer) -> Callable[[str], list[int]] | None:
-    """The ids of one run of letters or punctuation, by the tokenizer's own merges.  A
-    byte-level vocabulary whose ids follow its merges (checked) can be merged by rank;
-    None where it isn't one."""
+def _byte_pair(tokenizer) -> Callable[[str], list[int]]:
+    """The tokenizer's ``encode`` without its overhead on short texts.  A byte-level
+    vocabulary whose ids follow its merges (checked) can be merged by rank, with the
+    pre-tokeniser's pattern; any other is left to the tokenizer itself."""
     import json
 
     import tiktoken
 
-    model = json.loads(tokenizer.to_str())["model"]
+    parts = json.loads(tokenizer.to_str())
+    model, pre = parts["model"], parts.get("pre_tokenizer") or {}
     seen = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes written as themselves, the others from 256 on
     byte = {chr(b): b for b in seen} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in seen)}
     vocab, merges = model.get("vocab"), [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model.get("merges") or ()]
-    if not merges or any(vocab.get(a + b) != 256 + i for i, (a, b) in enumerate(merges)) or sorted(vocab.get(c, -1) for c in byte) != list(range(256)):
-        return None
+    plain = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not parts.get("normalizer")
+    if not plain or not merges or any(vocab.get(a + b) != 256 + i for i, (a, b) in enumerate(merges)) or sorted(vocab.get(c, -1) for c in byte) != list(range(256)):
+        return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
     ranks = {bytes([byte[c] for c in w]): i for w, i in vocab.items() if i < 256 + len(merges)}
-    return tiktoken.Encoding("runs", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return tiktoken.Encoding("chunks", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
+class _Chunks(dict):
+    """Ids, as little-endian uint32 bytes, of a chunk between single spaces, with the space
+    before it.  Letters never join with closing punctuation, so both are looked up apart.
+    A chunk that borders on more white space raises."""
+
+    def __init__(self, ids: Callable[[str], bytes]):
+        self.ids, self.closing = ids, {c: ids(c) for c in CLOSING}
+
+    def __missing__(self, chunk: str) -> bytes:
+        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+            raise KeyError(chunk)
+        if chunk[-1] in self.closing and chunk[:-1].isalpha():
+            got = self[chunk[:-1]] + self.closing[chunk[-1]]
+        else:
+            got = self.ids(" " + chunk)
+        self[chunk] = got
+        return got
+
+
+@functools.lru_cache(maxsize=2)  # a worker keeps it from task to task
 def _encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     """Texts to their ids as little-endian uint32 bytes.
 
     The pre-tokeniser never joins what stands on the two sides of a single space, except
-    that the space leads the right side; nor letters with punctuation, nor either with a
-    line end between them.  So ids are kept per chunk between single spaces, and of a
-    plain chunk per run of letters and of punctuation; a text with a chunk that borders on
-    more white space is encoded whole.
+    that the space leads the right side.  So ids are kept per chunk between single spaces;
+    a text with a chunk that borders on more white space is encoded whole.
     """
     import os
 
@@ -70,45 +92,23 @@ def _encoder(path: str) -> Callable[[list[str]], list[bytes]]:
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    merge = _merger(tokenizer)
-    chunks: dict[str, bytes] = {}
-    parts: dict[str, bytes] = {}
-
-    def ids(texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(new: list[str]) -> None:
-        plain, other = {}, []
-        for c in new:
-            m = PLAIN.fullmatch(c) if merge else None
-            if m is None or not m[1].isalpha() or m[3] and not m[3].isalpha():
-                other.append(c)
-            else:
-                plain[c] = (" " + m[1], m[2], *(("\n", m[3], m[4]) if m[3] else ()))
-        chunks.update(zip(other, ids([" " + c for c in other])))
-        for x in set().union(*plain.values()).difference(parts):
-            parts[x] = array("I", merge(x)).tobytes()
-        chunks.update((c, b"".join([parts[y] for y in x])) for c, x in plain.items())
+    pairs = _byte_pair(tokenizer)
+    ids = lambda text: array("I", pairs(text)).tobytes()
+    chunks = _Chunks(ids)
+
+    def one(text: str) -> bytes:
+        cut = text.split(" ")
+        if len(cut) < 3 or not cut[0] or cut[0][-1].isspace() or not cut[-1] or cut[-1][0].isspace():
+            return ids(text)
+        try:
+            return b"".join([ids(cut[0]), *map(chunks.__getitem__, cut[1:-1]), ids(" " + cut[-1])])
+        except KeyError:  # white space meets white space
+            return ids(text)
 
     def encode(texts: list[str]) -> list[bytes]:
         if len(chunks) > CACHE_ENTRIES:
             chunks.clear()
-            parts.clear()
-        cut = [t.split(" ") for t in texts]
-        inner = set().union(*(c[1:-1] for c in cut)).difference(chunks)
-        learn([c for c in inner if c and not c[0].isspace() and not c[-1].isspace()])
-        edges, middle = [], []
-        for text, c in zip(texts, cut):
-            try:
-                if len(c) < 3 or not c[0] or c[0][-1].isspace() or not c[-1] or c[-1][0].isspace():
-                    raise KeyError
-                middle.append(b"".join(map(chunks.__getitem__, c[1:-1])))
-                edges += [c[0], " " + c[-1]]
-            except KeyError:  # white space meets white space
-                middle.append(b"")
-                edges += [text, ""]
-        ends = ids(edges)
-        return [ends[2 * i] + m + ends[2 * i + 1] for i, m in enumerate(middle)]
+        return [one(t) for t in texts]
 
     return encode
 
