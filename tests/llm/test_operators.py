@@ -322,3 +322,36 @@ def test_tree_codes_are_a_distribution():
     mass = sum(math.exp(-lm_scoring.score_batch(model, [[w]])[0]) for w in (b"a", b"b"))
     spelled = sum(math.exp(-lm_scoring.score_batch(model, [[bytes([x])]])[0]) for x in range(256) if bytes([x]) not in words and x != 32)
     assert 0 < mass < 1 and mass + spelled <= 1
+
+
+def test_lm_followers_are_summed_over_the_corpus(spark, monkeypatch):
+    """A pair that stands once in each of many partitions counts, contexts' totals hold all
+    words, and neither the partitioning nor what tasks hold changes a follower or a score."""
+    gen = random.Random(8)
+    rows = [(i, f"alpha beta {sentence(EN + DE, 12)} x{gen.randrange(10**6)} gamma {gen.choice(EN)}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    words = {t: i for i, t in enumerate(sorted({t for _, x in rows for t in lm_scoring.tokens_of(x) if not t.startswith(b"x")}))}
+    shared = spark.sparkContext.broadcast(words)
+    pairs = Counter()
+    for _, text in rows:
+        tokens = lm_scoring.tokens_of(text)
+        names = np.array([lm_scoring.xxhash.xxh64_intdigest(t) for t in tokens], np.uint64)
+        for contexts in lm_scoring.contexts_of(names, np.arange(len(tokens))):
+            pairs.update((int(c), words.get(t, -1)) for c, t in zip(contexts.view(np.int64), tokens))
+    total = Counter()
+    for (c, _), n in pairs.items():
+        total[c] += n
+    want = {}
+    for c in total:
+        n, word = max((n, w) for (x, w), n in pairs.items() if x == c)
+        if word >= 0 and n >= lm_scoring.HITS and 2 * n >= total[c]:
+            share = n / (total[c] + 1.0)
+            want[c] = (n, word, 1 + (share > 0.8) + (share > 0.95))
+    for parts in (1, 60):
+        got = {r.context: (r.n, r.word, r.sure) for r in lm_scoring.followers(df.repartition(parts), shared).collect()}
+        assert got == want and any(w == words[b"beta"] for _, w, _ in got.values())
+    scores = []
+    for held in (1 << 18, 3):
+        monkeypatch.setattr(lm_scoring, "FOLLOWERS", held)
+        scores.append({r.doc_id: r.score for r in lm_scoring.score(df.repartition(7), F.col("doc_id") % 5 != 2).collect()})
+    assert scores[0] == pytest.approx(scores[1], rel=1e-4)
