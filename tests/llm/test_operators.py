@@ -348,10 +348,28 @@ def test_lm_followers_are_summed_over_the_corpus(spark, monkeypatch):
             share = n / (total[c] + 1.0)
             want[c] = (n, word, 1 + (share > 0.8) + (share > 0.95))
     for parts in (1, 60):
-        got = {r.context: (r.n, r.word, r.sure) for r in lm_scoring.followers(df.repartition(parts), shared).collect()}
+        got = {r.context: (r.n, r.word, r.sure & 3) for r in lm_scoring.followers(df.repartition(parts), shared).collect()}
         assert got == want and any(w == words[b"beta"] for _, w, _ in got.values())
     scores = []
     for held in (1 << 18, 3):
         monkeypatch.setattr(lm_scoring, "FOLLOWERS", held)
         scores.append({r.doc_id: r.score for r in lm_scoring.score(df.repartition(7), F.col("doc_id") % 5 != 2).collect()})
     assert scores[0] == pytest.approx(scores[1], rel=1e-4)
+
+
+def test_lm_learns_from_all_texts_and_every_few_tokens(spark):
+    """Long texts teach the starting weights like any other, however they are dealt out, and
+    a document learns online well before 128 tokens."""
+    long = " ".join(sentence(EN, 50) for _ in range(120))
+    assert len(long) > 20_000
+    df = spark.createDataFrame([(i, long) for i in range(2)] + [(9, "the of")], "doc_id long, text string").withColumn("learn", F.lit(True))
+    models = [lm_scoring.train(df.repartition(n))[0] for n in (1, 3)]
+    assert not np.allclose(models[0].weights, lm_scoring.start_weights())
+    assert np.allclose(models[0].weights, models[1].weights) and np.allclose(models[0].refine, models[1].refine)
+    model = models[0]
+    same = [b"zzqx"] * 100
+    batch = lm_scoring.Batch(model, [same])
+    mixer = lm_scoring.Mixer(model.weights, model.refine, 1)
+    fixed = lm_scoring.Mixer(model.weights, model.refine, 1)
+    batch.costs(mixer)
+    assert not np.allclose(mixer.w, fixed.w)
