@@ -8,9 +8,10 @@ with the same inputs are computed once per batch.
 
 The classifier is fitted on a bounded sample (``fit_docs`` labelled rows, chosen by a
 hash of the id).  A Spark pass counts in how many toxic and clean documents each word and
-n-gram stands, and those that stand in toxic ones far more often than chance (``surprise``
-standard deviations) get vectors of their own, all others one in common; a second picks the most suspicious window of each sampled document, and
-one more window of each clean one; the driver gets those windows only.
+n-gram stands: each that stands in ``support`` of them gets a vector of its own, all others
+share ``HASHED`` vectors by a hash, so every word of a window is read.  A second pass picks
+the window of each sampled document with the word that stands in toxic ones most above
+chance, and one more window of each clean one; the driver gets those windows only.
 
 Defined cases: null or empty text, or one without words, scores as an empty window; null
 labels teach nothing; with one class only, every score is that class's share; several
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -36,6 +38,8 @@ from quarry.llm.common import map_rows, saved
 WORD = re.compile(r"[^\W\d_]+")
 WINDOW, STRIDE = 32, 24
 GRAM = 5
+#: Vectors that the words without one of their own share, and those that the n-grams do.
+HASHED = 4096
 #: Words whose inputs a task keeps, before it starts anew.
 CACHE_ENTRIES = 400_000
 Params = dict[str, np.ndarray]
@@ -48,11 +52,22 @@ def grams_of(word: str) -> set[str]:
 
 @dataclass
 class Model:
-    words: dict[str, int]  # known words and n-grams; 0 stands for all others
+    words: dict[str, int]  # known words and n-grams, from 1 on; 0 is the padding
     grams: dict[str, int]
     params: Params = field(default_factory=dict)
+    start: list[np.ndarray] | None = None  # what counts tell of each word and n-gram, to learn from
     constant: float | None = None  # the score, where there is nothing to learn
 
+    def inputs(self, word: str) -> tuple[int, tuple[int, ...]]:
+        """The numbers of a word's vector and of its n-grams'."""
+        at = [_number(self.grams, g) for g in grams_of(word)]
+        return _number(self.words, word), tuple(sorted(at))
+
+
+def _number(known: dict[str, int], name: str) -> int:
+    got = known.get(name)
+    return len(known) + 1 + zlib.crc32(name.encode("utf-8", "surrogatepass")) % HASHED if got is None else got
+
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
@@ -63,7 +78,7 @@ class Inputs:
 
     def __init__(self, model: Model):
         self.model, self.by_word, self.by_input, self.inputs = model, {}, {}, []
-        self.number(0, ())  # the padding, and every word of which nothing is known
+        self.number(0, ())  # the padding
 
     def number(self, word: int, grams: tuple[int, ...]) -> int:
         got = self.by_input.get((word, grams))
@@ -78,14 +93,15 @@ class Inputs:
             self.__init__(model)
             known = self.by_word
         for w in set(words).difference(known):
-            at = [model.grams[g] for g in grams_of(w) if g in model.grams]
-            known[w] = self.number(model.words.get(w, 0), tuple(sorted(at)))
+            known[w] = self.number(*model.inputs(w))
         return np.fromiter(map(known.__getitem__, words), np.int32, len(words))
 
-    def flat(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Word ids, n-gram ids one after the other, and how many each input has."""
-        sizes = np.array([len(g) for _, g in self.inputs])
-        return np.array([w for w, _ in self.inputs]), np.array([x for _, g in self.inputs for x in g], dtype=int), sizes
+    def flat(self, start: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Word ids, n-gram ids one after the other, and how many each input has, from the
+        input ``start`` on."""
+        inputs = self.inputs[start:]
+        sizes = np.array([len(g) for _, g in inputs], int)
+        return np.array([w for w, _ in inputs], int), np.array([x for _, g in inputs for x in g], dtype=int), sizes
 
 
 def vectors(p: Params, flat: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
@@ -97,6 +113,14 @@ def vectors(p: Params, flat: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.nd
     return out
 
 
+def part_of(flat: tuple[np.ndarray, np.ndarray, np.ndarray], at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``flat`` of the inputs ``at`` only."""
+    word, grams, sizes = flat
+    own = sizes[at]
+    place = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+    return word[at], grams[np.repeat((np.cumsum(sizes) - sizes)[at], own) + place], own
+
+
 def _layer(p: Params, d: str, x: np.ndarray, mask: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
     """States [time, row, hidden] of one direction; x: [time, row, 3 * hidden], projected."""
     h_size = p[d + "h"].shape[0]
@@ -178,26 +202,32 @@ def train(model: Model, windows: list[list[str]], toxic: np.ndarray, hidden: int
     ids[np.arange(WINDOW)[None] < filled[:, None]] = flat_ids
     flat = inputs.flat()
     normal = lambda *s: rng.normal(0, 1 / math.sqrt(s[0]), s)
-    p: Params = {"word": 0.3 * rng.normal(size=(len(model.words) + 1, width)), "gram": 0.3 * rng.normal(size=(len(model.grams) + 1, width)), "att": normal(2 * hidden, 8), "attv": normal(8), "out": normal(2 * hidden), "outb": np.zeros(1)}
+    p: Params = {"word": 0.1 * rng.normal(size=(len(model.words) + 1 + HASHED, width)), "gram": 0.1 * rng.normal(size=(len(model.grams) + 1 + HASHED, width)), "att": normal(2 * hidden, 8), "attv": normal(8), "out": normal(2 * hidden), "outb": np.zeros(1)}
     for d in "fb":
         p |= {d + "x": normal(width, 3 * hidden), d + "h": normal(hidden, 3 * hidden), d + "b": np.zeros(3 * hidden)}
+    for k, told in zip(("word", "gram"), model.start or []):
+        p[k][1 : len(told) + 1, 0] += told
     m, v, step = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}, 0
     weight = np.where(toxic == 1, min(8.0, 0.5 * len(toxic) / max(1, toxic.sum())), 1.0)
     while step < steps:
         order = rng.permutation(len(windows))
         for at in range(0, len(order), batch):
             rows = order[at : at + batch]
-            vecs = vectors(p, flat)
-            logit, kept = forward(p, vecs, ids[rows], filled[rows], keep=True)
+            used, own = np.unique(ids[rows], return_inverse=True)
+            part = part_of(flat, used)
+            vecs = vectors(p, part)
+            logit, kept = forward(p, vecs, own.reshape(len(rows), WINDOW), filled[rows], keep=True)
             dlogit = (_sigmoid(logit) - toxic[rows]) * weight[rows] / len(rows)
             step += 1
-            for k, gk in backward(p, vecs, flat, kept, dlogit).items():
-                m[k], v[k] = 0.9 * m[k] + 0.1 * gk, 0.999 * v[k] + 0.001 * gk * gk
-                p[k] = p[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
+            for k, gk in backward(p, vecs, part, kept, dlogit).items():
+                at_k = np.unique(part[0 if k == "word" else 1]) if k in ("word", "gram") else slice(None)  # vectors of this batch only
+                gk = gk[at_k]
+                m[k][at_k], v[k][at_k] = 0.9 * m[k][at_k] + 0.1 * gk, 0.999 * v[k][at_k] + 0.001 * gk * gk
+                p[k][at_k] -= rate * (m[k][at_k] / (1 - 0.9**step)) / (np.sqrt(v[k][at_k] / (1 - 0.999**step)) + 1e-8)
     return {k: x.astype(np.float32) for k, x in p.items()}
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 10_000, entries: int = 1500, neutral: int = 0, support: int = 5, surprise: float = 7.0, seed: int = 3) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 10_000, support: int = 5, seed: int = 3) -> Model:
     """``docs``: ``doc_id, text``; ``labels``: ``doc_id, toxic`` of the rows to learn from."""
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     total = marks.count()
@@ -228,35 +258,32 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 10_000, entries: int
         return Model({}, {}, constant=float(n_toxic > 0))
     counts = sample.select("text", F.least("toxic", F.lit(1)).alias("toxic")).mapInArrow(count, "kind int, gram string, clean long, toxic long")
     counts = counts.groupBy("kind", "gram").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    odds = F.log((F.col("toxic") + 0.1) / n_toxic) - F.log((F.col("clean") + 0.1) / n_clean)
     expected = (F.col("clean") + F.col("toxic")) * (n_toxic / (n_clean + n_toxic))
-    counts = saved(counts.where(F.col("clean") + F.col("toxic") >= support)
-                   .withColumn("odds", odds).withColumn("surprise", (F.col("toxic") - expected) / F.sqrt(expected + 1)))
-    entry = {}
-    for kind in (0, 1):
-        own = counts.where(F.col("kind") == kind)
-        bad = own.where(F.col("surprise") >= surprise).orderBy(F.desc("odds"), F.desc("toxic"), "gram").limit(entries).collect()
-        common = own.orderBy(F.desc(F.col("clean") + F.col("toxic")), "gram").limit(neutral).collect()
-        entry[kind] = {r["gram"]: r["odds"] for r in [*bad, *common]}
+    counts = counts.where(F.col("clean") + F.col("toxic") >= support).withColumn("surprise", (F.col("toxic") - expected) / F.sqrt(expected + 1))
+    rows = counts.select("kind", "gram", "surprise").collect()  # bounded by the sample
+    entry = [{r["gram"]: r["surprise"] for r in rows if r["kind"] == kind} for kind in (0, 1)]
     model = Model({w: i + 1 for i, w in enumerate(sorted(entry[0]))}, {w: i + 1 for i, w in enumerate(sorted(entry[1]))})
+    model.start = [np.clip([told[w] / 4 for w in sorted(told)], -1, 4) for told in entry]
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word_odds: dict[str, float] = {}
+        suspicion: dict[str, float] = {}
         rows: list[tuple[int, list[str]]] = []
         for batch in batches:
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 words = WORD.findall(text.lower())
                 if not words:
                     continue
-                for w in set(words).difference(word_odds):
-                    word_odds[w] = max([0.0, entry[0].get(w, 0.0), *(entry[1].get(x, 0.0) for x in grams_of(w))])
+                for w in set(words).difference(suspicion):
+                    suspicion[w] = max([0.0, entry[0].get(w, 0.0), *(entry[1].get(x, 0.0) for x in grams_of(w))])
                 starts = window_starts(len(words))
-                best = max(starts, key=lambda s: (max(word_odds[w] for w in words[s : s + WINDOW]), -s))
+                each = np.zeros(starts[-1] + WINDOW)
+                each[: len(words)] = [suspicion[w] for w in words]
+                best = starts[int(np.lib.stride_tricks.sliding_window_view(each, WINDOW)[::STRIDE].max(1).argmax())]
                 rows.append((toxic, words[best : best + WINDOW]))
                 if not toxic:
                     other = starts[len(words) * 7919 % len(starts)]
                     rows.append((0, words[other : other + WINDOW]))
-            word_odds.clear()
+            suspicion.clear()
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.list_(pa.string()))], names=["toxic", "words"])
 
@@ -276,6 +303,7 @@ def window_starts(n: int) -> range:
 def scorer(model: Model, lanes: int = 4096):
     """A function from texts to scores."""
     inputs = Inputs(model)
+    done: list = [None, np.empty((0, 0), np.float32)]  # the inputs whose vectors are made
     mix = np.random.default_rng(1).integers(1, 1 << 62, WINDOW, dtype=np.int64) | 1
 
     def score(texts: list[str | None]) -> np.ndarray:
@@ -294,9 +322,18 @@ def scorer(model: Model, lanes: int = 4096):
         with np.errstate(over="ignore"):
             same = ((grid.astype(np.int64) + 1) * mix).sum(1) * 64 + filled
         _, first, back = np.unique(same, return_index=True, return_inverse=True)
-        vecs = vectors(model.params, inputs.flat()).astype(np.float32)
-        logits = np.concatenate([forward(model.params, vecs, grid[rows], filled[rows]) for rows in np.array_split(first, max(1, -(-len(first) // lanes)))])
-        best = np.maximum.reduceat(logits[back.ravel()], np.cumsum(n_windows) - n_windows)
+        back = back.ravel()
+        other = np.flatnonzero((grid != grid[first[back]]).any(1) | (filled != filled[first[back]]))  # equal by hash only
+        back[other], first = len(first) + np.arange(len(other)), np.concatenate([first, other])
+        if done[0] is not inputs.inputs:
+            done[:] = inputs.inputs, vectors(model.params, inputs.flat())
+        elif len(done[1]) < len(inputs.inputs):
+            done[1] = np.concatenate([done[1], vectors(model.params, inputs.flat(len(done[1])))])
+        used = np.unique(ids)
+        vecs, own_of = done[1][used], np.zeros(len(done[1]), np.int32)
+        own_of[used] = np.arange(len(used))
+        logits = np.concatenate([forward(model.params, vecs, own_of[grid[rows]], filled[rows]) for rows in np.array_split(first, max(1, -(-len(first) // lanes)))])
+        best = np.maximum.reduceat(logits[back], np.cumsum(n_windows) - n_windows)
         return _sigmoid(best.astype(np.float64))
 
     return score
@@ -305,7 +342,7 @@ def scorer(model: Model, lanes: int = 4096):
 def judge(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``score`` and ``predicted`` added."""
     own = docs.drop("score", "predicted")
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by entries and neutral
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the fitting sample
     at = own.columns.index("text")
 
     def make():

@@ -373,3 +373,16 @@ def test_lm_learns_from_all_texts_and_every_few_tokens(spark):
     fixed = lm_scoring.Mixer(model.weights, model.refine, 1)
     batch.costs(mixer)
     assert not np.allclose(mixer.w, fixed.w)
+
+
+# ----------------------------------------------------- links, short and long texts
+
+
+def test_toxicity_reads_every_word():
+    """Words of no list have vectors too: other words give other scores, equal windows one."""
+    model = toxicity.Model({"bad": 1}, {"<bad>": 1})
+    clean = [[rng.choice(EN) for _ in range(8)] for _ in range(40)]
+    model.params = toxicity.train(model, [*clean, *[[*c[:7], "bad"] for c in clean]], np.repeat([0.0, 1], 40), steps=30)
+    got = toxicity.scorer(model)(["unlisted words stand here", "others do so elsewhere", "unlisted words stand here"])
+    assert got[0] != got[1] and got[0] == got[2]
+    assert len({model.inputs(w) for w in EN + DE}) == len(set(EN + DE))
