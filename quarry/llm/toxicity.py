@@ -36,7 +36,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 from quarry.llm.common import map_rows, saved
 
 WORD = re.compile(r"[^\W\d_]+")
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 4
 GRAM = 5
 #: Vectors that the words without one of their own share, and those that the n-grams do.
 HASHED = 4096

@@ -386,3 +386,12 @@ def test_toxicity_reads_every_word():
     got = toxicity.scorer(model)(["unlisted words stand here", "others do so elsewhere", "unlisted words stand here"])
     assert got[0] != got[1] and got[0] == got[2]
     assert len({model.inputs(w) for w in EN + DE}) == len(set(EN + DE))
+
+
+
+def test_toxicity_windows_hold_every_passage():
+    """A passage of up to 29 words stands whole in a window, wherever it begins."""
+    for n in (1, 31, 32, 33, 60, 200):
+        starts = toxicity.window_starts(n)
+        for a in range(n):
+            assert any(s <= a and min(a + 29, n) <= s + toxicity.WINDOW for s in starts)
