@@ -96,7 +96,10 @@ def shingle_sets(texts: list[str | None], k: int) -> list[np.ndarray]:
             if b - a >= k:
                 out.append(np.unique(rolled[a : b - k + 1]))
             elif b > a:
-                out.append(_mix(np.array([int(b - a)], np.uint64) + np.multiply.reduce(np.concatenate([word[a:b] | np.uint64(1)])) + word[a:b].sum(dtype=np.uint64) * _STEP + word[a] * np.uint64(3)))
+                whole = _mix(np.array([b - a], np.uint64))  # the length: unlike a shingle's hash
+                for w in word[a:b]:
+                    whole = whole * _STEP + w
+                out.append(_mix(whole))
             else:
                 out.append(np.empty(0, np.uint64))
     return out

@@ -104,3 +104,10 @@ def test_empty_repeated_rows_and_clashing_columns(spark):
     got = J.jaccard_components(spark.createDataFrame(rows, schema)).collect()
     assert sorted((r.doc_id or -1, r.n_shingles, r.component_id) for r in got if r.n_shingles) == [(-1, 2, 2), (2, 2, 2), (5, 2, 2), (5, 2, 2)]
     assert [(r.doc_id, r.component_id) for r in got if not r.n_shingles] == [(None, None)]
+
+
+def test_short_texts_in_other_orders_are_other_sets(spark):
+    texts = ["a b c d", "a c b d", "a d c b", "A b c d", "a b c", "a c b", "b a c", "a b", "b a"]
+    rows = [(i, text) for i, text in enumerate(texts)]
+    got = J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80, 100).collect()
+    assert sorted(map(tuple, got)) == brute(rows, 5, 80, 100)
