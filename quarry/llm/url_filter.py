@@ -64,19 +64,44 @@ def node_key(url: Column) -> Column:
     return F.concat(host_of(url), F.when((rest == "") | (rest == "/"), F.lit("/")).otherwise(rest))
 
 
+def without_dots(path: Column) -> Column:
+    """A path from ``/`` on without its ``.`` and ``..`` segments."""
+    parts = F.split(F.substring(path, F.lit(2), F.length(path)), "/")
+    step = lambda kept, x: F.when(x == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))).when(x == ".", kept).otherwise(F.concat(kept, F.array(x)))
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    last = F.element_at(parts, -1)
+    return F.concat(F.lit("/"), F.array_join(F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/"))
+
+
+def resolved(url: Column, dst: Column) -> Column:
+    """The address of a link on the page ``url``; null where it has none: another kind of
+    scheme, or a relative link on a page without a host."""
+    scheme, host = F.regexp_extract(url, r"^([^:/]*):", 1), host_of(url)
+    path, own = F.regexp_extract(dst, r"^([^?#]*)", 1), path_of(url)
+    rest = F.substring(dst, F.length(path) + F.lit(1), F.length(dst))
+    folder = F.concat(F.lit("/"), F.regexp_extract(own, r"^/(.*/)?", 1))
+    origin = F.concat(scheme, F.lit("://"), host)
+    return (F.when(F.regexp_like(dst, F.lit(r"^[a-zA-Z][a-zA-Z0-9+.-]*://")), dst)
+            .when(F.regexp_like(dst, F.lit(r"^[a-zA-Z][a-zA-Z0-9+.-]*:")) | (host == ""), F.lit(None))
+            .when(F.startswith(dst, F.lit("//")), F.concat(scheme, F.lit(":"), dst))
+            .when(path == "", F.concat(origin, F.when(own == "", F.lit("/")).otherwise(own), rest))
+            .when(F.startswith(dst, F.lit("/")), F.concat(origin, without_dots(path), rest))
+            .otherwise(F.concat(origin, without_dots(F.concat(folder, path)), rest)))
+
+
 def page_links(pages: DataFrame) -> DataFrame:
-    """``(src, dst)`` urls: canonical links and immediate redirects of each page's html.
-    A link without a scheme is resolved against the page's host (``//host``, ``/path``)."""
-    tag = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
-    refresh = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
-    href = F.regexp_extract(F.regexp_extract("html", tag, 0), r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    moved = F.regexp_extract(F.regexp_extract("html", refresh, 0), r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    found = pages.select("url", "html").where("url is not null and html is not null").select("url", F.explode(F.array(href, moved)).alias("dst")).where("dst <> ''")
-    scheme = F.regexp_extract("url", r"^([^:/]*):", 1)
-    full = (F.when(F.col("dst").contains("://"), F.col("dst"))
-            .when(F.col("dst").startswith("//"), F.concat(scheme, F.lit(":"), F.col("dst")))
-            .when(F.col("dst").startswith("/"), F.concat(scheme, F.lit("://"), host_of(F.col("url")), F.col("dst"))))
-    return found.select(F.col("url").alias("src"), full.alias("dst")).where("dst is not null")
+    """``(src, dst)`` urls: all canonical links and immediate redirects of each page's html,
+    resolved against the page's url."""
+    rel = r"(?is)(?<![\w-])rel\s*=\s*(?:\"(?:[^\"]*\s)?canonical(?:\s[^\"]*)?\"|'(?:[^']*\s)?canonical(?:\s[^']*)?'|canonical(?=[\s/>]))"
+    equiv = r"(?is)(?<![\w-])http-equiv\s*=\s*[\"']?\s*refresh\b"
+    found = pages.select("url", "html").where("url is not null and html is not null")
+
+    def tags(name: str, which: str, target: str) -> DataFrame:
+        all_ = found.select("url", F.explode(F.regexp_extract_all("html", F.lit(rf"(?is)<{name}\b[^>]*>"), F.lit(0))).alias("tag"))
+        return all_.where(F.regexp_like("tag", F.lit(which))).select("url", F.regexp_extract("tag", target, 1).alias("dst"))
+
+    links = tags("link", rel, r"(?is)(?<![\w-])href\s*=\s*[\"']?\s*([^\"'\s>]+)").unionByName(tags("meta", equiv, r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)"))
+    return links.where("dst <> ''").select(F.col("url").alias("src"), resolved(F.col("url"), F.col("dst")).alias("dst")).where("dst is not null")
 
 
 def judge(pages: DataFrame, rules: list[Rule], links: DataFrame | None = None) -> DataFrame:

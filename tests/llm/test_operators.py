@@ -378,6 +378,29 @@ def test_lm_learns_from_all_texts_and_every_few_tokens(spark):
 # ----------------------------------------------------- links, short and long texts
 
 
+def test_every_link_form_joins_its_component(spark):
+    """Every canonical and refresh tag of a page counts, and every relative form is resolved."""
+    link = '<link rel="{}" href="{}">'
+    forms = {
+        "index2.html": "/a/b/index2.html", "./x": "/a/b/x", "../x": "/a/x", "../../../x": "/x", "../": "/a/", "..": "/a/", ".": "/a/b/", "?p=2": "/a/b/page?p=2",
+        "/r/../s?u=http://q.org/": "/s?u=http://q.org/", "x?next=http://q.org/y": "/a/b/x?next=http://q.org/y",
+    }
+    pages = [(i, f"https://H{i}.net/a/b/page?old#f", link.format("canonical", form)) for i, form in enumerate(forms)]
+    pages += [
+        (20, "https://k.org/1", link.format("alternate canonical", "2")), (21, "https://k.org/1", "<link rel='icon' href='i'><LINK HREF=3 REL=canonical>"),
+        (22, "https://k.org/1", link.format("canonical", "4") + link.format("canonical", "5")), (23, "https://k.org/1", '<meta http-equiv="refresh" content="0; url=6"><meta http-equiv=refresh content="0;url=7">'),
+        (24, "https://k.org/1", link.format("canonical", "//m.org/8")), (25, "https://k.org/1", link.format("not-canonical", "9") + link.format("canonical", "mailto:x")), (26, "https://k.org", link.format("canonical", "t")), (27, "nothing", link.format("canonical", "t")),
+    ]
+    got = {(r.src, r.dst) for r in url_filter.page_links(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    want = {(f"https://H{i}.net/a/b/page?old#f", f"https://h{i}.net{full}") for i, full in enumerate(forms.values())}
+    want |= {("https://k.org/1", f"https://k.org/{n}") for n in range(2, 8)} | {("https://k.org/1", "https://m.org/8"), ("https://k.org", "https://k.org/t")}
+    assert got == want
+    rows = [(1, "https://n.net/es/x", link.format("canonical", "../to")), (2, "https://o.org/d/x", '<link rel="canonical" href="https://n.net/q"><link rel="shortcut canonical" href="../to">'), (3, "https://o.org/to", "")]
+    verdict = {r.page_id: r.verdict for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string"), RULES, spark.createDataFrame([("https://n.net/to", "https://n.net/q")], "src string, dst string")).collect()}
+    assert verdict == {1: "block", 2: "block", 3: "block"}
+
+
+
 def test_toxicity_reads_every_word():
     """Words of no list have vectors too: other words give other scores, equal windows one."""
     model = toxicity.Model({"bad": 1}, {"<bad>": 1})
