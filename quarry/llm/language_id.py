@@ -7,8 +7,7 @@ all languages, stands for the word.  A text's score per language is the sum over
 words; the softmax at a bounded evidence gives the reported score.
 
 The model is fitted on a bounded sample (``fit_docs`` documents, chosen by a hash of the
-id, and at most ``fit_chars`` characters of each text that is longer); its counts are
-grouped in Spark, and every text is judged whole.
+id); its counts are grouped in Spark, and every text is learnt from and judged whole.
 
 Defined cases: null text, no letter, or nothing learned: ``und`` with score 0; ties go to
 the alphabetically first language; repeated rows are judged alike; other columns pass
@@ -54,7 +53,7 @@ def _grams(word: str, n: int) -> Iterator[str]:
     return (padded[i : i + n] for i in range(len(padded) - n + 1))
 
 
-def fit(labelled: DataFrame, fit_docs: int = 6000, fit_chars: int = 20_000, max_gram: int = 4, min_count: int = 3, seed: int = 11) -> Model:
+def fit(labelled: DataFrame, fit_docs: int = 6000, max_gram: int = 4, min_count: int = 3, seed: int = 11) -> Model:
     """``labelled``: ``doc_id, text, lang``; rows with a null text or language teach nothing."""
     rows = labelled.select("doc_id", F.col("text").alias("text"), F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
     total = rows.count()
@@ -65,7 +64,7 @@ def fit(labelled: DataFrame, fit_docs: int = 6000, fit_chars: int = 20_000, max_
         seen: Counter = Counter()
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen.update((lang, w) for w in WORD.findall(text[:fit_chars].lower()))
+                seen.update((lang, w) for w in WORD.findall(text.lower()))
         if seen:
             keys = list(seen)
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys]), pa.array(list(seen.values()), pa.int64())], names=["lang", "word", "n"])

@@ -400,6 +400,12 @@ def test_every_link_form_joins_its_component(spark):
     assert verdict == {1: "block", 2: "block", 3: "block"}
 
 
+def test_language_id_learns_from_whole_texts(spark):
+    rows = [(i, sentence(EN, 30), "en") for i in range(10)] + [(50 + i, sentence(DE, 30), "de") for i in range(10)]
+    rows += [(100, "the " * 6000 + "quixotry " * 5, "en")]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert "quixotry" in model.words
+
 
 def test_toxicity_reads_every_word():
     """Words of no list have vectors too: other words give other scores, equal windows one."""
@@ -411,7 +417,6 @@ def test_toxicity_reads_every_word():
     assert len({model.inputs(w) for w in EN + DE}) == len(set(EN + DE))
 
 
-
 def test_toxicity_windows_hold_every_passage():
     """A passage of up to 29 words stands whole in a window, wherever it begins."""
     for n in (1, 31, 32, 33, 60, 200):
