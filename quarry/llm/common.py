@@ -50,13 +50,13 @@ def arrow_rows(batches: Iterator[pa.RecordBatch], text_at: int, max_bytes: int =
             yield batch.slice(start), column.slice(start).to_pylist()
 
 
-def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch, list], pa.RecordBatch]], schema: str, text_at: int = 1) -> DataFrame:
-    """``mapInArrow`` over text batches of bounded size.  ``make`` runs once per task and
+def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch, list], pa.RecordBatch]], schema: str, text_at: int = 1, max_bytes: int = 8 << 20) -> DataFrame:
+    """``mapInArrow`` over text batches of bounded size (``max_bytes``).  ``make`` runs once per task and
     returns the function that turns a batch and its texts into an output batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
-        for batch, texts in arrow_rows(batches, text_at):
+        for batch, texts in arrow_rows(batches, text_at, max_bytes):
             out = step(batch, texts)
             if out is not None and out.num_rows:
                 yield out
