@@ -50,6 +50,7 @@ GBT_ROUNDS = 10
 GBT_MAX_DEPTH = 5
 GBT_STEP_SIZE = 0.1
 GBT_FEATURE_FRACTION = 0.3
+GBT_L1 = 10.0
 MLP_HIDDEN = (64, 32)
 MLP_LEARNING_RATE = 1e-3
 RECOMMENDER_RANK = 32

@@ -18,6 +18,7 @@ from quarry.functions import math as M
 from quarry.functions import text as TX
 from quarry.operators import columns as P
 from quarry.operators import indexing as A
+from quarry.operators import boosting as B
 from quarry.operators import learners as L
 from quarry.operators import lm as LM
 from quarry.operators import metrics as MT
@@ -213,21 +214,21 @@ def tabular_mlp_job(spark: SparkSession, df: DataFrame, columns: str, target: tu
 
 
 def tabular_gbt_job(spark: SparkSession, df: DataFrame, columns: str, target: tuple[str, str], key, out_root: str,
-                    params: L.GBTParams = L.GBTParams(), project: str = "housing", run_id: str = "run-0") -> tuple[DataFrame, DataFrame]:
+                    params: B.BoostParams = B.BoostParams(), project: str = "housing", run_id: str = "run-0") -> tuple[DataFrame, DataFrame]:
     """E8: prep -> cast -> drop extras -> label last -> boosted trees -> report -> push."""
     prep = preprocess(spark, columns, feature_prep(df, columns, target, key, out_root), out_root)
     train = P.drop_if_present(prep.train.load(spark))
     valid = P.drop_if_present(prep.validation.load(spark))
     feats, label = P.infer_label(train)
-    res = L.fit_gbt(train, valid, feats, label, params)
+    model = B.fit_boosted(train, valid, feats, label, params)
     model_dir = f"{out_root}/model/{run_id}"
-    S.save_pipeline_model(res.model, f"{model_dir}/checkpoint")
-    rounds = L.gbt_round_metrics(res, spark)
+    B.save_boosted(spark, model, f"{model_dir}/checkpoint")
+    rounds = B.round_rows(model, spark)
     final = rounds.orderBy(F.col("round").desc()).limit(1).select(F.lit("validation_rmse").alias("metric"), F.col("validation_rmse").alias("value"))
     report = S.write_report(spark, "Boosted-tree regression", MT.round_metrics(final), f"{out_root}/report/{run_id}")
     both = X.split_column({"train": train, "validation": valid})
     push = _push(spark, [
-        ("model", "spark-ml", lambda: f"{model_dir}/checkpoint"),  # the folder, as it can be loaded
+        ("model", "boosted-trees", lambda: f"{model_dir}/checkpoint"),  # the folder, as it can be loaded
         ("report", "json", lambda: f"{out_root}/report/{run_id}"),
         ("datasets", "parquet", lambda: S.export_splits(both, out_root, project, S.run_id_of(model_dir))),
     ])

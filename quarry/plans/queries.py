@@ -1010,26 +1010,6 @@ def q_job_tabular_mlp(spark, d):
     return metrics.select("split", "n_rows", (F.col("mse") > 0).alias("has_mse"))
 
 
-@query(
-    "job_tabular_gbt",
-    "WITH " + _doc_split_sql() + " SELECT 'model' AS name, true AS success, count(*) AS n_scored, true AS rmse_matches FROM sp WHERE split = 'validation' "
-    "UNION ALL SELECT 'report', true, 0, true UNION ALL SELECT 'datasets', true, 0, true",
-)
-def q_job_tabular_gbt(spark, d):
-    """The push results; the pushed model is loaded from where it was pushed to, scores the
-    exported validation rows, and must give the error that the report names."""
-    root = R.scratch_dir(spark, "job-gbt")
-    report, push = E.tabular_gbt_job(spark, doc_features(spark, d), "n_words,n_lines,n_sentences,target",
-                                     ("target", "target"), "doc_id", root)
-    where = {r["name"]: r["value"] for r in push.collect()}
-    valid = R.load_splits(spark, where["datasets"], splits=("validation",))["validation"]
-    scored = SC.score(valid, S.load_pipeline_model(where["model"]), ["target"])
-    own = scored.agg(F.count("*").alias("n_scored"), F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("target"), 2))).alias("rmse"))
-    own = own.join(report.select("value"), F.lit(True)).select("n_scored", (F.abs(F.col("rmse") - F.col("value")) <= 1e-4).alias("rmse_matches"), F.lit("model").alias("name"))
-    out = push.select("name", "success").join(own, "name", "left")
-    return out.select("name", "success", F.coalesce("n_scored", F.lit(0)).alias("n_scored"), F.coalesce("rmse_matches", F.col("name") != "model").alias("rmse_matches"))
-
-
 @query(
     "job_sentence_classifier",
     "WITH hs AS (SELECT doc_id, lang, " + sql_hash("CAST(doc_id AS VARCHAR)", 1) + " AS h FROM documents), "
@@ -1262,3 +1242,6 @@ def q_evaluate_lm_head(spark, d):
         F.round("generation_score_std", 6).alias("generation_score_std"),
         "model_name", "checkpoint_path", "device",
     )
+
+
+from quarry.plans import fit_queries  # noqa: E402, F401 - registers its queries
