@@ -1,17 +1,19 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, in numpy.
 
 Each word enters as a word vector plus the mean of its character n-gram vectors.  Windows
-of ``WINDOW`` words, each overlapping the next, run through a forward and a backward
-gated recurrent layer; attention pools the states and a logistic unit scores the window.
-A text's score is its highest window's.  All windows of whole texts are scored; windows
-with the same inputs are computed once per batch.
+of ``WINDOW`` words run through a forward and a backward gated recurrent layer (gates are
+clipped lines, ``x / 4 + 1/2`` from 0 to 1, states are squashed by ``x / (1 + |x|)``); attention pools the states and a logistic unit
+scores the window.  A text's score is its highest window's, and a window starts at every
+word.  Overlapping windows read the same projected words: at each step a slice of them.
 
 The classifier is fitted on a bounded sample (``fit_docs`` labelled rows, chosen by a
 hash of the id).  A Spark pass counts in how many toxic and clean documents each word and
 n-gram stands: each that stands in ``support`` of them gets a vector of its own, all others
 share ``HASHED`` vectors by a hash, so every word of a window is read.  A second pass picks
 the window of each sampled document with the word that stands in toxic ones most above
-chance, and one more window of each clean one; the driver gets those windows only.
+chance, and one more window of each clean one; the driver gets those windows only.  As a
+clean text must stay low in all its windows, ``hard_rounds`` more passes look for each sampled
+clean document's highest window under the current model, and training goes on with them.
 
 Defined cases: null or empty text, or one without words, scores as an empty window; null
 labels teach nothing; with one class only, every score is that class's share; several
@@ -33,15 +35,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from quarry.llm.common import map_rows, saved
+from quarry.llm.common import arrow_rows, map_rows, saved
 
 WORD = re.compile(r"[^\W\d_]+")
-WINDOW, STRIDE = 32, 4
+WINDOW = 32
 GRAM = 5
 #: Vectors that the words without one of their own share, and those that the n-grams do.
 HASHED = 4096
 #: Words whose inputs a task keeps, before it starts anew.
 CACHE_ENTRIES = 400_000
+#: Bytes of texts that are scored at a time, words projected at a time, and windows run at a time.
+BATCH_BYTES, SEGMENT, LANES = 512 << 10, 1 << 15, 1 << 11
 Params = dict[str, np.ndarray]
 
 
@@ -58,10 +62,18 @@ class Model:
     start: list[np.ndarray] | None = None  # what counts tell of each word and n-gram, to learn from
     constant: float | None = None  # the score, where there is nothing to learn
 
-    def inputs(self, word: str) -> tuple[int, tuple[int, ...]]:
-        """The numbers of a word's vector and of its n-grams'."""
-        at = [_number(self.grams, g) for g in grams_of(word)]
-        return _number(self.words, word), tuple(sorted(at))
+    def inputs(self, word: str, seen: dict[str, int] | None = None) -> tuple[int, tuple[int, ...]]:
+        """The numbers of a word's vector and of its n-grams'; ``seen`` keeps n-grams' numbers."""
+        if seen is None:
+            seen = {}
+        at = []
+        for gram in grams_of(word):
+            n = seen.get(gram)
+            if n is None:
+                n = seen[gram] = _number(self.grams, gram)
+            at.append(n)
+        at.sort()
+        return _number(self.words, word), tuple(at)
 
 
 def _number(known: dict[str, int], name: str) -> int:
@@ -73,11 +85,23 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def _gate(x: np.ndarray) -> np.ndarray:
+    return np.clip(0.25 * x + 0.5, 0, 1)
+
+
+def _squash(x: np.ndarray) -> np.ndarray:
+    return x / (1 + np.abs(x))
+
+
+def _slope(gate: np.ndarray) -> np.ndarray:
+    return 0.25 * ((gate > 0) & (gate < 1))
+
+
 class Inputs:
     """Numbers words by their inputs: those with the same word and n-gram ids share one."""
 
     def __init__(self, model: Model):
-        self.model, self.by_word, self.by_input, self.inputs = model, {}, {}, []
+        self.model, self.by_word, self.by_input, self.inputs, self.grams = model, {}, {}, [], {}
         self.number(0, ())  # the padding
 
     def number(self, word: int, grams: tuple[int, ...]) -> int:
@@ -93,7 +117,7 @@ class Inputs:
             self.__init__(model)
             known = self.by_word
         for w in set(words).difference(known):
-            known[w] = self.number(*model.inputs(w))
+            known[w] = self.number(*model.inputs(w, self.grams))
         return np.fromiter(map(known.__getitem__, words), np.int32, len(words))
 
     def flat(self, start: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -107,9 +131,9 @@ class Inputs:
 def vectors(p: Params, flat: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
     word, grams, sizes = flat
     out = p["word"][word].copy()
-    if len(grams):
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        np.add.at(out, owner, p["gram"][grams] / sizes[owner][:, None])
+    own = np.flatnonzero(sizes)
+    if len(own):
+        out[own] += np.add.reduceat(p["gram"][grams], (np.cumsum(sizes) - sizes)[own]) / sizes[own][:, None].astype(out.dtype)
     return out
 
 
@@ -128,9 +152,9 @@ def _layer(p: Params, d: str, x: np.ndarray, mask: np.ndarray, keep: bool) -> tu
     states, trace = np.empty((x.shape[0], x.shape[1], h_size), np.float32), []
     for t in range(x.shape[0]) if d == "f" else range(x.shape[0] - 1, -1, -1):
         a = h @ p[d + "h"]
-        zr = _sigmoid(x[t, :, : 2 * h_size] + a[:, : 2 * h_size])
+        zr = _gate(x[t, :, : 2 * h_size] + a[:, : 2 * h_size])
         z, r = zr[:, :h_size], zr[:, h_size:]
-        n = np.tanh(x[t, :, 2 * h_size :] + r * a[:, 2 * h_size :])
+        n = _squash(x[t, :, 2 * h_size :] + r * a[:, 2 * h_size :])
         new = n + z * (h - n)
         if keep:
             trace.append((t, h, z, r, n, a[:, 2 * h_size :]))
@@ -145,7 +169,7 @@ def forward(p: Params, vecs: np.ndarray, ids: np.ndarray, filled: np.ndarray, ke
     mask = (np.arange(ids.shape[0])[:, None] < np.maximum(filled, 1)[None]).astype(np.float32)[:, :, None]
     layers = [_layer(p, d, (vecs @ p[d + "x"] + p[d + "b"]).astype(np.float32)[ids], mask, keep) for d in "fb"]
     states = np.concatenate([layers[0][0], layers[1][0]], axis=2)
-    u = np.tanh(states @ p["att"])
+    u = _squash(states @ p["att"])
     e = np.where(mask[:, :, 0] > 0, u @ p["attv"], -1e9)
     e = np.exp(e - e.max(0))
     alpha = e / e.sum(0)
@@ -154,6 +178,16 @@ def forward(p: Params, vecs: np.ndarray, ids: np.ndarray, filled: np.ndarray, ke
     return (logit, (ids, mask, layers, states, u, alpha, pooled)) if keep else logit
 
 
+def _sum_rows(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Rows added up by where they belong, 0 to ``n``."""
+    out = np.zeros((n, rows.shape[1]))
+    if len(at):
+        order = np.argsort(at, kind="stable")
+        first = np.flatnonzero(np.diff(at[order], prepend=-1))
+        out[at[order[first]]] = np.add.reduceat(rows[order], first)
+    return out
+
+
 def backward(p: Params, vecs: np.ndarray, flat, kept, dlogit: np.ndarray) -> Params:
     ids, mask, layers, states, u, alpha, pooled = kept
     g = {"out": pooled.T @ dlogit, "outb": dlogit.sum(keepdims=True)}
@@ -162,7 +196,7 @@ def backward(p: Params, vecs: np.ndarray, flat, kept, dlogit: np.ndarray) -> Par
     dstates = alpha[:, :, None] * dpool
     de = alpha * (dalpha - (alpha * dalpha).sum(0))
     g["attv"] = np.einsum("tb,tba->a", de, u)
-    du = de[:, :, None] * p["attv"] * (1 - u * u)
+    du = de[:, :, None] * p["attv"] * (1 - np.abs(u)) ** 2
     g["att"] = np.einsum("tbh,tba->ha", states, du)
     dstates = dstates + du @ p["att"].T
     dvecs = np.zeros_like(vecs)
@@ -173,27 +207,69 @@ def backward(p: Params, vecs: np.ndarray, flat, kept, dlogit: np.ndarray) -> Par
         for t, h, z, r, n, an in reversed(layers[k][1]):
             dh = dh + dstates[t][:, k * size : (k + 1) * size]
             dnew, dh = dh * mask[t], dh * (1 - mask[t])
-            dn = dnew * (1 - z) * (1 - n * n)
-            dz, dr = dnew * (h - n) * z * (1 - z), dn * an * r * (1 - r)
+            dn = dnew * (1 - z) * (1 - np.abs(n)) ** 2
+            dz, dr = dnew * (h - n) * _slope(z), dn * an * _slope(r)
             dx[t] = np.concatenate([dz, dr, dn], axis=1)
             da = np.concatenate([dz, dr, dn * r], axis=1)
             gh += h.T @ da
             dh = dh + dnew * z + da @ p[d + "h"].T
         g[d + "h"] = gh
-        per_input = np.zeros((len(vecs), 3 * size))
-        np.add.at(per_input, ids.ravel(), dx.reshape(-1, 3 * size))
+        per_input = _sum_rows(ids.ravel(), dx.reshape(-1, 3 * size), len(vecs))
         g[d + "x"], g[d + "b"] = vecs.T @ per_input, per_input.sum(0)
         dvecs += per_input @ p[d + "x"].T
     word, grams, sizes = flat
-    g["word"], g["gram"] = np.zeros_like(p["word"]), np.zeros_like(p["gram"])
-    np.add.at(g["word"], word, dvecs)
-    if len(grams):
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        np.add.at(g["gram"], grams, dvecs[owner] / sizes[owner][:, None])
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    g["word"] = _sum_rows(word, dvecs, len(p["word"]))
+    g["gram"] = _sum_rows(grams, dvecs[owner] / sizes[owner][:, None], len(p["gram"]))
     return g
 
 
+def stream_logits(p: Params, vecs: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Logits of the full windows that start at each of ``ids`` (but the last ``WINDOW - 1``)."""
+    size, count = p["fh"].shape[0], max(0, len(ids) - WINDOW + 1)
+    out = np.empty(count, np.float32)
+    read = np.concatenate([p["att"].T, p["out"][None]])  # what attention and output read of a state
+    # the gates' lines are folded into what they add up
+    fold = np.repeat(np.array([0.25, 1], np.float32), [2 * size, size])[:, None]
+    shift = np.repeat(np.array([0.5, 0], np.float32), [2 * size, size])[:, None]
+    zeros, ones = np.zeros((2 * size, LANES), np.float32), np.ones((2 * size, LANES), np.float32)
+    layers = {d: np.ascontiguousarray(p[d + "h"].T) * fold for d in "fb"}
+    for begin in range(0, count, SEGMENT):
+        n = min(SEGMENT, count - begin)
+        own = np.ascontiguousarray(vecs[ids[begin : begin + n + WINDOW - 1]].T)
+        x = {d: (p[d + "x"].T @ own + p[d + "b"][:, None]) * fold + shift for d in "fb"}
+        for lane in range(0, n, LANES):
+            w = min(LANES, n - lane)
+            states = np.empty((WINDOW, 2 * size, w), np.float32)
+            a, new, whole = np.empty((3 * size, w), np.float32), np.empty((size, w), np.float32), np.empty((size, w), np.float32)
+            for k, d in enumerate("fb"):
+                h = np.zeros((size, w), np.float32)
+                for t in range(WINDOW) if d == "f" else range(WINDOW - 1, -1, -1):
+                    word = x[d][:, lane + t : lane + t + w]
+                    np.matmul(layers[d], h, out=a)
+                    zr = a[: 2 * size]
+                    zr += word[: 2 * size]
+                    np.maximum(zr, zeros[:, :w], out=zr)
+                    np.minimum(zr, ones[:, :w], out=zr)
+                    np.multiply(zr[size:], a[2 * size :], out=new)
+                    new += word[2 * size :]
+                    np.abs(new, out=whole)
+                    whole += 1
+                    new /= whole
+                    state = states[t, k * size : (k + 1) * size]
+                    np.subtract(h, new, out=state)
+                    state *= zr[:size]
+                    state += new
+                    h = state
+            got = np.matmul(read, states)  # [time, attention and output, window]
+            e = p["attv"] @ _squash(got[:, :-1])
+            e = np.exp(e - e.max(0))
+            out[begin + lane : begin + lane + w] = (e * got[:, -1]).sum(0) / e.sum(0) + p["outb"]
+    return out
+
+
 def train(model: Model, windows: list[list[str]], toxic: np.ndarray, hidden: int = 8, width: int = 10, steps: int = 400, batch: int = 128, rate: float = 0.01, seed: int = 5) -> Params:
+    """Parameters after ``steps`` steps, from the model's own if it has any."""
     rng = np.random.default_rng(seed)
     inputs = Inputs(model)
     ids = np.zeros((len(windows), WINDOW), np.int32)
@@ -207,11 +283,12 @@ def train(model: Model, windows: list[list[str]], toxic: np.ndarray, hidden: int
         p |= {d + "x": normal(width, 3 * hidden), d + "h": normal(hidden, 3 * hidden), d + "b": np.zeros(3 * hidden)}
     for k, told in zip(("word", "gram"), model.start or []):
         p[k][1 : len(told) + 1, 0] += told
+    p = {k: model.params[k].astype(np.float64) if k in model.params else x for k, x in p.items()}
     m, v, step = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}, 0
     weight = np.where(toxic == 1, min(8.0, 0.5 * len(toxic) / max(1, toxic.sum())), 1.0)
     while step < steps:
         order = rng.permutation(len(windows))
-        for at in range(0, len(order), batch):
+        for at in range(0, len(order), batch)[: steps - step]:
             rows = order[at : at + batch]
             used, own = np.unique(ids[rows], return_inverse=True)
             part = part_of(flat, used)
@@ -227,7 +304,7 @@ def train(model: Model, windows: list[list[str]], toxic: np.ndarray, hidden: int
     return {k: x.astype(np.float32) for k, x in p.items()}
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 10_000, support: int = 5, seed: int = 3) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 10_000, support: int = 5, hard_rounds: int = 2, hard_steps: int = 150, seed: int = 3) -> Model:
     """``docs``: ``doc_id, text``; ``labels``: ``doc_id, toxic`` of the rows to learn from."""
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     total = marks.count()
@@ -278,7 +355,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 10_000, support: int
                 starts = window_starts(len(words))
                 each = np.zeros(starts[-1] + WINDOW)
                 each[: len(words)] = [suspicion[w] for w in words]
-                best = starts[int(np.lib.stride_tricks.sliding_window_view(each, WINDOW)[::STRIDE].max(1).argmax())]
+                best = int(np.lib.stride_tricks.sliding_window_view(each, WINDOW).max(1).argmax())
                 rows.append((toxic, words[best : best + WINDOW]))
                 if not toxic:
                     other = starts[len(words) * 7919 % len(starts)]
@@ -291,52 +368,80 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 10_000, support: int
     if len({r["toxic"] for r in picked}) < 2:
         return Model({}, {}, constant=n_toxic / (n_clean + n_toxic))
     # windows of bounded number and length are all that reaches the driver
-    model.params = train(model, [r["words"] for r in picked], np.array([r["toxic"] for r in picked], float))
+    windows, toxic = [r["words"] for r in picked], [float(r["toxic"]) for r in picked]
+    model.params = train(model, windows, np.array(toxic))
+    clean = sample.where("toxic = 0").select("text")
+    for turn in range(hard_rounds):
+        highest = clean.mapInArrow(_highest_windows(model), "words array<string>").orderBy("words").collect()
+        windows, toxic = windows + [r["words"] for r in highest], toxic + [0.0] * len(highest)
+        model.params = train(model, windows, np.array(toxic), steps=hard_steps, rate=0.005, seed=seed + turn)
     return model
 
 
+def _highest_windows(model: Model):
+    """Of each text the window with the highest score."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = scorer(model)
+        for batch, texts in arrow_rows(batches, 0, BATCH_BYTES):
+            _, starts, words = score.windows(texts)
+            yield pa.RecordBatch.from_arrays([pa.array([w[s : s + WINDOW] for w, s in zip(words, starts) if w], pa.list_(pa.string()))], names=["words"])
+
+    return run
+
+
 def window_starts(n: int) -> range:
-    """First words of a text's windows: the last window reaches the end."""
-    return range(0, max(1, n - WINDOW + STRIDE), STRIDE)
+    """First words of a text's windows: one at every word, the last window reaches the end."""
+    return range(max(1, n - WINDOW + 1))
 
 
-def scorer(model: Model, lanes: int = 4096):
-    """A function from texts to scores."""
-    inputs = Inputs(model)
-    done: list = [None, np.empty((0, 0), np.float32)]  # the inputs whose vectors are made
-    mix = np.random.default_rng(1).integers(1, 1 << 62, WINDOW, dtype=np.int64) | 1
+class scorer:  # noqa: N801 - called like the function that it stands for
+    """A function from texts to scores; keeps the inputs of words from call to call."""
 
-    def score(texts: list[str | None]) -> np.ndarray:
-        if model.constant is not None:
-            return np.full(len(texts), model.constant)
+    def __init__(self, model: Model):
+        self.model = model
+        self.inputs = Inputs(model)
+        self.of, self.vectors = None, np.empty((0, 0), np.float32)  # the inputs whose vectors are made
+
+    def _vectors(self) -> np.ndarray:
+        known = self.inputs.inputs
+        if self.of is not known:
+            self.of, self.vectors = known, vectors(self.model.params, self.inputs.flat())
+        elif len(self.vectors) < len(known):
+            self.vectors = np.concatenate([self.vectors, vectors(self.model.params, self.inputs.flat(len(self.vectors)))])
+        return self.vectors
+
+    def windows(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
+        """Of each text the highest window's logit and first word, and the text's words."""
         words = [WORD.findall(t.lower()) if t else [] for t in texts]
-        sizes = np.array([len(w) for w in words])
-        ids = inputs.look_up([w for ws in words for w in ws])
-        ids = np.concatenate([ids, np.zeros(WINDOW, np.int32)])
+        sizes = np.array([len(w) for w in words], int)
+        ids = self.inputs.look_up([w for ws in words for w in ws])
+        best, start = np.empty(len(texts), np.float32), np.zeros(len(texts), int)
         ends = np.cumsum(sizes)
-        starts = [range(b, b + max(1, n - WINDOW + STRIDE), STRIDE) for b, n in zip((ends - sizes).tolist(), sizes.tolist())]
-        n_windows = np.array([len(s) for s in starts])
-        start = np.concatenate([np.asarray(s, dtype=np.int64) for s in starts])
-        filled = np.clip(np.repeat(ends, n_windows) - start, 0, WINDOW)
-        grid = np.where(np.arange(WINDOW)[None] < filled[:, None], ids[np.minimum(start[:, None] + np.arange(WINDOW)[None], len(ids) - 1)], 0)
-        with np.errstate(over="ignore"):
-            same = ((grid.astype(np.int64) + 1) * mix).sum(1) * 64 + filled
-        _, first, back = np.unique(same, return_index=True, return_inverse=True)
-        back = back.ravel()
-        other = np.flatnonzero((grid != grid[first[back]]).any(1) | (filled != filled[first[back]]))  # equal by hash only
-        back[other], first = len(first) + np.arange(len(other)), np.concatenate([first, other])
-        if done[0] is not inputs.inputs:
-            done[:] = inputs.inputs, vectors(model.params, inputs.flat())
-        elif len(done[1]) < len(inputs.inputs):
-            done[1] = np.concatenate([done[1], vectors(model.params, inputs.flat(len(done[1])))])
-        used = np.unique(ids)
-        vecs, own_of = done[1][used], np.zeros(len(done[1]), np.int32)
-        own_of[used] = np.arange(len(used))
-        logits = np.concatenate([forward(model.params, vecs, own_of[grid[rows]], filled[rows]) for rows in np.array_split(first, max(1, -(-len(first) // lanes)))])
-        best = np.maximum.reduceat(logits[back], np.cumsum(n_windows) - n_windows)
-        return _sigmoid(best.astype(np.float64))
-
-    return score
+        full = sizes >= WINDOW
+        if not full.all():
+            short = np.flatnonzero(~full)
+            at = (ends - sizes)[short][:, None] + np.arange(WINDOW)[None]
+            grid = np.where(np.arange(WINDOW)[None] < sizes[short][:, None], np.append(ids, 0)[np.minimum(at, len(ids))], 0)
+            used, own = np.unique(grid, return_inverse=True)
+            best[short] = forward(self.model.params, self._vectors()[used], own.reshape(grid.shape), sizes[short])
+        if full.any():
+            long = np.flatnonzero(full)
+            stream = ids[np.repeat(full, sizes)]
+            logits = np.append(stream_logits(self.model.params, self._vectors(), stream), np.full(WINDOW - 1, -np.inf, np.float32))
+            after = np.cumsum(sizes[long])
+            for k in range(1, WINDOW):  # windows that would reach into the next text
+                logits[after - k] = -np.inf
+            best[long] = np.maximum.reduceat(logits, after - sizes[long])
+            start[long] = [int(logits[b : b + n].argmax()) for b, n in zip(after - sizes[long], sizes[long])]
+        return best, start, words
+
+    def __call__(self, texts: list[str | None]) -> np.ndarray:
+        if self.model.constant is not None:
+            return np.full(len(texts), self.model.constant)
+        each = list(dict.fromkeys(texts))  # equal texts once
+        best = dict(zip(each, _sigmoid(self.windows(each)[0].astype(np.float64)).tolist()))
+        return np.array([best[t] for t in texts])
 
 
 def judge(docs: DataFrame, model: Model) -> DataFrame:
@@ -355,4 +460,4 @@ def judge(docs: DataFrame, model: Model) -> DataFrame:
         return step
 
     schema = StructType([*own.schema.fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())])
-    return map_rows(own, make, schema, at)
+    return map_rows(own, make, schema, at, max_bytes=BATCH_BYTES)

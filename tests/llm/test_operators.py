@@ -417,6 +417,32 @@ def test_toxicity_reads_every_word():
     assert len({model.inputs(w) for w in EN + DE}) == len(set(EN + DE))
 
 
+def test_toxicity_score_is_the_highest_window_s(monkeypatch):
+    """Against every window on its own, also where texts are cut into segments and lanes."""
+    model = toxicity.Model({"bad": 1, "of": 2}, {"<bad>": 1})
+    clean = [[rng.choice(EN) for _ in range(8)] for _ in range(40)]
+    model.params = toxicity.train(model, [*clean, *[[*c[:7], "bad"] for c in clean]], np.repeat([0.0, 1], 40), steps=60)
+    texts = [None, "", "bad", *[" ".join(rng.choices([*EN, *DE, "bad"], k=n)) for n in (5, 31, 32, 33, 64, 200, 31, 90)]]
+    inputs = toxicity.Inputs(model)
+    want, at = [], []
+    for t in texts:
+        words = (t or "").split()
+        starts = toxicity.window_starts(len(words))
+        ids, filled = np.zeros((len(starts), toxicity.WINDOW), int), np.array([len(words[a : a + toxicity.WINDOW]) for a in starts])
+        for row, a, n in zip(ids, starts, filled):
+            row[:n] = inputs.look_up(words[a : a + n])
+        logits = toxicity.forward(model.params, toxicity.vectors(model.params, inputs.flat()), ids, filled)
+        want.append(1 / (1 + math.exp(-logits.max())))
+        at.append(logits)
+    for segment, lanes in ((1 << 15, 1 << 11), (50, 7)):
+        monkeypatch.setattr(toxicity, "SEGMENT", segment)
+        monkeypatch.setattr(toxicity, "LANES", lanes)
+        score = toxicity.scorer(model)
+        assert score([*texts, texts[-1]]) == pytest.approx([*want, want[-1]], rel=1e-4)
+        _, starts, _ = score.windows(texts)
+        assert all(logits[a] >= logits.max() - 1e-4 for logits, a in zip(at, starts))
+
+
 def test_toxicity_windows_hold_every_passage():
     """A passage of up to 29 words stands whole in a window, wherever it begins."""
     for n in (1, 31, 32, 33, 60, 200):
