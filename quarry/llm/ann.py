@@ -142,6 +142,7 @@ def _meet(k: int):
             v, v_key, cell = np.stack(right["v"].to_list()), right["key"].to_numpy(), right["cell"].to_numpy()
             names, at = np.unique(cell, return_inverse=True)
             place = {c: i for i, c in enumerate(names.tolist())}
+            largest = np.linalg.norm(v, axis=1).max()
             for begin in range(0, len(left), 256):
                 part = left.iloc[begin : begin + 256]
                 q, q_key = np.stack(part["v"].to_list()), part["key"].to_numpy()
@@ -153,10 +154,11 @@ def _meet(k: int):
                     else:
                         open_[i] = True
                 score = np.where(open_[:, at.ravel()], score, -np.inf)
-                few = min(k + 4, score.shape[1])
-                top = np.argpartition(-score, few - 1, axis=1)[:, :few]
-                rows, cols = np.nonzero(np.isfinite(np.take_along_axis(score, top, axis=1)))
-                cols = top[rows, cols]
+                # all that reach the k-th best, ties with it included; products round by less than the margin
+                few = min(k, score.shape[1])
+                last = -np.partition(-score, few - 1, axis=1)[:, few - 1 : few]
+                margin = 1e-12 * np.linalg.norm(q, axis=1, keepdims=True) * largest
+                rows, cols = np.nonzero(np.isfinite(score) & (score >= last - margin))
                 exact = (q[rows] * v[cols]).sum(axis=1)  # summed alike wherever it stands
                 out.append(pd.DataFrame({"q": q_key[rows], "key": v_key[cols], "score": exact}))
         return pd.concat(out) if out else pd.DataFrame({"q": [], "key": [], "score": []}).astype({"q": "int64", "key": "int64"})

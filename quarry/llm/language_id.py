@@ -30,10 +30,14 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from quarry.llm.common import map_rows
 
-WORD = re.compile(r"[^\W\d_]+")
+WORD = re.compile(r"[^\W\d_]+")  # letters, and signs like ½ that count as numbers
 UND = "und"
 #: Unseen words whose backoff score a task keeps, before it starts anew.
 CACHE_ENTRIES = 200_000
+#: Bytes of texts that are scored at a time.
+BATCH_BYTES = 1 << 20
+#: What a word counts at most for its n-grams: a stop word is not all there is.
+GRAM_WEIGHT = 8
 #: Each word adds this much of its log likelihood; more would make every score 0 or 1.
 EVIDENCE = 0.25
 
@@ -48,13 +52,23 @@ class Model:
     max_gram: int
 
 
+def words_of(text: str) -> list[str]:
+    """Runs of letters, in lower case."""
+    found = WORD.findall(text.lower())
+    if text.isascii() or all(map(str.isalpha, found)):
+        return found
+    return [part for w in found for part in ([w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
+
+
 def _grams(word: str, n: int) -> Iterator[str]:
     padded = f"<{word}>"
     return (padded[i : i + n] for i in range(len(padded) - n + 1))
 
 
 def fit(labelled: DataFrame, fit_docs: int = 6000, max_gram: int = 4, min_count: int = 3, seed: int = 11) -> Model:
-    """``labelled``: ``doc_id, text, lang``; rows with a null text or language teach nothing."""
+    """``labelled``: ``doc_id, text, lang``; rows with a null text or language teach nothing.  Words and n-grams
+    that occur less than ``min_count`` times (a word counts ``GRAM_WEIGHT`` times at most for its n-grams) are left
+    out of the model."""
     rows = labelled.select("doc_id", F.col("text").alias("text"), F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
     total = rows.count()
     if total > fit_docs:
@@ -64,7 +78,7 @@ def fit(labelled: DataFrame, fit_docs: int = 6000, max_gram: int = 4, min_count:
         seen: Counter = Counter()
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen.update((lang, w) for w in WORD.findall(text.lower()))
+                seen.update((lang, w) for w in words_of(text))
         if seen:
             keys = list(seen)
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys]), pa.array(list(seen.values()), pa.int64())], names=["lang", "word", "n"])
@@ -82,7 +96,7 @@ def build(counts: list[tuple[str, str, int]], max_gram: int, min_count: int) ->
         by_word.setdefault(word, np.zeros(len(languages)))[at[lang]] += n
         for k in range(1, max_gram + 1):
             for g in _grams(word, k):
-                by_gram.setdefault(g, np.zeros(len(languages)))[at[lang]] += min(n, 8)  # a stop word is not all there is
+                by_gram.setdefault(g, np.zeros(len(languages)))[at[lang]] += min(n, GRAM_WEIGHT)
 
     def scores(table: dict[str, np.ndarray], least: float) -> tuple[dict[str, int], np.ndarray]:
         kept = sorted(k for k, v in table.items() if v.sum() >= least)
@@ -119,7 +133,7 @@ def scorer(model: Model):
         return got
 
     def score(text: str | None) -> tuple[str, float]:
-        words = WORD.findall(text.lower()) if text else []
+        words = words_of(text) if text else []
         if not words or not model.languages:
             return UND, 0.0
         seen: list[int] = []
@@ -160,4 +174,4 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         return step
 
     schema = StructType([*own.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return map_rows(own, make, schema, at)
+    return map_rows(own, make, schema, at, max_bytes=BATCH_BYTES)

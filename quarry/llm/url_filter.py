@@ -59,7 +59,7 @@ def matching_rule(host: Column, path: Column, rules: list[Rule], what: str) -> C
 
 
 def node_key(url: Column) -> Column:
-    """One spelling per address: scheme, host in lower case, the rest up to a fragment."""
+    """One spelling per address: host in lower case, the rest up to a fragment; the scheme is left out."""
     rest = F.regexp_extract(F.coalesce(_after_scheme(url), F.lit("")), r"^[^/?#]*([^#]*)", 1)
     return F.concat(host_of(url), F.when((rest == "") | (rest == "/"), F.lit("/")).otherwise(rest))
 
@@ -89,19 +89,46 @@ def resolved(url: Column, dst: Column) -> Column:
             .otherwise(F.concat(origin, without_dots(F.concat(folder, path)), rest)))
 
 
+def attribute(tag: Column, name: str) -> Column:
+    """An attribute's value by its own quotes, without blanks around it, entities decoded."""
+    value = rf"(?is)(?<![\w-]){name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+    return decoded(F.btrim(F.concat(*[F.coalesce(F.regexp_extract(tag, value, i), F.lit("")) for i in (1, 2, 3)]), F.lit(" \t\r\n\f")))
+
+
+def decoded(text: Column) -> Column:
+    """``text`` with numeric and the five predefined entities replaced."""
+    hexed = lambda p: F.regexp_like(p, F.lit(r"^[xX][0-9a-fA-F]{1,6};"))
+    digits = lambda p: F.regexp_extract(p, r"^[xX]?([0-9a-fA-F]+);", 1)
+    code = lambda p: F.when(hexed(p), F.conv(digits(p), 16, 16)).otherwise(F.conv(digits(p), 10, 16))
+    known = lambda p: hexed(p) | F.regexp_like(p, F.lit(r"^[0-9]{1,7};"))
+    as_text = lambda p: F.decode(F.unhex(F.lpad(code(p), 8, "0")), "UTF-32")
+    valid = lambda p: known(p) & (F.conv(code(p), 16, 10).cast("int") < 0xD800)
+    one = lambda p: F.when(valid(p), F.concat(as_text(p), F.regexp_extract(p, r"(?s)^[^;]*;(.*)", 1))).otherwise(F.concat(F.lit("&#"), p))
+    parts = F.split(text, "&#")
+    out = F.when(F.instr(text, "&#") == 0, text).otherwise(F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), one), "")))
+    for name, sign in (("quot", '"'), ("apos", "'"), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(sign))
+    return out
+
+
 def page_links(pages: DataFrame) -> DataFrame:
     """``(src, dst)`` urls: all canonical links and immediate redirects of each page's html,
-    resolved against the page's url."""
+    resolved against the page's url or the first base that it names."""
     rel = r"(?is)(?<![\w-])rel\s*=\s*(?:\"(?:[^\"]*\s)?canonical(?:\s[^\"]*)?\"|'(?:[^']*\s)?canonical(?:\s[^']*)?'|canonical(?=[\s/>]))"
     equiv = r"(?is)(?<![\w-])http-equiv\s*=\s*[\"']?\s*refresh\b"
-    found = pages.select("url", "html").where("url is not null and html is not null")
-
-    def tags(name: str, which: str, target: str) -> DataFrame:
-        all_ = found.select("url", F.explode(F.regexp_extract_all("html", F.lit(rf"(?is)<{name}\b[^>]*>"), F.lit(0))).alias("tag"))
-        return all_.where(F.regexp_like("tag", F.lit(which))).select("url", F.regexp_extract("tag", target, 1).alias("dst"))
-
-    links = tags("link", rel, r"(?is)(?<![\w-])href\s*=\s*[\"']?\s*([^\"'\s>]+)").unionByName(tags("meta", equiv, r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)"))
-    return links.where("dst <> ''").select(F.col("url").alias("src"), resolved(F.col("url"), F.col("dst")).alias("dst")).where("dst is not null")
+    # a tag ends at a > outside quotes, or at the first one where its quotes don't match
+    tag = lambda name: rf"(?is)<{name}\b(?:(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*>)"
+    named = attribute(F.regexp_extract("html", tag("base"), 0), "href")
+    found = pages.select("url", "html").where("url is not null and html is not null").withColumn("base", F.when(named == "", F.col("url")).otherwise(F.coalesce(resolved(F.col("url"), named), F.col("url"))))
+
+    def tags(name: str, which: str, target: Column) -> DataFrame:
+        all_ = found.select("url", "base", F.explode(F.regexp_extract_all("html", F.lit(tag(name)), F.lit(0))).alias("tag"))
+        return all_.where(F.regexp_like("tag", F.lit(which))).select("url", "base", target.alias("dst"))
+
+    goal = F.regexp_extract(attribute(F.col("tag"), "content"), r"(?is)\burl\s*=\s*(?:\"([^\"]*)|'([^']*)|([^\s\"']+))", 0)
+    goal = F.btrim(F.regexp_replace(goal, r"(?is)^url\s*=\s*[\"']?", ""), F.lit(" \t\r\n\f"))
+    links = tags("link", rel, attribute(F.col("tag"), "href")).unionByName(tags("meta", equiv, goal))
+    return links.where("dst <> ''").select(F.col("url").alias("src"), resolved(F.col("base"), F.col("dst")).alias("dst")).where("dst is not null")
 
 
 def judge(pages: DataFrame, rules: list[Rule], links: DataFrame | None = None) -> DataFrame:

@@ -97,6 +97,8 @@ def test_language_id(spark):
     assert [r.lang_pred for r in got[:2]] == ["en", "de"] and [r.lang_pred for r in got[3:6]] == ["und"] * 3
     assert got[2].lang_pred == "de" and got[6].lang_pred == "en"
     assert all(0 <= r.score <= 1 for r in got)
+    numerals = language_id.identify(spark.createDataFrame([(i, t) for i, t in enumerate(["½ ²", "①", "1½the", "ª"])], "doc_id long, text string"), model).collect()
+    assert [r.lang_pred == "und" for r in sorted(numerals, key=lambda r: r.doc_id)] == [True, True, False, False]
     nothing = language_id.fit(spark.createDataFrame([], "doc_id long, text string, lang string"))
     assert language_id.identify(spark.createDataFrame([(1, "the")], "doc_id long, text string"), nothing).first().lang_pred == "und"
 
@@ -284,6 +286,10 @@ def test_ann_recall_ties_and_bad_vectors(spark):
         assert [r["rank"] for r in found] == list(range(1, 21)) and all(abs(r.score - s[r.vec_id]) < 1e-9 for r in found)
         assert all((a.score, -a.vec_id) >= (b.score, -b.vec_id) for a, b in zip(found, found[1:]))
     assert hit >= 0.9 * 20 * len(got)
+    # distinct vectors that all tie for one query: the smaller ids win
+    tied = [(0, [1.0, 0.0]), *[(i, [0.5, i / 100.0]) for i in range(1, 60)]]
+    got = ann.search(spark.createDataFrame(tied, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k=20).collect()
+    assert sorted(r.vec_id for r in got) == list(range(1, 21))
     few = ann.search(df.where("vec_id < 4"), F.col("vec_id") % 20 == 0, k=20).collect()
     assert sorted((r.query_id, r.vec_id) for r in few) == [(0, 1), (0, 2), (0, 3)]
     assert ann.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
@@ -395,6 +401,14 @@ def test_every_link_form_joins_its_component(spark):
     want = {(f"https://H{i}.net/a/b/page?old#f", f"https://h{i}.net{full}") for i, full in enumerate(forms.values())}
     want |= {("https://k.org/1", f"https://k.org/{n}") for n in range(2, 8)} | {("https://k.org/1", "https://m.org/8"), ("https://k.org", "https://k.org/t")}
     assert got == want
+    odd = [
+        (1, "https://e.org/1", '<link title="a > b" rel="canonical" href="https://d.org/p?a=1&amp;b=2">'), (2, "https://e.org/1", """<link rel="canonical" href="https://d.org/it's">"""),
+        (3, "https://e.org/1", "<link rel='canonical' href='&#47;x&#x3F;y&#228;&#x110000;'>"), (4, "https://e.org/1", '<base href="/b/c/"><base href="/no/"><link rel=canonical href=z>'),
+        (5, "https://e.org/1", """<META HTTP-EQUIV='refresh' CONTENT="5; URL='q?a=1&amp;b=2'">"""), (6, "https://e.org/1", '<link rel=canonical href="w" title="open>'),
+    ]
+    got = {(r.src, r.dst) for r in url_filter.page_links(spark.createDataFrame(odd, "page_id long, url string, html string")).collect()}
+    want = ["https://d.org/p?a=1&b=2", "https://d.org/it's", "https://e.org/x?yä&#x110000;", "https://e.org/b/c/z", "https://e.org/q?a=1&b=2", "https://e.org/w"]
+    assert got == {("https://e.org/1", dst) for dst in want}
     rows = [(1, "https://n.net/es/x", link.format("canonical", "../to")), (2, "https://o.org/d/x", '<link rel="canonical" href="https://n.net/q"><link rel="shortcut canonical" href="../to">'), (3, "https://o.org/to", "")]
     verdict = {r.page_id: r.verdict for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string"), RULES, spark.createDataFrame([("https://n.net/to", "https://n.net/q")], "src string, dst string")).collect()}
     assert verdict == {1: "block", 2: "block", 3: "block"}
