@@ -54,3 +54,5 @@ GBT_L1 = 10.0
 MLP_HIDDEN = (64, 32)
 MLP_LEARNING_RATE = 1e-3
 RECOMMENDER_RANK = 32
+RECOMMENDER_HIDDEN = 64
+RECOMMENDER_EPOCHS = 3

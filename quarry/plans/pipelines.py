@@ -23,6 +23,7 @@ from quarry.operators import learners as L
 from quarry.operators import lm as LM
 from quarry.operators import metrics as MT
 from quarry.operators import mlp as MLP
+from quarry.operators import recommender as RM
 from quarry.operators import sampling as X
 from quarry.operators.keys import with_hash_key
 from quarry.operators.layout import materialize
@@ -278,9 +279,8 @@ def instruction_eval_job(spark: SparkSession, dataset_name: str, sources: dict,
     return data.counts, summary
 
 
-def recommender_job(splits: RatingSplits, rank: int = 32, iterations: int = 10) -> DataFrame:
-    """E11: ALS on train; MSE per split of the clipped predictions."""
-    model = L.fit_recommender(splits.train, rank=rank, iterations=iterations)
-    both = X.split_column({"train": splits.train, "validation": splits.validation})
-    scored = L.score_recommender(model, both)
-    return MT.mse(scored, "rating_norm", "prediction", by=["split"])
+def recommender_job(splits: RatingSplits, params: RM.RatingParams = RM.RatingParams()) -> tuple[DataFrame, RM.RatingModel]:
+    """E11: embeddings and head on train; MSE per split over all of its rows, and the model."""
+    model = RM.fit_ratings(splits.train, params)
+    scored = model.score(X.split_column({"train": splits.train, "validation": splits.validation}), ["split", "rating_norm"])
+    return MT.mse(scored, "rating_norm", "prediction", by=["split"]), model

@@ -1041,21 +1041,6 @@ def q_job_instruction_eval(spark, d):
     return summary.select("num_samples_evaluated", (F.col("average_perplexity") > 1.0).alias("above_one"))
 
 
-@query(
-    "job_recommender",
-    "WITH t AS (" + TSV_RATINGS_SQL + "), n AS (SELECT count(*) AS n FROM t) "
-    "SELECT 'train' AS split, CAST(floor(n * 0.8) AS BIGINT) AS n_rows FROM n",
-)
-def q_job_recommender(spark, d):
-    """Ratings file -> index -> split -> fit; every training row can be scored.  The key of
-    the ratings repeats, and the split is exact all the same."""
-    root = R.scratch_dir(spark, "job-rec")
-    tsv = f"{root}/ratings"
-    ratings_for_tsv(spark, d).write.option("sep", "\t").csv(tsv)
-    splits = E.load_ratings(spark, [f"{root}/cache_missing", tsv])
-    return E.recommender_job(splits).where("split = 'train'").select("split", "n_rows")
-
-
 @query(
     "exact_split_repeated_key",
     "WITH n AS (SELECT count(*) AS n FROM documents) SELECT 'train' AS split, CAST(floor(n * 0.75) AS BIGINT) AS n_rows FROM n "
