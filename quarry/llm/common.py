@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -30,6 +33,39 @@ def remainder(doc_id: Column, k: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % F.lit(k)
 
 
+_KEPT: list = []  # what this worker keeps from task to task, of one stage
+_OF_STAGE: list = [None]
+
+
+def kept_in_stage(build):
+    """``build``, whose last result a worker keeps until it gets a task of another stage."""
+    kept = functools.lru_cache(maxsize=1)(build)
+    _KEPT.append(kept)
+    return kept
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker outlives its tasks, and what they held would
+    add up from stage to stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def begin_task() -> None:
+    from pyspark import TaskContext
+
+    stage = TaskContext.get().stageId()
+    if _OF_STAGE[0] != stage:
+        _OF_STAGE[0] = stage
+        for kept in _KEPT:
+            kept.cache_clear()
+        give_back()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -55,10 +91,13 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch, list],
     returns the function that turns a batch and its texts into an output batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         step = make()
         for batch, texts in arrow_rows(batches, text_at, max_bytes):
             out = step(batch, texts)
             if out is not None and out.num_rows:
                 yield out
+        del step
+        give_back()
 
     return df.mapInArrow(run, schema)

@@ -13,7 +13,6 @@ each; a null id is kept; an empty table gives no rows; other columns are not rea
 
 from __future__ import annotations
 
-import functools
 import zlib
 from array import array
 from collections.abc import Callable
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import map_rows, saved
+from quarry.llm.common import kept_in_stage, map_rows, saved
 
 #: Chunks kept per worker with their ids, before the cache starts anew.
 CACHE_ENTRIES = 400_000
@@ -77,7 +76,7 @@ class _Chunks(dict):
         return got
 
 
-@functools.lru_cache(maxsize=2)  # a worker keeps it from task to task
+@kept_in_stage
 def _encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     """Texts to their ids as little-endian uint32 bytes.
 

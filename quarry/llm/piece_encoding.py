@@ -19,7 +19,6 @@ each; null ids are kept; an empty table gives no rows; other columns are not rea
 
 from __future__ import annotations
 
-import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -27,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import map_rows
+from quarry.llm.common import kept_in_stage, map_rows
 
 SPACE = "▁"
 #: Entries of each of a worker's caches, before it starts anew.
@@ -215,7 +214,7 @@ class Encoder:
         return self.sp.decode(ids)
 
 
-@functools.lru_cache(maxsize=1)  # a worker keeps it from task to task
+@kept_in_stage
 def encoder(path: str) -> Encoder:
     import sentencepiece
 
