@@ -25,10 +25,12 @@ from quarry.operators import metrics as MT
 from quarry.operators import mlp as MLP
 from quarry.operators import recommender as RM
 from quarry.operators import sampling as X
+from quarry.operators import text_epochs as TE
 from quarry.operators.keys import with_hash_key
 from quarry.operators.layout import materialize
 from quarry.sources import readers as R
 from quarry.sources import sinks as S
+from quarry.sources.checkpoints import CheckpointStore
 
 
 # ------------------------------------------------------------ E1, E2
@@ -239,19 +241,19 @@ def tabular_gbt_job(spark: SparkSession, df: DataFrame, columns: str, target: tu
 def sentence_classifier_job(spark: SparkSession, splits: dict[str, DataFrame], key: str, text: str, label: str,
                             out_root: str, padded: dict[str, DataFrame] | None = None,
                             num_features: int = 1 << 18) -> tuple[DataFrame, DataFrame]:
-    """E9: classifier fit on train keeping the best epoch on validation, MCC per split,
-    contract check of the padded inputs (E6), save, push."""
-    model, _history = L.fit_text_classifier_epochs(splits["train"], splits["validation"], text, label,
-                                                   num_features=num_features)
+    """E9: classifier trained by epochs on train, each published as a checkpoint, the best on
+    validation kept, MCC per split, contract check of the padded inputs (E6), push."""
+    store = CheckpointStore(f"{out_root}/checkpoints")
+    model, history = TE.fit_text_epochs(splits["train"], splits["validation"], key, text, label, TE.EpochParams(num_features=num_features), store)
+    best = MT.best_run(history, "eval_loss", "min").collect()[0]["epoch"]
     rows = []
     for name, df in splits.items():
-        pred = L.classify(model, df, [key, label]).withColumn("argmax", M.argmax("logits"))
+        pred = model.score(df, [key, label]).withColumn("argmax", M.argmax("logits"))
         rows.append(MT.mcc(pred, label, "argmax").withColumn("split", F.lit(name)))
     metrics = rows[0]
     for r in rows[1:]:
         metrics = metrics.unionByName(r)
-    path = S.save_pipeline_model(model, f"{out_root}/classifier")
-    items = [("model", "spark-ml", lambda: path)]
+    items = [("model", "text-epochs", lambda: store.steps(spark).where(F.col("step") == best).collect()[0]["path"])]
     if padded is not None:
         contract = [P.ColumnSpec(c, T.LongType(), 128) for c in ("input_ids", "attention_mask", "token_type_ids")]
         violations = P.check_contract(padded["validation"], contract).count()
