@@ -2,17 +2,19 @@
 
 Tokens are whitespace-separated words of the lower-cased text.  The
 vocabulary is built with a distributed ``groupBy`` count and an exact
-distributed rank; token lookup is an equi-join on the token against the
-vocabulary, which is broadcast only when its size (bounded by ``max_size``)
-is checked to be small.
+distributed rank; tokens are looked up inside the row in a broadcast
+vocabulary whose size was checked to be small, or joined with a larger one.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.operators.joins import lookup
 from quarry.operators.keys import rank_by
@@ -172,21 +174,52 @@ def _top_tokens(counts: DataFrame, budget: int) -> DataFrame:
     return counts.where(F.col("n") > n_star).unionByName(ties)
 
 
+# Vocabularies up to both sizes are looked up inside the row; larger ones are joined.
+IN_ROW_TOKENS, IN_ROW_BYTES = 500_000, 32 << 20
 # Larger vocabularies are joined hot/cold: the most frequent ids are broadcast.
 HOT_VOCAB_IDS = 100_000
 
 
+def _small(vocab: Vocab) -> bool:
+    if vocab.size > IN_ROW_TOKENS:
+        return False
+    return (vocab.table.agg(F.sum(F.octet_length("token"))).first()[0] or 0) <= IN_ROW_BYTES
+
+
+def _ids_in_row(df: DataFrame, vocab: Vocab, key: str, tokens: Column) -> DataFrame:
+    """``(key, ids)`` from a broadcast of the whole vocabulary, whose size was checked: no shuffle."""
+    from quarry.operators.batches import map_batches
+
+    shared = df.sparkSession.sparkContext.broadcast({r["token"]: r["id"] for r in vocab.table.select("token", "id").collect()})
+    unk = vocab.unk_id
+
+    def look_up(batch: pa.RecordBatch, known: dict[str, int]) -> pa.RecordBatch:
+        lists = batch.column(1)
+        ids = [known.get(t, unk) for t in lists.flatten().to_pylist()]
+        ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(lists), 0)).to_pylist()
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), pa.array(ids, pa.int64()))], names=[key, "ids"])
+
+    own = df.select(key, tokens.alias("_tokens"))
+    schema = T.StructType([own.schema.fields[0], T.StructField("ids", T.ArrayType(T.LongType()))])
+    return map_batches(own, look_up, schema, lambda: shared.value)
+
+
 def token_ids(df: DataFrame, vocab: Vocab, key: str, text_col: str = "text", eos: str = EOS, limit: int | None = None) -> DataFrame:
     """``(key, ids array<bigint>)``: every token mapped to its id (unknown -> unk).
 
-    The literal end-of-sequence marker is split off as its own token.  Rows
+    The literal end-of-sequence marker is split off as its own token.  A vocabulary
+    of checked size is broadcast and looked up in the row, without a shuffle.  For a larger one rows
     explode to ``(key, pos, token)``, join the vocabulary on ``token`` and are
     gathered again per key in position order; the grouping key is the row
     key, so no group is larger than one row's tokens.  With ``limit`` only
     the first ``limit`` tokens of a row go through the join and the gather
     (truncation is pushed before the shuffle).
     """
-    toks = spread(df.select(key, text_col), key).select(key, F.posexplode_outer(marked_words(text_col, eos)).alias("pos", "token"))
+    rows = spread(df.select(key, text_col), key)
+    if _small(vocab):
+        tokens = marked_words(text_col, eos)
+        return _ids_in_row(rows, vocab, key, tokens if limit is None else F.slice(tokens, 1, max(limit, 1)))
+    toks = rows.select(key, F.posexplode_outer(marked_words(text_col, eos)).alias("pos", "token"))
     if limit is not None:  # the first token stays in any case, and with it the row
         toks = toks.where(F.col("pos").isNull() | (F.col("pos") < max(limit, 1)))
     # private column names so that a row key called "id" or "token" cannot collide

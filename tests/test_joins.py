@@ -43,6 +43,7 @@ def test_lm_and_tokens_large_path(spark, monkeypatch):
     want_p = _rows(LM.perplexity(docs, lm, "k"))
     want_t = _rows(TX.tokenise(docs, vocab, 5, key="k"))
     monkeypatch.setattr(J, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(TX, "IN_ROW_TOKENS", 0)
     monkeypatch.setattr(TX, "HOT_VOCAB_IDS", 6)
     got_p = _rows(LM.perplexity(docs, lm, "k"))
     assert len(got_p) == len(want_p)

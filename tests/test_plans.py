@@ -29,10 +29,14 @@ def test_labelled_split_scans_once(spark):
     assert "Union" not in p and p.count("FileScan parquet") == 1
 
 
-def test_bounded_vocabulary_is_broadcast(spark):
+def test_bounded_vocabulary_is_broadcast(spark, monkeypatch):
     docs = Q.table(spark, SF_SMALL, "documents").select("doc_id", "text")
     vocab = TX.build_vocab(docs, "text", 1000)
     p = plan(TX.tokenise(docs, vocab, 32, key="doc_id"))
+    assert "MapInArrow" in p and "Join" not in p  # looked up in the row
+    assert p.count("Exchange") == p.count("REPARTITION_BY_NUM") <= 1  # but for spreading a file of one split
+    monkeypatch.setattr(TX, "IN_ROW_TOKENS", 0)
+    p = plan(TX.tokenise(docs, vocab, 32, key="doc_id"))
     assert "BroadcastHashJoin" in p or "BroadcastExchange" in p
 
 
