@@ -30,6 +30,7 @@ from quarry.operators.keys import with_hash_key
 from quarry.operators.layout import materialize
 from quarry.sources import readers as R
 from quarry.sources import sinks as S
+from quarry.sources.cache import SourceCache
 from quarry.sources.checkpoints import CheckpointStore
 
 
@@ -136,9 +137,10 @@ def prepare_ratings(ratings: DataFrame, key, val_fraction: float = fx.RATING_VAL
     return RatingSplits(train.select(*keep), valid.select(*keep), int(sizes["num_users"]), int(sizes["num_items"]))
 
 
-def load_ratings(spark: SparkSession, paths: list[str], val_fraction: float = fx.RATING_VAL_FRACTION, seed: int = fx.SHUFFLE_SEED) -> RatingSplits:
-    """E4: first available TSV -> typed ratings -> ``prepare_ratings``."""
-    df = R.read_first_available(spark, paths, R.read_ratings_tsv)
+def load_ratings(spark: SparkSession, paths: list[str], val_fraction: float = fx.RATING_VAL_FRACTION, seed: int = fx.SHUFFLE_SEED, cache: SourceCache | None = None) -> RatingSplits:
+    """E4: the cache, if one is named, filled from the first available TSV -> typed ratings -> ``prepare_ratings``."""
+    load = lambda s: R.read_first_available(s, paths, R.read_ratings_tsv)
+    df = load(spark) if cache is None else cache.read(spark, "ratings", load)
     return prepare_ratings(df, ["user_id", "item_id", "timestamp"], val_fraction, seed)
 
 
