@@ -835,16 +835,16 @@ def q_gbt_fit(spark, d):
 def q_mlp_fit(spark, d):
     """MLP on document counts; per split, whether the reported MSE is the one recomputed
     after saving and reloading the model, and below the variance of the target."""
-    df = doc_features(spark, d)
-    train, valid = X.train_test_split(df, 0.25, key="doc_id", seed=1)
-    model = MLP.fit_mlp(train, FIT_FEATURES, "target", steps=60, lr=0.02)
-    both = X.split_column({"train": train, "validation": valid})
-    reported = MT.mse(MLP.score_mlp(both, model, keep=["split", "target"]), "target", "prediction", by=["split"])
+    both = materialize(X.train_test_labelled(doc_features(spark, d), 0.25, key="doc_id", seed=1))
+    model = MLP.fit_mlp(both.where("split = 'train'"), FIT_FEATURES, "target", steps=60, lr=0.02)
     loaded = S.load_mlp(spark, S.save_mlp(spark, model, R.scratch_dir(spark, "mlp")))
-    own = SC.score(both, loaded, ["split", "target"]).groupBy("split").agg(
-        F.avg(F.pow(F.col("prediction") - F.col("target"), 2)).alias("own"), F.var_pop("target").alias("spread"))
+    # both models score a row in the same pass
+    scored = MLP.score_mlp(both, model, keep=["split", "target", *FIT_FEATURES], name="reported")
+    scored = SC.score(scored, loaded, ["split", "target", "reported"])
+    error = lambda c: F.avg(F.pow(F.col(c) - F.col("target"), 2))
+    own = scored.groupBy("split").agg(F.count("*").alias("n_rows"), error("reported").alias("mse"), error("prediction").alias("own"), F.var_pop("target").alias("spread"))
     near = F.abs(F.col("mse") - F.col("own")) <= 1e-9 * F.col("own")
-    return reported.join(own, "split").select("split", "n_rows", near.alias("mse_matches"), (F.col("mse") < F.col("spread")).alias("beats_mean"))
+    return own.select("split", "n_rows", near.alias("mse_matches"), (F.col("mse") < F.col("spread")).alias("beats_mean"))
 
 
 @query(
@@ -885,11 +885,13 @@ def q_text_classifier_fit(spark, d):
     train, valid = X.train_test_split(docs, 0.25, key="doc_id", seed=1)
     model = L.fit_text_classifier(train, "text", "label")
     loaded = S.load_pipeline_model(S.save_pipeline_model(model, R.scratch_dir(spark, "classifier")))
-    pred = SC.score(valid, model, ["doc_id", "label"]).withColumn("argmax", M.argmax("logits"))
-    again = SC.score(valid, loaded, ["doc_id"]).select("doc_id", F.col("prediction").alias("again"))
-    same = pred.join(again, "doc_id").agg(F.bool_and(F.col("prediction") == F.col("again")).alias("reload_equal"))
-    out = MT.mcc(pred, "label", "argmax").select((F.col("tp") + F.col("fn")).alias("n_positive"), (F.col("tn") + F.col("fp")).alias("n_negative"), (F.col("mcc") > 0).alias("learned"))
-    return out.join(same, F.lit(True))
+    # both models score a row in the same pass
+    pred = SC.score(valid, model, ["text", "label"]).select("text", "label", M.argmax("logits").alias("argmax"))
+    both = SC.score(pred, loaded, ["label", "argmax"])
+    by_label = both.groupBy("label", "argmax").agg(F.count("*").alias("n"), F.bool_and(F.col("prediction") == F.col("argmax")).alias("same"))
+    count = lambda y, p: F.coalesce(F.sum(F.when((F.col("label") == y) & (F.col("argmax") == p), F.col("n"))), F.lit(0))
+    out = by_label.agg(count(1, 1).alias("tp"), count(0, 0).alias("tn"), count(0, 1).alias("fp"), count(1, 0).alias("fn"), F.bool_and("same").alias("reload_equal"))
+    return out.select((F.col("tp") + F.col("fn")).alias("n_positive"), (F.col("tn") + F.col("fp")).alias("n_negative"), (MT.mcc_expr() > 0).alias("learned"), "reload_equal")
 
 
 @query(
