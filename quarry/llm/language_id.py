@@ -18,8 +18,9 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from quarry.llm.common import map_rows
+from quarry.llm.common import give_back, map_rows
 
 WORD = re.compile(r"[^\W\d_]+")  # letters, and signs like ½ that count as numbers
 UND = "und"
@@ -83,27 +84,44 @@ def fit(labelled: DataFrame, fit_docs: int = 6000, max_gram: int = 4, min_count:
             keys = list(seen)
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys]), pa.array(list(seen.values()), pa.int64())], names=["lang", "word", "n"])
 
-    words = rows.select("text", "lang").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).collect()
-    return build([(r["lang"], r["word"], r["n"]) for r in words], max_gram, min_count)
+    words = rows.select("text", "lang").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()
+    model = build((row for batch in words.to_batches(1 << 16) for row in zip(*[c.to_pylist() for c in batch.columns])), words["lang"].unique().to_pylist(), max_gram, min_count)
+    del words
+    give_back()
+    return model
 
 
-def build(counts: list[tuple[str, str, int]], max_gram: int, min_count: int) -> Model:
-    languages = sorted({c[0] for c in counts})
+class _Counts:
+    """Numbers per key and language, in one flat array."""
+
+    def __init__(self, languages: int):
+        self.languages, self.at, self.values = languages, {}, array("d")
+
+    def add(self, key: str, language: int, n: float) -> None:
+        i = self.at.setdefault(key, len(self.at)) * self.languages
+        if i == len(self.values):
+            self.values.extend([0.0] * self.languages)
+        self.values[i + language] += n
+
+
+def build(counts: Iterable[tuple[str, str, int]], languages: list[str], max_gram: int, min_count: int) -> Model:
+    languages = sorted(languages)
     at = {x: i for i, x in enumerate(languages)}
-    by_word: dict[str, np.ndarray] = {}
-    by_gram: dict[str, np.ndarray] = {}
+    by_word, by_gram = _Counts(len(languages)), _Counts(len(languages))
     for lang, word, n in counts:
-        by_word.setdefault(word, np.zeros(len(languages)))[at[lang]] += n
+        by_word.add(word, at[lang], n)
         for k in range(1, max_gram + 1):
             for g in _grams(word, k):
-                by_gram.setdefault(g, np.zeros(len(languages)))[at[lang]] += min(n, GRAM_WEIGHT)
+                by_gram.add(g, at[lang], min(n, GRAM_WEIGHT))
 
-    def scores(table: dict[str, np.ndarray], least: float) -> tuple[dict[str, int], np.ndarray]:
-        kept = sorted(k for k, v in table.items() if v.sum() >= least)
+    def scores(table: _Counts, least: float) -> tuple[dict[str, int], np.ndarray]:
+        every = np.frombuffer(table.values).reshape(len(table.at), len(languages))
+        enough = every.sum(1) >= least
+        kept = sorted(k for k, i in table.at.items() if enough[i])
         if not kept:
             return {}, np.zeros((0, len(languages)))
-        m = np.array([table[k] for k in kept])
-        total = np.array(list(table.values())).sum(0)
+        m = every[[table.at[k] for k in kept]]
+        total = every.sum(0)
         return {k: i for i, k in enumerate(kept)}, np.log((m + 0.1) / (total + 0.1 * len(kept) + 1))
 
     words, word_scores = scores(by_word, min_count)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from quarry.llm.common import arrow_rows, map_rows, saved
+from quarry.llm.common import arrow_rows, give_back, map_rows, saved
 
 WORD = re.compile(r"[^\W\d_]+")
 WINDOW = 32
@@ -375,6 +375,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 10_000, support: int
         highest = clean.mapInArrow(_highest_windows(model), "words array<string>").orderBy("words").collect()
         windows, toxic = windows + [r["words"] for r in highest], toxic + [0.0] * len(highest)
         model.params = train(model, windows, np.array(toxic), steps=hard_steps, rate=0.005, seed=seed + turn)
+    del windows, picked
+    give_back()
     return model
 
 
