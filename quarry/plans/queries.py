@@ -970,9 +970,15 @@ def q_find_artifact(spark, d):
     return found.select(F.col("path").endswith(".parquet").alias("is_parquet"), (F.col("length") > 0).alias("has_bytes"))
 
 
-@query("push_results")
+@query(
+    "push_results",
+    "SELECT 'datasets' AS name, 'parquet' AS plugin, true AS success, false AS has_error, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS keys, CAST(NULL AS DOUBLE) AS value FROM orders "
+    "UNION ALL SELECT 'report', 'json', true, false, 1, 0, round(avg(o_totalprice), 4) FROM orders "
+    "UNION ALL SELECT 'missing', 'parquet', false, true, 0, 0, CAST(NULL AS DOUBLE)",
+)
 def q_push_results(spark, d):
-    """Push three artifacts (two succeed, one points at a missing source) (rows-only)."""
+    """Push three artifacts (two succeed, one points at a missing source); what was pushed is read again
+    and counted."""
     root = R.scratch_dir(spark, "push")
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
 
@@ -984,12 +990,19 @@ def q_push_results(spark, d):
         S.PushItem("report", "json", lambda: S.write_report(spark, "orders", MT.metrics_long(orders.agg(F.avg("o_totalprice").alias("mean_price"))), f"{root}/report") and f"{root}/report"),
         S.PushItem("missing", "parquet", missing),
     ])
-    return res.select("name", "plugin", "success", F.col("error").isNotNull().alias("has_error"))
+    where = {r["name"]: r["value"] for r in res.where("success").collect()}
+    pushed = spark.read.parquet(where["datasets"]).agg(F.lit("datasets").alias("name"), F.count("*").alias("n_rows"), F.sum("o_orderkey").alias("keys"), F.lit(None).cast("double").alias("value"))
+    pushed = pushed.unionByName(spark.read.json(where["report"]).agg(F.lit("report").alias("name"), F.count("*").alias("n_rows"), F.lit(0).cast("bigint").alias("keys"), F.max("value").alias("value")))
+    return res.select("name", "plugin", "success", F.col("error").isNotNull().alias("has_error")).join(pushed, "name", "left").fillna(0, ["n_rows", "keys"])
 
 
-@query("model_record")
+@query(
+    "model_record",
+    "SELECT 'housing-mean' AS name, 'REGRESSION' AS kind, metric, value FROM (SELECT 'mean_price' AS metric, round(avg(l_extendedprice), 4) AS value FROM lineitem "
+    "UNION ALL SELECT 'rows', CAST(count(*) AS DOUBLE) FROM lineitem)",
+)
 def q_model_record(spark, d):
-    """Register a model record with metrics from the data (rows-only)."""
+    """Register a model record with metrics from the data; the record's metrics as the registry holds them."""
     li = table(spark, d, "lineitem")
     m = li.agg(F.avg("l_extendedprice").alias("mean_price"), F.count(F.lit(1)).alias("rows")).collect()[0]
     rec = {
@@ -997,8 +1010,9 @@ def q_model_record(spark, d):
         "labels": {"project": "housing"}, "metrics": {"mean_price": m["mean_price"], "rows": m["rows"]},
         "params": {"test_size": 0.25, "seed": 1},
     }
-    out = S.register_model(spark, rec, R.scratch_dir(spark, "registry"))
-    return out.select("name", "kind", F.size("metrics").alias("n_metrics"))
+    root = R.scratch_dir(spark, "registry")
+    S.register_model(spark, rec, root)
+    return spark.read.parquet(root).select("name", "kind", F.explode("metrics").alias("metric", "value")).withColumn("value", F.round("value", 4))
 
 
 # ------------------------------------------------------------- jobs E7-E11

@@ -37,6 +37,17 @@ def test_mlp_learns(spark):
     assert mse < _mean_mse(train, valid)
 
 
+def test_mlp_model_factory(spark):
+    df = spark.createDataFrame([(float(i), 2.0 * i) for i in range(40)], "x double, y double")
+    by_default, by_path = (MLP.fit_mlp(df, ["x"], "y", steps=2, **kw) for kw in ({}, {"factory": "quarry.operators.mlp.init_weights"}))
+    assert all(np.array_equal(a, b) for a, b in zip(by_default.weights, by_path.weights))
+    zeros = MLP.fit_mlp(df, ["x"], "y", steps=1, factory=lambda sizes, seed: [np.zeros_like(w) for w in MLP.init_weights(sizes, seed)])
+    assert not zeros.weights[0].any()
+    for wrong in ("quarry.operators.mlp.nothing", "no.such.module", "plain", "quarry.operators.mlp.MLP_HIDDEN"):
+        with pytest.raises(ValueError):
+            MLP.factory_of(wrong)
+
+
 def test_mlp_save_load_roundtrip(spark, tmp_path):
     model = MLP.mlp_from_fixed(["a", "b"], "y", [2, 3, 1])
     S.save_mlp(spark, model, str(tmp_path / "m"))
