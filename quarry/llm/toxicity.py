@@ -368,14 +368,19 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 10_000, support: int
     if len({r["toxic"] for r in picked}) < 2:
         return Model({}, {}, constant=n_toxic / (n_clean + n_toxic))
     # windows of bounded number and length are all that reaches the driver
-    windows, toxic = [r["words"] for r in picked], [float(r["toxic"]) for r in picked]
+    pool: dict[str, str] = {}  # a word that many windows hold is one string
+    shared = lambda rows: [[pool.setdefault(w, w) for w in r["words"]] for r in rows]
+    windows, toxic = shared(picked), [float(r["toxic"]) for r in picked]
+    del picked, entry, rows
+    give_back()
     model.params = train(model, windows, np.array(toxic))
     clean = sample.where("toxic = 0").select("text")
     for turn in range(hard_rounds):
         highest = clean.mapInArrow(_highest_windows(model), "words array<string>").orderBy("words").collect()
-        windows, toxic = windows + [r["words"] for r in highest], toxic + [0.0] * len(highest)
+        windows, toxic = windows + shared(highest), toxic + [0.0] * len(highest)
+        del highest
         model.params = train(model, windows, np.array(toxic), steps=hard_steps, rate=0.005, seed=seed + turn)
-    del windows, picked
+    del windows, pool
     give_back()
     return model
 
