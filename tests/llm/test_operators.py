@@ -321,46 +321,116 @@ def test_tree_codes_are_a_distribution():
     tree = lm_scoring.huffman(np.array([5.0, 1, 0, 100, 7, 0, 2]))
     assert sum(2.0 ** -int(n) for n in tree.length) == pytest.approx(1.0)
     words = {b"a": 0, b"b": 1}
-    byte_tree = lm_scoring.huffman(np.ones(256))
-    size = int(lm_scoring._BASE[-1])
-    model = lm_scoring.Model(words, lm_scoring.huffman(np.array([3.0, 2, 1, 1])), byte_tree, np.zeros(size, np.int8), np.zeros(1 << lm_scoring.SLOT_BITS[3], np.int8),
-                             [lm_scoring.Followers(np.empty(0, np.uint64), np.empty(0, np.int32), np.empty(0, np.int8))] * 2, lm_scoring.start_weights(), np.zeros(lm_scoring.RANGES))
+    model = lm_scoring.Model(words, 2, lm_scoring.huffman(np.array([3.0, 2, 1])), lm_scoring.huffman(np.ones(256)), 16, np.zeros(lm_scoring.CONTEXTS << 16, np.uint16),
+                             np.zeros(int(lm_scoring._BASE[-1]), np.uint16), lm_scoring.start_weights(), np.zeros(lm_scoring.RANGES))
     mass = sum(math.exp(-lm_scoring.score_batch(model, [[w]])[0]) for w in (b"a", b"b"))
     spelled = sum(math.exp(-lm_scoring.score_batch(model, [[bytes([x])]])[0]) for x in range(256) if bytes([x]) not in words and x != 32)
     assert 0 < mass < 1 and mass + spelled <= 1
 
 
-def test_lm_followers_are_summed_over_the_corpus(spark, monkeypatch):
-    """A pair that stands once in each of many partitions counts, contexts' totals hold all
-    words, and neither the partitioning nor what tasks hold changes a follower or a score."""
+def plain_nats(model, counts, texts, tokens):
+    """The cost of one document's tokens by dictionaries of whole contexts, decision by decision."""
+    words, escape = model.words, len(model.words)
+
+    def path(tree, symbol):
+        at = int(tree.offset[symbol])
+        return [(int(tree.node[i]), int(tree.bit[i])) for i in range(at, at + int(tree.length[symbol]))]
+
+    def around(doc, i):
+        one, two = doc[i - 1] if i >= 1 else None, doc[i - 2] if i >= 2 else None
+        return [("one", one), ("two", two), ("both", one, two)]
+
+    def spelled(token):
+        whole = token + b" "
+        for i, byte in enumerate(whole):
+            before = b" " * 4 + whole[:i]
+            yield [(k, before[len(before) - k :]) for k in lm_scoring.ORDERS] + [("all", whole[:i])], path(model.byte_tree, byte)
+
+    seen: dict = {}
+
+    def count(contexts, steps, n):
+        for c in contexts:
+            for node, bit in steps:
+                seen.setdefault((c, node), [0, 0])[bit] += n
+
+    for doc in texts:
+        for i, t in enumerate(doc):
+            count(around(doc, i), path(model.word_tree, words.get(t, escape)), 1)
+            if t in words and counts[t] == 1:
+                count(around(doc, i), path(model.word_tree, escape), 1)
+    for t, n in counts.items():
+        if t not in words or n == 1:
+            for contexts, steps in spelled(t):
+                count(contexts, steps, n)
+
+    def kept(n):  # counts are stored in steps beyond 64
+        return n if n <= 64 else 64 * 2 ** (round(5.6 * math.log2(n / 64)) / 5.6)
+
+    def inputs(contexts, node):
+        n = [[kept(x) for x in seen.get((c, node), (0, 0))] for c in contexts]
+        return [math.log((b + 0.4) / (a + 0.4)) for a, b in n], [a + b for a, b in n]
+
+    weights, refine, cost = model.weights.astype(float).copy(), model.refine.astype(float).copy(), 0.0
+    for begin in range(0, len(tokens), lm_scoring.BLOCK):
+        block = range(begin, min(begin + lm_scoring.BLOCK, len(tokens)))
+        for part in ("word", "byte"):
+            cases = []
+            for i in block:
+                symbol = words.get(tokens[i], escape)
+                if part == "word":
+                    for node, bit in path(model.word_tree, symbol):
+                        x, n = inputs(around(tokens, i), node)
+                        sure = [sum(m >= least for least in (1, 4, 32)) for m in n]
+                        cases.append(([float(model.word_tree.odds[node]), *x], lm_scoring.LEVELS + 4 * sure[0] + sure[2], bit))
+                elif symbol == escape:
+                    for contexts, steps in spelled(tokens[i]):
+                        for node, bit in steps:
+                            x, n = inputs(contexts, node)
+                            cases.append((x, min(5, math.ceil(math.log2(n[3] + 1) / 1.6)), bit))
+            moved = []
+            for x, gate, bit in cases:
+                s = sum(a * b for a, b in zip(x, weights[gate]))
+                span = int(min(max(s + lm_scoring.RANGES // 2 + 0.5, 0), lm_scoring.RANGES - 1))
+                p = 1 / (1 + math.exp(-min(max(s + refine[span], -16), 16)))
+                cost -= math.log(p if bit else 1 - p)
+                moved.append((x, gate, span, bit - p))
+            if begin + lm_scoring.BLOCK < len(tokens):
+                for gate in {m[1] for m in moved}:
+                    own = [m for m in moved if m[1] == gate]
+                    weights[gate] += 0.15 * sum(np.array(m[0]) * m[3] for m in own) / (len(own) + 60)
+                for span in {m[2] for m in moved}:
+                    own = [m for m in moved if m[2] == span]
+                    refine[span] += 1.5 * sum(m[3] for m in own) / (len(own) + 60)
+    return cost
+
+
+@pytest.mark.parametrize("held", [1 << 17, 12])
+def test_lm_scores_equal_plain_ones(spark, monkeypatch, held):
+    """Scores under any partitioning are those of dictionaries of whole contexts, with all tokens
+    as words and with most of them spelled."""
+    monkeypatch.setattr(lm_scoring, "WORDS", held)
+    monkeypatch.setattr(lm_scoring, "WORD_BITS", (22, 22))  # hardly a slot is shared
     gen = random.Random(8)
-    rows = [(i, f"alpha beta {sentence(EN + DE, 12)} x{gen.randrange(10**6)} gamma {gen.choice(EN)}") for i in range(60)]
+    rows = [(i, f"alpha beta {sentence(EN + DE, 12)} x{gen.randrange(10**6)} gamma {gen.choice(EN)}") for i in range(40)]
+    rows += [(50, "beta " + sentence(EN, 70) + " zürich zürich"), (51, ""), (52, "alpha beta " * 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("learn", F.col("doc_id") % 5 != 2)
+    texts = {i: lm_scoring.tokens_of(t) for i, t in rows}
+    training = [t for i, t in texts.items() if i % 5 != 2]
+    counts = Counter(t for x in training for t in x)
+    models = [lm_scoring.train(df.repartition(n))[0] for n in (1, 7)]
+    for a, b in ((m.weights, m.refine) for m in models), ((m.word_seen, m.byte_seen) for m in models):
+        assert all(np.allclose(x, y, atol=1e-4) for x, y in zip(a, b))
+    got = {r.doc_id: r.score for r in lm_scoring.score(df.repartition(7), F.col("learn")).collect()}
+    for i in (2, 7, 50, 51, 52):
+        assert got[i] == pytest.approx(-plain_nats(models[0], counts, training, texts[i]) / math.log(10), rel=2e-3)
+
+
+def test_lm_bits_are_by_the_bytes_of_the_text(spark):
+    rows = [(i, "the  und\n" * 5 + "é") for i in range(3)] + [(5, ""), (6, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    words = {t: i for i, t in enumerate(sorted({t for _, x in rows for t in lm_scoring.tokens_of(x) if not t.startswith(b"x")}))}
-    shared = spark.sparkContext.broadcast(words)
-    pairs = Counter()
-    for _, text in rows:
-        tokens = lm_scoring.tokens_of(text)
-        names = np.array([lm_scoring.xxhash.xxh64_intdigest(t) for t in tokens], np.uint64)
-        for contexts in lm_scoring.contexts_of(names, np.arange(len(tokens))):
-            pairs.update((int(c), words.get(t, -1)) for c, t in zip(contexts.view(np.int64), tokens))
-    total = Counter()
-    for (c, _), n in pairs.items():
-        total[c] += n
-    want = {}
-    for c in total:
-        n, word = max((n, w) for (x, w), n in pairs.items() if x == c)
-        if word >= 0 and n >= lm_scoring.HITS and 2 * n >= total[c]:
-            share = n / (total[c] + 1.0)
-            want[c] = (n, word, 1 + (share > 0.8) + (share > 0.95))
-    for parts in (1, 60):
-        got = {r.context: (r.n, r.word, r.sure & 3) for r in lm_scoring.followers(df.repartition(parts), shared).collect()}
-        assert got == want and any(w == words[b"beta"] for _, w, _ in got.values())
-    scores = []
-    for held in (1 << 18, 3):
-        monkeypatch.setattr(lm_scoring, "FOLLOWERS", held)
-        scores.append({r.doc_id: r.score for r in lm_scoring.score(df.repartition(7), F.col("doc_id") % 5 != 2).collect()})
-    assert scores[0] == pytest.approx(scores[1], rel=1e-4)
+    for r in lm_scoring.score(df, F.lit(True)).collect():
+        size = len((dict(rows)[r.doc_id] or "").encode())
+        assert r.bits_per_byte is None if not size else r.bits_per_byte == pytest.approx(-r.score * math.log2(10) / size)
 
 
 def test_lm_learns_from_all_texts_and_every_few_tokens(spark):
