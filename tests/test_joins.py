@@ -59,3 +59,18 @@ def test_spread(spark):
     assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     shuffled = spark.range(100).groupBy((F.col("id") % 3).alias("k")).count()
     assert spread(shuffled, "k") is shuffled
+
+
+def test_large_index_reads_the_rows_once(spark, monkeypatch):
+    df = spark.createDataFrame([(1 if i < 40 else i, i) for i in range(100)], "user_id long, x long")
+    idx = A.dense_index(df, "user_id", "user_idx")
+    monkeypatch.setattr(A, "BROADCAST_ROWS", 0)
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    assert A.apply_index(df.mapInArrow(counted, df.schema), idx, "user_id").count() == 100
+    assert reads.value == 100
