@@ -11,8 +11,9 @@ There are at most ``2 B`` such on a side; they are treated like the head: every
 copy, copies are averaged by the ratings that touched them, and their ratings are dealt
 evenly over all cells.
 
-The vectors are a table that each round writes to the checkpoint folder; the driver holds
-the head and the shared vectors.  ``B`` follows from the number of ratings, users and items,
+The vectors are a table that each round writes to the checkpoint folder, as single-precision
+numbers (a task computes in double precision); the driver holds the head and the shared
+vectors.  An epoch moves that table ``B`` times, so a cell takes as many ratings as a task holds well.  ``B`` follows from the number of ratings, users and items,
 the order of ratings from a hash, so a fit doesn't depend on partitioning or retries.
 
 Defined cases: ratings with a NULL user, item or value, or a NaN value, teach nothing; repeated
@@ -26,8 +27,8 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,10 +40,11 @@ from quarry.operators.joins import lookup
 from quarry.operators.layout import materialize
 
 #: Ratings of a cell, and users or items of a block, that a task takes on.
-CELL_ROWS, BLOCK_ENTITIES = 1 << 16, 1 << 17
+CELL_ROWS, BLOCK_ENTITIES = 1 << 19, 1 << 19
 INIT_STD = 0.01
 RATING, USER, ITEM, SHARED_USER, SHARED_ITEM, HEAD = range(6)
-TRAINED = "kind int, idx long, vec array<double>, n double"
+TRAINED = "kind int, idx long, vec array<float>, n double, common array<double>"
+_TRAINED_ARROW = pa.schema([("kind", pa.int32()), ("idx", pa.int64()), ("vec", pa.list_(pa.float32())), ("n", pa.float64()), ("common", pa.list_(pa.float64()))])
 
 
 @dataclass(frozen=True)
@@ -107,13 +109,13 @@ class _Side:
         return self.order[np.searchsorted(self.names, idx)]
 
     def step(self, at: np.ndarray, grads: np.ndarray, rate: float) -> None:
-        rows, back = np.unique(at, return_inverse=True)
-        total = np.zeros((len(rows), grads.shape[1]))
-        np.add.at(total, back, grads)
+        order = np.argsort(at, kind="stable")
+        rows, first, times = np.unique(at[order], return_index=True, return_counts=True)
+        total = np.add.reduceat(grads[order], first, axis=0)
         k = grads.shape[1]
         self.state[rows, k:] += total * total
         self.state[rows, :k] -= rate * total / np.sqrt(self.state[rows, k:] + 1e-8)
-        self.seen[rows] += np.bincount(back)
+        self.seen[rows] += times
 
 
 def _flat(arrays: list[np.ndarray]) -> np.ndarray:
@@ -140,26 +142,29 @@ class Shared:
     head: np.ndarray
 
 
+def _vectors(rows: pa.Table, width: int) -> np.ndarray:
+    flat = pc.list_flatten(rows["vec"]).to_numpy()
+    return flat.astype(float).reshape(rows.num_rows, width)
+
+
 def _trainer(params: RatingParams, shared: Shared):
     k, like = params.rank, params.head()
 
-    def state_of(rows: pd.DataFrame) -> np.ndarray:
-        return np.stack(rows["vec"].to_list()) if len(rows) else np.zeros((0, 2 * k))
-
-    def train(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = {kind: rows for kind, rows in pdf.groupby("kind")}
-        none = pdf.iloc[:0]
-        ratings = parts.get(RATING, none).sort_values(["turn_order", "idx", "other", "value"], kind="stable")
+    def train(table: pa.Table) -> pa.Table:
+        kinds = table["kind"].to_numpy()
+        part = lambda kind: table.filter(pa.array(kinds == kind))
+        ratings = part(RATING).select(["turn_order", "idx", "other", "value"])
+        ratings = ratings.sort_by([(c, "ascending") for c in ratings.column_names])
         sides = []
         for kind, names, state in ((USER, shared.users, shared.user_state), (ITEM, shared.items, shared.item_state)):
-            own = parts.get(kind, none)
-            sides.append(_Side(own["idx"].to_numpy(np.int64), state_of(own), names, state))
+            own = part(kind).sort_by("idx")
+            sides.append(_Side(own["idx"].to_numpy(), _vectors(own, 2 * k), names, state))
         users, items = sides
-        n = len(ratings)
+        n = ratings.num_rows
         size = sum(a.size for a in like)
         head, squares = _unflat(shared.head[:size].copy(), like), _unflat(shared.head[size:].copy(), like)
         if n:
-            u, i, y = users.rows(ratings["idx"].to_numpy(np.int64)), items.rows(ratings["other"].to_numpy(np.int64)), ratings["value"].to_numpy()
+            u, i, y = users.rows(ratings["idx"].to_numpy()), items.rows(ratings["other"].to_numpy()), ratings["value"].to_numpy()
             for at in range(0, n, params.batch):
                 a, b, t = u[at : at + params.batch], i[at : at + params.batch], y[at : at + params.batch]
                 grads, by_input = gradients(np.concatenate([users.state[a, :k], items.state[b, :k]], axis=1), t, head)
@@ -169,15 +174,16 @@ def _trainer(params: RatingParams, shared: Shared):
                 users.step(a, by_input[:, :k], params.rate)
                 items.step(b, by_input[:, k:], params.rate)
         out = []
-        for side, own, common in ((users, USER, SHARED_USER), (items, ITEM, SHARED_ITEM)):
-            for row, (name, seen) in enumerate(zip(side.all_names.tolist(), side.seen.tolist())):
-                if row < side.own:
-                    out.append((own, name, side.state[row], seen))
-                elif seen:
-                    out.append((common, name, side.state[row], seen))
+        for side, kind in ((users, USER), (items, ITEM)):
+            flat = side.state[: side.own].astype(np.float32).ravel()
+            vec = pa.ListArray.from_arrays(pa.array(np.arange(side.own + 1) * 2 * k, pa.int32()), pa.array(flat))
+            out.append(pa.table([pa.array(np.full(side.own, kind, np.int32)), pa.array(side.all_names[: side.own]), vec, pa.array(side.seen[: side.own]), pa.nulls(side.own, pa.list_(pa.float64()))], schema=_TRAINED_ARROW))
+        common = [(kind, name, side.state[row], seen) for side, kind in ((users, SHARED_USER), (items, SHARED_ITEM))
+                  for row, (name, seen) in enumerate(zip(side.all_names.tolist(), side.seen.tolist())) if row >= side.own and seen]
         if n:
-            out.append((HEAD, 0, np.concatenate([_flat(head), _flat(squares)]), float(n)))
-        return pd.DataFrame(out, columns=["kind", "idx", "vec", "n"])
+            common.append((HEAD, 0, np.concatenate([_flat(head), _flat(squares)]), float(n)))
+        out.append(pa.table([[r[0] for r in common], [r[1] for r in common], pa.nulls(len(common), pa.list_(pa.float32())), [r[3] for r in common], [r[2].tolist() for r in common]], schema=_TRAINED_ARROW))
+        return pa.concat_tables(out)
 
     return train
 
@@ -254,7 +260,7 @@ def fit_ratings(ratings: DataFrame, params: RatingParams = RatingParams(), user:
     vectors = [t.where(~F.col("idx").isin(hot)) if hot else t for t, hot in ((users, hot_users), (items, hot_items))]
     state = None
     for kind, table in ((USER, vectors[0]), (ITEM, vectors[1])):
-        part = table.select(F.lit(kind).alias("kind"), "idx", _initial(F.col("idx"), params.rank, params.seed + 10 * kind).alias("vec"))
+        part = table.select(F.lit(kind).alias("kind"), "idx", _initial(F.col("idx"), params.rank, params.seed + 10 * kind).cast("array<float>").alias("vec"))
         state = part if state is None else state.unionByName(part)
     state = materialize(state)
 
@@ -267,7 +273,7 @@ def fit_ratings(ratings: DataFrame, params: RatingParams = RatingParams(), user:
 
     head = _flat(params.head())
     shared = Shared(np.array(hot_users, np.int64), start(hot_users, USER), np.array(hot_items, np.int64), start(hot_items, ITEM), np.concatenate([head, np.zeros_like(head)]))
-    no_vec = F.lit(None).cast("array<double>")
+    no_vec = F.lit(None).cast("array<float>")
     for epoch in range(params.epochs):
         for turn in range(blocks):
             order = F.xxhash64("u", "i", "value", F.lit(params.seed + 100 + epoch))
@@ -275,9 +281,9 @@ def fit_ratings(ratings: DataFrame, params: RatingParams = RatingParams(), user:
             home = F.pmod(F.xxhash64("idx", F.lit(params.seed)), F.lit(blocks))
             cell = F.when(F.col("kind") == USER, home).otherwise(F.pmod(home - turn, F.lit(blocks))).cast("int")
             own_rows = state.select(cell.alias("cell"), "kind", "idx", F.lit(0).cast("long").alias("other"), F.lit(0.0).alias("value"), "vec", F.lit(0).cast("long").alias("turn_order"))
-            trained = materialize(rows.unionByName(own_rows).groupBy("cell").applyInPandas(_trainer(params, shared), TRAINED))
+            trained = materialize(rows.unionByName(own_rows).groupBy("cell").applyInArrow(_trainer(params, shared), TRAINED))
             state = trained.where(F.col("kind").isin(USER, ITEM)).select("kind", "idx", "vec")
-            mean = Summarizer.mean(array_to_vector("vec"), F.col("n"))
+            mean = Summarizer.mean(array_to_vector("common"), F.col("n"))
             averaged = trained.where(~F.col("kind").isin(USER, ITEM)).groupBy("kind", "idx").agg(vector_to_array(mean).alias("vec")).collect()
             got = {(r["kind"], r["idx"]): np.array(r["vec"]) for r in averaged}
             shared = Shared(shared.users, np.array([got.get((SHARED_USER, x), s) for x, s in zip(hot_users, shared.user_state)]).reshape(-1, 2 * params.rank),
@@ -285,7 +291,7 @@ def fit_ratings(ratings: DataFrame, params: RatingParams = RatingParams(), user:
                             got.get((HEAD, 0), shared.head))
     tables = []
     for kind, hot, hot_state in ((USER, hot_users, shared.user_state), (ITEM, hot_items, shared.item_state)):
-        table = state.where(F.col("kind") == kind).select("idx", F.slice("vec", 1, params.rank).alias("vec"))
+        table = state.where(F.col("kind") == kind).select("idx", F.slice("vec", 1, params.rank).cast("array<double>").alias("vec"))
         if hot:
             table = table.unionByName(spark.createDataFrame([(x, s[: params.rank].tolist()) for x, s in zip(hot, hot_state)], "idx long, vec array<double>"))
         tables.append(table)

@@ -95,3 +95,13 @@ def test_cold_rows_nulls_and_storage(spark, tmp_path):
     assert a["both"] == a["null"] == pytest.approx(R.forward(np.zeros((1, 6)), model.head)[-1][0, 0])
     with pytest.raises(ValueError):
         R.fit_ratings(frame(spark, []))
+
+
+def test_rounds_move_single_precision_and_few_blocks(spark, monkeypatch):
+    """What a round writes for a user or item is 4 bytes a number, and 600,000 ratings make no 4 blocks."""
+    schemas, plain = [], R.materialize
+    monkeypatch.setattr(R, "materialize", lambda df: schemas.append(df.schema) or plain(df))
+    R.fit_ratings(frame(spark, ratings(seed=5, users=12, items=9, hot=False)), R.RatingParams(rank=2, hidden=3, epochs=1, blocks=2))
+    written = [s["vec"].dataType.elementType.typeName() for s in schemas if "vec" in s.names]
+    assert len(written) == 3 and set(written) == {"float"}
+    assert -(-600_000 // R.CELL_ROWS) < 4
