@@ -105,3 +105,16 @@ def test_rounds_move_single_precision_and_few_blocks(spark, monkeypatch):
     written = [s["vec"].dataType.elementType.typeName() for s in schemas if "vec" in s.names]
     assert len(written) == 3 and set(written) == {"float"}
     assert -(-600_000 // R.CELL_ROWS) < 4
+
+
+def test_errors_recomputed_in_batches(spark):
+    """The check of the model's error is matrix products on Arrow batches, no expression of 8,000 terms a row."""
+    from quarry.plans import fit_queries as Q
+
+    both = frame(spark, ratings(seed=6, users=12, items=9, hot=False) + [(99, 1, 0.5), (1, 99, 0.5)]).withColumn("split", F.lit("train"))
+    model = R.fit_ratings(both, R.RatingParams(rank=3, hidden=4, epochs=2))
+    out = Q._rating_errors(spark, model, both, "ratings-test")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "zip_with" not in plan
+    want = model.score(both, ["rating_norm"]).agg(F.avg(F.pow(F.col("prediction") - F.col("rating_norm"), 2.0))).first()[0]
+    assert out.first()["own"] == pytest.approx(want, abs=1e-12)
