@@ -56,3 +56,19 @@ def test_in_row_lookup_equals_the_join(spark, monkeypatch):
         with monkeypatch.context() as m:
             m.setattr(TX, "IN_ROW_TOKENS", 0)
             assert got == sorted(make().collect())
+
+
+def test_token_queries_keep_ids_only(spark, monkeypatch, tmp_path):
+    """Mask and labels follow from the ids: neither is numbered, shuffled or checkpointed with them."""
+    from quarry.operators import sampling as X
+    from quarry.plans import queries as Q
+
+    spark.createDataFrame([(i, f"a b{i} c d e") for i in range(20)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    numbered, kept = [], []
+    renumber, keep = X.renumber, Q.materialize
+    monkeypatch.setattr(X, "renumber", lambda df, *a, **k: numbered.append(df.columns) or renumber(df, *a, **k))
+    monkeypatch.setattr(Q, "materialize", lambda df: kept.append(df.columns) or keep(df))
+    padded = Q.q_pad_batches(spark, str(tmp_path)).collect()
+    assert len(padded) == 20 and all(len(r["labels"].split(",")) == len(r["input_ids"].split(",")) == 8 for r in padded)
+    assert Q.q_evaluate_lm_head(spark, str(tmp_path)).first()["num_samples_evaluated"] == 20
+    assert numbered == kept == [["doc_id", "input_ids"]]
