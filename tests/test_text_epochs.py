@@ -74,3 +74,14 @@ def test_store_keeps_best_and_last_and_refuses_other_fits(spark, tmp_path):
     train, valid = frames(spark)
     with pytest.raises(ValueError, match="other settings"):
         TE.fit_text_epochs(train, valid, "id", params=PARAMS, store=store)
+
+
+def test_batches_become_objects_in_small_pieces():
+    import pyarrow as pa
+
+    from quarry.operators import text_epochs as TE
+
+    batch = pa.RecordBatch.from_pydict({"words": [["a"] * 40] * 5000 + [["b" * 100] * 5000] * 3})
+    parts = list(TE._parts(iter([batch])))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+    assert all(p.num_rows == 1 or (p.num_rows <= TE.PART_ROWS and p.nbytes <= TE.PART_BYTES) for p in parts)
