@@ -165,3 +165,13 @@ def test_classifier_best_epoch(spark):
     assert set(rows) == {1, 2} and all(v > 0 for v in rows.values())
     best = min(rows, key=lambda e: (rows[e], e))
     assert L.eval_loss(model, valid) == pytest.approx(rows[best])
+
+
+def test_als_has_few_blocks(spark):
+    """Each iteration sends a vector to every block that rates it: what is shuffled grows with the blocks."""
+    from quarry.operators import learners as L
+
+    rows = spark.createDataFrame([(u, i, float((u + i) % 5) / 4) for u in range(20) for i in range(20)], "user_idx int, item_idx int, rating_norm double")
+    model = L.fit_recommender(rows, iterations=1)
+    # the factors stay in their blocks
+    assert model.userFactors.rdd.getNumPartitions() == model.itemFactors.rdd.getNumPartitions() == L.ALS_BLOCKS == 4
