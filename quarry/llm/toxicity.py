@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from quarry.llm.common import arrow_rows, give_back, map_rows, saved
+from quarry.llm.common import arrow_rows, begin_task, give_back, map_rows, saved
 
 WORD = re.compile(r"[^\W\d_]+")
 WINDOW = 32
@@ -313,10 +313,11 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 10_000, support: int
     sample = saved(docs.select("doc_id", "text").where("text is not null").join(F.broadcast(marks), "doc_id"))  # marks: fit_docs rows
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         seen: dict[tuple[int, str], list[int]] = {}
         parts: dict[str, set[str]] = {}
-        for batch in batches:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+        for batch, texts in arrow_rows(batches, 0, BATCH_BYTES):
+            for text, toxic in zip(texts, batch.column("toxic").to_pylist()):
                 words = set(WORD.findall(text.lower()))
                 keys = {(0, w) for w in words}
                 for w in words:
@@ -328,6 +329,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 10_000, support: int
             if len(parts) > CACHE_ENTRIES:
                 parts.clear()
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.int32()), pa.array([k[1] for k in seen], pa.string()), pa.array([n[0] for n in seen.values()], pa.int64()), pa.array([n[1] for n in seen.values()], pa.int64())], names=["kind", "gram", "clean", "toxic"])
+        del seen, parts
+        give_back()
 
     classes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_clean, n_toxic = classes.get(0, 0), sum(n for k, n in classes.items() if k)
@@ -343,10 +346,11 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 10_000, support: int
     model.start = [np.clip([told[w] / 4 for w in sorted(told)], -1, 4) for told in entry]
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         suspicion: dict[str, float] = {}
         rows: list[tuple[int, list[str]]] = []
-        for batch in batches:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+        for batch, texts in arrow_rows(batches, 0, BATCH_BYTES):
+            for text, toxic in zip(texts, batch.column("toxic").to_pylist()):
                 words = WORD.findall(text.lower())
                 if not words:
                     continue
@@ -389,10 +393,13 @@ def _highest_windows(model: Model):
     """Of each text the window with the highest score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         score = scorer(model)
-        for batch, texts in arrow_rows(batches, 0, BATCH_BYTES):
+        for _, texts in arrow_rows(batches, 0, BATCH_BYTES):
             _, starts, words = score.windows(texts)
             yield pa.RecordBatch.from_arrays([pa.array([w[s : s + WINDOW] for w, s in zip(words, starts) if w], pa.list_(pa.string()))], names=["words"])
+        del score
+        give_back()
 
     return run
 
