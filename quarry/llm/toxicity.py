@@ -23,9 +23,11 @@ columns pass through (a column named like a result is replaced).
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -43,7 +45,9 @@ GRAM = 5
 #: Vectors that the words without one of their own share, and those that the n-grams do.
 HASHED = 4096
 #: Words whose inputs a task keeps, before it starts anew.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
+#: Words whose n-grams a counting task keeps.
+FREQUENT = 1 << 14
 #: Bytes of texts that are scored at a time, words projected at a time, and windows run at a time.
 BATCH_BYTES, SEGMENT, LANES = 512 << 10, 1 << 15, 1 << 11
 Params = dict[str, np.ndarray]
@@ -97,35 +101,75 @@ def _slope(gate: np.ndarray) -> np.ndarray:
     return 0.25 * ((gate > 0) & (gate < 1))
 
 
-class Inputs:
-    """Numbers words by their inputs: those with the same word and n-gram ids share one."""
+class Inputs(dict):
+    """Numbers words as they come, the padding first; the n-grams of all new words are looked
+    up together."""
 
     def __init__(self, model: Model):
-        self.model, self.by_word, self.by_input, self.inputs, self.grams = model, {}, {}, [], {}
-        self.number(0, ())  # the padding
+        super().__init__({"": 0})
+        self.model, self.new, self.grams, self.parts = model, [], {}, []
+        self.keep((np.zeros(1, int), np.empty(0, int), np.zeros(1, int)))
 
-    def number(self, word: int, grams: tuple[int, ...]) -> int:
-        got = self.by_input.get((word, grams))
-        if got is None:
-            got = self.by_input[word, grams] = len(self.inputs)
-            self.inputs.append((word, grams))
-        return got
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        n = self[word] = len(self)
+        return n
 
     def look_up(self, words: list[str]) -> np.ndarray:
-        known, model = self.by_word, self.model
-        if len(known) > CACHE_ENTRIES:
-            self.__init__(model)
-            known = self.by_word
-        for w in set(words).difference(known):
-            known[w] = self.number(*model.inputs(w, self.grams))
-        return np.fromiter(map(known.__getitem__, words), np.int32, len(words))
-
-    def flat(self, start: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Word ids, n-gram ids one after the other, and how many each input has, from the
-        input ``start`` on."""
-        inputs = self.inputs[start:]
-        sizes = np.array([len(g) for _, g in inputs], int)
-        return np.array([w for w, _ in inputs], int), np.array([x for _, g in inputs for x in g], dtype=int), sizes
+        ids = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        if self.new:
+            self.keep((np.array([_number(self.model.words, w) for w in self.new], int), *self._grams(self.new)))
+            self.new = []
+        return ids
+
+    def keep(self, flat: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+        self.parts.append(flat)
+
+    def flat(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Word ids, n-gram ids one after the other, and how many each input has."""
+        return tuple(map(np.concatenate, zip(*self.parts)))
+
+    def _grams(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """N-gram ids of words one after the other, each word's in order, and how many each has."""
+        padded = "<" + "><".join(words) + ">"
+        code = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), np.uint32)
+        dense = np.zeros(int(code.max()) + 1, np.uint64)
+        dense[code] = 1
+        distinct = np.flatnonzero(dense)
+        bits = len(distinct).bit_length()
+        if bits * GRAM > 64:  # more letters than a number tells apart
+            if len(words) == 1:
+                grams = self.model.inputs(words[0], self.grams)[1]
+                return np.array(grams, int), np.array([len(grams)])
+            half = [self._grams(part) for part in (words[: len(words) // 2], words[len(words) // 2 :])]
+            return np.concatenate([h[0] for h in half]), np.concatenate([h[1] for h in half])
+        dense[distinct] = np.arange(1, len(distinct) + 1, dtype=np.uint64)
+        length = np.fromiter(map(len, words), np.int64, len(words)) + 2
+        count = np.maximum(length - GRAM + 1, 1)
+        owner = np.repeat(np.arange(len(words)), count)
+        at = np.arange(len(owner)) + np.repeat(np.cumsum(length) - length - (np.cumsum(count) - count), count)
+        code = np.append(dense[code], np.zeros(GRAM, np.uint64))
+        key = np.zeros(len(at), np.uint64)
+        for k in range(GRAM):
+            letter = code[at + k]
+            if k > 2:  # no word is shorter than one letter and its two marks
+                letter[length[owner] <= k] = 0
+            key = key << np.uint64(bits) | letter
+        _, first, same = np.unique(key, return_index=True, return_inverse=True)
+        seen, number = self.grams, np.empty(len(first), int)
+        size = np.minimum(length[owner[first]], GRAM)
+        for i, (b, n) in enumerate(zip(at[first].tolist(), size.tolist())):
+            gram = padded[b : b + n]
+            got = seen.get(gram)
+            if got is None:
+                got = seen[gram] = _number(self.model.grams, gram)
+            number[i] = got
+        number = number[same]
+        order = np.lexsort((same, number, owner))
+        owner, same = owner[order], same[order]
+        once = np.ones(len(order), bool)  # an n-gram counts once in a word
+        once[1:] = (owner[1:] != owner[:-1]) | (same[1:] != same[:-1])
+        return number[order[once]], np.bincount(owner[once], minlength=len(words))
 
 
 def vectors(p: Params, flat: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
@@ -137,6 +181,24 @@ def vectors(p: Params, flat: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.nd
     return out
 
 
+class Vectors(Inputs):
+    """Keeps the vectors of the words only, and starts anew after ``CACHE_ENTRIES`` words."""
+
+    def __init__(self, model: Model):
+        self.vectors = np.empty((0, model.params["word"].shape[1] if model.params else 0), np.float32)
+        super().__init__(model)
+
+    def keep(self, flat: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+        if self.model.params:
+            self.vectors = np.concatenate([self.vectors, vectors(self.model.params, flat)])
+
+    def look_up(self, words: list[str]) -> np.ndarray:
+        if len(self) > CACHE_ENTRIES:
+            self.clear()
+            self.__init__(self.model)
+        return super().look_up(words)
+
+
 def part_of(flat: tuple[np.ndarray, np.ndarray, np.ndarray], at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``flat`` of the inputs ``at`` only."""
     word, grams, sizes = flat
@@ -232,39 +294,58 @@ def stream_logits(p: Params, vecs: np.ndarray, ids: np.ndarray) -> np.ndarray:
     # the gates' lines are folded into what they add up
     fold = np.repeat(np.array([0.25, 1], np.float32), [2 * size, size])[:, None]
     shift = np.repeat(np.array([0.5, 0], np.float32), [2 * size, size])[:, None]
-    zeros, ones = np.zeros((2 * size, LANES), np.float32), np.ones((2 * size, LANES), np.float32)
     layers = {d: np.ascontiguousarray(p[d + "h"].T) * fold for d in "fb"}
+    project = {d: (p[d + "x"].T * fold, p[d + "b"][:, None] * fold) for d in "fb"}
+    lanes = min(LANES, count)
+    zeros, ones = np.zeros((2 * size, lanes), np.float32), np.ones((2 * size, lanes), np.float32)
+    # every block of windows works in the same arrays, small enough to stay in a core's cache
+    ahead, a_, new_, whole_ = np.empty((WINDOW, size, lanes), np.float32), *(np.empty((k * size, lanes), np.float32) for k in (3, 1, 1))
+    both_, got_, part_ = np.empty((2 * size, lanes), np.float32), np.empty((len(read), lanes), np.float32), np.empty((len(read) - 1, lanes), np.float32)
+    e_, told_ = np.empty((WINDOW, lanes), np.float32), np.empty((WINDOW, lanes), np.float32)
     for begin in range(0, count, SEGMENT):
         n = min(SEGMENT, count - begin)
         own = np.ascontiguousarray(vecs[ids[begin : begin + n + WINDOW - 1]].T)
-        x = {d: (p[d + "x"].T @ own + p[d + "b"][:, None]) * fold + shift for d in "fb"}
+        x = {}
+        for d, (by, add) in project.items():
+            x[d] = by @ own
+            x[d] += add
+            x[d] += shift
         for lane in range(0, n, LANES):
             w = min(LANES, n - lane)
-            states = np.empty((WINDOW, 2 * size, w), np.float32)
-            a, new, whole = np.empty((3 * size, w), np.float32), np.empty((size, w), np.float32), np.empty((size, w), np.float32)
+            a, new, whole, both, got, part = (v[:, :w] for v in (a_, new_, whole_, both_, got_, part_))
+            zr, z, r, an, zero, one = a[: 2 * size], a[:size], a[size : 2 * size], a[2 * size :], zeros[:, :w], ones[:, :w]
+            e, told = e_[:, :w], told_[:, :w]
             for k, d in enumerate("fb"):
                 h = np.zeros((size, w), np.float32)
                 for t in range(WINDOW) if d == "f" else range(WINDOW - 1, -1, -1):
                     word = x[d][:, lane + t : lane + t + w]
                     np.matmul(layers[d], h, out=a)
-                    zr = a[: 2 * size]
                     zr += word[: 2 * size]
-                    np.maximum(zr, zeros[:, :w], out=zr)
-                    np.minimum(zr, ones[:, :w], out=zr)
-                    np.multiply(zr[size:], a[2 * size :], out=new)
+                    np.maximum(zr, zero, out=zr)
+                    np.minimum(zr, one, out=zr)
+                    np.multiply(r, an, out=new)
                     new += word[2 * size :]
                     np.abs(new, out=whole)
                     whole += 1
                     new /= whole
-                    state = states[t, k * size : (k + 1) * size]
+                    state = both[size:] if k else ahead[t, :, :w]
                     np.subtract(h, new, out=state)
-                    state *= zr[:size]
+                    state *= z
                     state += new
                     h = state
-            got = np.matmul(read, states)  # [time, attention and output, window]
-            e = p["attv"] @ _squash(got[:, :-1])
-            e = np.exp(e - e.max(0))
-            out[begin + lane : begin + lane + w] = (e * got[:, -1]).sum(0) / e.sum(0) + p["outb"]
+                    if k:  # both states at this word are known: what attention and output read of them
+                        both[:size] = ahead[t, :, :w]
+                        np.matmul(read, both, out=got)
+                        u = got[:-1]
+                        np.abs(u, out=part)
+                        part += 1
+                        u /= part
+                        np.matmul(p["attv"], u, out=e[t])
+                        told[t] = got[-1]
+            e -= e.max(0)
+            np.exp(e, out=e)
+            told *= e
+            out[begin + lane : begin + lane + w] = told.sum(0) / e.sum(0) + p["outb"]
     return out
 
 
@@ -314,21 +395,24 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 10_000, support: int
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin_task()
-        seen: dict[tuple[int, str], list[int]] = {}
-        parts: dict[str, set[str]] = {}
+        seen: dict[tuple[int, int], Counter] = {(kind, toxic): Counter() for kind in (0, 1) for toxic in (0, 1)}
+        parts = functools.lru_cache(FREQUENT)(grams_of)
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for (kind, toxic), n in seen.items():
+                counts = pa.array(n.values(), pa.int64(), size=len(n))
+                none = pa.array(np.zeros(len(n), np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int32)), pa.array(n.keys(), pa.string(), size=len(n)), none if toxic else counts, counts if toxic else none], names=["kind", "gram", "clean", "toxic"])
+                n.clear()
+
         for batch, texts in arrow_rows(batches, 0, BATCH_BYTES):
             for text, toxic in zip(texts, batch.column("toxic").to_pylist()):
                 words = set(WORD.findall(text.lower()))
-                keys = {(0, w) for w in words}
-                for w in words:
-                    if w not in parts:
-                        parts[w] = grams_of(w)
-                    keys.update((1, x) for x in parts[w])
-                for k in keys:
-                    seen.setdefault(k, [0, 0])[toxic] += 1
-            if len(parts) > CACHE_ENTRIES:
-                parts.clear()
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.int32()), pa.array([k[1] for k in seen], pa.string()), pa.array([n[0] for n in seen.values()], pa.int64()), pa.array([n[1] for n in seen.values()], pa.int64())], names=["kind", "gram", "clean", "toxic"])
+                seen[0, toxic != 0].update(words)
+                seen[1, toxic != 0].update(set().union(*map(parts, words)))
+            if sum(map(len, seen.values())) > CACHE_ENTRIES:
+                yield from out()
+        yield from out()
         del seen, parts
         give_back()
 
@@ -340,8 +424,10 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 10_000, support: int
     counts = counts.groupBy("kind", "gram").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     expected = (F.col("clean") + F.col("toxic")) * (n_toxic / (n_clean + n_toxic))
     counts = counts.where(F.col("clean") + F.col("toxic") >= support).withColumn("surprise", (F.col("toxic") - expected) / F.sqrt(expected + 1))
-    rows = counts.select("kind", "gram", "surprise").collect()  # bounded by the sample
-    entry = [{r["gram"]: r["surprise"] for r in rows if r["kind"] == kind} for kind in (0, 1)]
+    rows = counts.select("kind", "gram", "surprise").toArrow()  # bounded by the sample
+    entry: list[dict[str, float]] = [{}, {}]
+    for kind, gram, surprise in zip(*(c.to_pylist() for c in rows.columns)):
+        entry[kind][gram] = surprise
     model = Model({w: i + 1 for i, w in enumerate(sorted(entry[0]))}, {w: i + 1 for i, w in enumerate(sorted(entry[1]))})
     model.start = [np.clip([told[w] / 4 for w in sorted(told)], -1, 4) for told in entry]
 
@@ -368,20 +454,27 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 10_000, support: int
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.list_(pa.string()))], names=["toxic", "words"])
 
-    picked = sample.select("text", F.least("toxic", F.lit(1)).alias("toxic")).mapInArrow(pick, "toxic int, words array<string>").orderBy("toxic", "words").collect()
-    if len({r["toxic"] for r in picked}) < 2:
-        return Model({}, {}, constant=n_toxic / (n_clean + n_toxic))
-    # windows of bounded number and length are all that reaches the driver
+    # windows of bounded number and length are all that reaches the driver, which orders them:
+    # a sort in Spark would make them twice, for its ranges and for itself
     pool: dict[str, str] = {}  # a word that many windows hold is one string
-    shared = lambda rows: [[pool.setdefault(w, w) for w in r["words"]] for r in rows]
-    windows, toxic = shared(picked), [float(r["toxic"]) for r in picked]
-    del picked, entry, rows
+
+    def ordered(found: DataFrame) -> tuple[list[list[str]], list[float]]:
+        rows = []
+        for batch in found.toArrow().to_batches(1 << 12):
+            rows += [(t, [pool.setdefault(w, w) for w in ws]) for t, ws in zip(*(c.to_pylist() for c in batch.columns))]
+        rows.sort()
+        return [ws for _, ws in rows], [float(t) for t, _ in rows]
+
+    windows, toxic = ordered(sample.select("text", F.least("toxic", F.lit(1)).alias("toxic")).mapInArrow(pick, "toxic int, words array<string>"))
+    if len(set(toxic)) < 2:
+        return Model({}, {}, constant=n_toxic / (n_clean + n_toxic))
+    del entry, rows
     give_back()
     model.params = train(model, windows, np.array(toxic))
     clean = sample.where("toxic = 0").select("text")
     for turn in range(hard_rounds):
-        highest = clean.mapInArrow(_highest_windows(model), "words array<string>").orderBy("words").collect()
-        windows, toxic = windows + shared(highest), toxic + [0.0] * len(highest)
+        highest, none = ordered(clean.mapInArrow(_highest_windows(model), "words array<string>").select(F.lit(0), "words"))
+        windows, toxic = windows + highest, toxic + none
         del highest
         model.params = train(model, windows, np.array(toxic), steps=hard_steps, rate=0.005, seed=seed + turn)
     del windows, pool
@@ -413,23 +506,13 @@ class scorer:  # noqa: N801 - called like the function that it stands for
     """A function from texts to scores; keeps the inputs of words from call to call."""
 
     def __init__(self, model: Model):
-        self.model = model
-        self.inputs = Inputs(model)
-        self.of, self.vectors = None, np.empty((0, 0), np.float32)  # the inputs whose vectors are made
-
-    def _vectors(self) -> np.ndarray:
-        known = self.inputs.inputs
-        if self.of is not known:
-            self.of, self.vectors = known, vectors(self.model.params, self.inputs.flat())
-        elif len(self.vectors) < len(known):
-            self.vectors = np.concatenate([self.vectors, vectors(self.model.params, self.inputs.flat(len(self.vectors)))])
-        return self.vectors
+        self.model, self.known = model, Vectors(model)
 
     def windows(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
         """Of each text the highest window's logit and first word, and the text's words."""
         words = [WORD.findall(t.lower()) if t else [] for t in texts]
         sizes = np.array([len(w) for w in words], int)
-        ids = self.inputs.look_up([w for ws in words for w in ws])
+        ids = self.known.look_up([w for ws in words for w in ws])
         best, start = np.empty(len(texts), np.float32), np.zeros(len(texts), int)
         ends = np.cumsum(sizes)
         full = sizes >= WINDOW
@@ -438,11 +521,11 @@ class scorer:  # noqa: N801 - called like the function that it stands for
             at = (ends - sizes)[short][:, None] + np.arange(WINDOW)[None]
             grid = np.where(np.arange(WINDOW)[None] < sizes[short][:, None], np.append(ids, 0)[np.minimum(at, len(ids))], 0)
             used, own = np.unique(grid, return_inverse=True)
-            best[short] = forward(self.model.params, self._vectors()[used], own.reshape(grid.shape), sizes[short])
+            best[short] = forward(self.model.params, self.known.vectors[used], own.reshape(grid.shape), sizes[short])
         if full.any():
             long = np.flatnonzero(full)
             stream = ids[np.repeat(full, sizes)]
-            logits = np.append(stream_logits(self.model.params, self._vectors(), stream), np.full(WINDOW - 1, -np.inf, np.float32))
+            logits = np.append(stream_logits(self.model.params, self.known.vectors, stream), np.full(WINDOW - 1, -np.inf, np.float32))
             after = np.cumsum(sizes[long])
             for k in range(1, WINDOW):  # windows that would reach into the next text
                 logits[after - k] = -np.inf
