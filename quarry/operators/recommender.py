@@ -16,6 +16,10 @@ numbers (a task computes in double precision); the driver holds the head and the
 vectors.  An epoch moves that table ``B`` times, so a cell takes as many ratings as a task holds well.  ``B`` follows from the number of ratings, users and items,
 the order of ratings from a hash, so a fit doesn't depend on partitioning or retries.
 
+Rows are scored by a broadcast of the vectors if those of either side take ``BROADCAST_BYTES`` at
+most.  Otherwise they are dealt into cells as well: each gets the vectors of its users and items
+once, then its rows as a stream, so no row carries vectors through a shuffle.
+
 Defined cases: ratings with a NULL user, item or value, or a NaN value, teach nothing; repeated
 ratings count each; a user or item unknown from training scores with a zero vector; no
 ratings to fit raise ``ValueError``.
@@ -24,7 +28,9 @@ ratings to fit raise ``ValueError``.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +42,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.fixed import RECOMMENDER_EPOCHS, RECOMMENDER_HIDDEN, RECOMMENDER_RANK
-from quarry.operators.joins import lookup
 from quarry.operators.layout import materialize
 
 #: Ratings of a cell, and users or items of a block, that a task takes on.
 CELL_ROWS, BLOCK_ENTITIES = 1 << 19, 1 << 19
+#: Vectors of a side that are broadcast: the driver holds them several times while it sends them.
+BROADCAST_BYTES = 32 << 20
+#: Users or items of a block whose rows are scored; smaller than for training, as a cell's rows are sorted.
+SCORED_ENTITIES = 1 << 18
 INIT_STD = 0.01
 RATING, USER, ITEM, SHARED_USER, SHARED_ITEM, HEAD = range(6)
 TRAINED = "kind int, idx long, vec array<float>, n double, common array<double>"
@@ -188,6 +197,11 @@ def _trainer(params: RatingParams, shared: Shared):
     return train
 
 
+def no_vec(kind: str) -> Column:
+    """Of rows without a vector: an empty list, as Spark's Arrow writer goes through a batch's NULL lists anew for every row."""
+    return F.array().cast(f"array<{kind}>")
+
+
 def _initial(idx: Column, rank: int, seed: int) -> Column:
     """Normal numbers by a hash of the index, then zeros for the sums of squares."""
     uniform = lambda i, k: (F.pmod(F.xxhash64(idx, i, F.lit(seed + k)), F.lit(1 << 40)) + F.lit(0.5)) / F.lit(float(1 << 40))
@@ -195,6 +209,34 @@ def _initial(idx: Column, rank: int, seed: int) -> Column:
     return F.concat(normal, F.array_repeat(F.lit(0.0), rank))
 
 
+class _Vectors:
+    """Vectors of one side of a cell, as they arrive; looked up once all are there."""
+
+    def __init__(self, rank: int):
+        self.rank, self.parts, self.names = rank, [], None
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        exact = pc.list_value_length(rows.column("vec")).to_numpy() > 0
+        vec = np.empty((rows.num_rows, self.rank), np.float32 if exact.all() else np.float64)
+        vec[exact] = rows.column("vec").flatten().to_numpy().reshape(-1, self.rank)
+        if not exact.all():
+            vec[~exact] = rows.column("wide").flatten().to_numpy().reshape(-1, self.rank)
+        self.parts.append((rows.column("idx").to_numpy().copy(), vec))  # a view would keep the whole batch
+
+    def of(self, idx: pa.Array) -> np.ndarray:
+        if self.names is None:
+            names, vec = (np.concatenate([p[i] for p in self.parts]) if self.parts else none for i, none in enumerate((np.empty(0, np.int64), np.empty((0, self.rank)))))
+            order = np.argsort(names, kind="stable")
+            self.names, self.vec, self.parts = names[order], vec[order], []
+        out = np.zeros((len(idx), self.rank))
+        if len(self.names):
+            wanted = pc.fill_null(idx, 0).to_numpy()
+            at = np.minimum(np.searchsorted(self.names, wanted), len(self.names) - 1)
+            here = (self.names[at] == wanted) & pc.is_valid(idx).to_numpy(zero_copy_only=False)
+            out[here] = self.vec[at[here]]
+        return out
+
+
 @dataclass
 class RatingModel:
     """``users``/``items``: ``idx, vec``; ``head``: weights and offsets layer by layer."""
@@ -210,29 +252,89 @@ class RatingModel:
     user: str = "user_idx"
     item: str = "item_idx"
 
+    @property
+    def small(self) -> bool:
+        """Whether the vectors of either side may be broadcast."""
+        return max(self.n_users, self.n_items) * (8 * self.rank + 32) <= BROADCAST_BYTES
+
     def with_vectors(self, df: DataFrame) -> DataFrame:
         """``df`` with ``_u`` and ``_i``, zeros where a user or item is unknown."""
+        if not self.small:
+            lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
+            schema = T.StructType([*df.schema.fields, *(T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("_u", "_i"))])
+            return self._in_cells(df, df.columns, lambda u, i: [lists(u), lists(i)], schema)
         zeros = F.array_repeat(F.lit(0.0), self.rank)
         out = df
-        for column, table, rows, hot, name in ((self.user, self.users, self.n_users, self.hot_users, "_u"), (self.item, self.items, self.n_items, self.hot_items, "_i")):
-            own = table.select(F.col("idx").alias(column), F.col("vec").alias(name))
-            out = lookup(out, own, [column], rows, "left", own.where(F.col(column).isin(hot)))
+        for column, table, name in ((self.user, self.users, "_u"), (self.item, self.items, "_i")):
+            out = out.join(F.broadcast(table.select(F.col("idx").alias(column), F.col("vec").alias(name))), column, "left")
             out = out.withColumn(name, F.coalesce(name, zeros))
         return out
 
-    def score(self, df: DataFrame, keep: list[str]) -> DataFrame:
-        """``keep`` columns + ``prediction double`` in [0, 1], for every row (the ``Scorer`` protocol)."""
-        own = self.with_vectors(df).select(*keep, "_u", "_i")
-        head, rank = self.head, self.rank
+    def map_vectors(self, df: DataFrame, keep: list[str], finish: Callable[[np.ndarray, np.ndarray], list[pa.Array]], schema: T.StructType) -> DataFrame:
+        """``keep`` columns of every row and what ``finish`` makes of the vectors of a batch's users and items,
+        a matrix each, zeros where one is unknown."""
+        if not self.small:
+            return self._in_cells(df, keep, finish, schema)
+        own, rank = self.with_vectors(df).select(*keep, "_u", "_i"), self.rank
 
-        def run(batches):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if batch.num_rows:
-                    x = np.concatenate([batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, rank) for c in ("_u", "_i")], axis=1)
-                    arrays = [batch.column(i) for i in range(len(keep))]
-                    yield pa.RecordBatch.from_arrays([*arrays, pa.array(forward(x, head)[-1][:, 0])], names=[*keep, "prediction"])
+                    u, i = (batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, rank) for c in ("_u", "_i"))
+                    yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *finish(u, i)], names=schema.fieldNames())
+
+        return own.mapInArrow(run, schema)
+
+    def _in_cells(self, df: DataFrame, keep: list[str], finish: Callable[[np.ndarray, np.ndarray], list[pa.Array]], schema: T.StructType) -> DataFrame:
+        """``keep`` columns and what ``finish`` makes of the vectors of rows' users and items, cell by cell.
+        The vectors of users go to the cells of their block with every block of items, and the
+        other way round; rows of a frequent user or item are dealt over all blocks, as its vector is."""
+        ub, ib = (-(-n // SCORED_ENTITIES) or 1 for n in (self.n_users, self.n_items))
+        while ub * ib < df.sparkSession.sparkContext.defaultParallelism:
+            ub, ib = (ub + 1, ib) if self.n_users * ib >= self.n_items * ub else (ub, ib + 1)
+        home = lambda idx, blocks: F.pmod(F.xxhash64(idx, F.lit(0)), F.lit(blocks))
+
+        def block(idx: Column, hot: list[int], blocks: int, salt: Column) -> Column:
+            return F.when(idx.isin(hot), F.pmod(F.xxhash64(salt, F.lit(1)), F.lit(blocks))).otherwise(home(idx, blocks)) if hot else home(idx, blocks)
+
+        u, i = F.col(self.user).cast("long"), F.col(self.item).cast("long")
+        cell = block(u, self.hot_users, ub, i) * ib + block(i, self.hot_items, ib, u)
+        rows = df.select(cell.alias("cell"), F.lit(RATING).alias("kind"), u.alias("idx"), i.alias("other"), no_vec("float").alias("vec"), no_vec("double").alias("wide"), *[F.col(c).alias(f"c{j}") for j, c in enumerate(keep)])
+        single = F.col("vec").cast("array<float>")
+        exact = single.cast("array<double>") == F.col("vec")
+        for kind, table, hot, own, others in ((USER, self.users, self.hot_users, ub, ib), (ITEM, self.items, self.hot_items, ib, ub)):
+            blocks = F.array(home(F.col("idx"), own))
+            if hot:
+                blocks = F.when(F.col("idx").isin(hot), F.sequence(F.lit(0).cast("long"), F.lit(own - 1).cast("long"))).otherwise(blocks)
+            own_rows = table.select("idx", F.when(exact, single).otherwise(no_vec("float")).alias("vec"), F.when(exact, no_vec("double")).otherwise(F.col("vec")).alias("wide"), F.explode(blocks).alias("own"))
+            own_rows = own_rows.withColumn("across", F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+            cell = F.col("own") * ib + F.col("across") if kind == USER else F.col("across") * ib + F.col("own")
+            rows = rows.unionByName(own_rows.select(cell.alias("cell"), F.lit(kind).alias("kind"), "idx", "vec", "wide"), allowMissingColumns=True)
+        rank, n_keep = self.rank, len(keep)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            at, sides = None, {}
+            for batch in batches:
+                cells, kinds = batch.column("cell").to_numpy(), batch.column("kind").to_numpy()
+                ends = np.flatnonzero((cells[1:] != cells[:-1]) | (kinds[1:] != kinds[:-1])) + 1
+                for start, end in pairwise([0, *ends.tolist(), batch.num_rows] if batch.num_rows else []):
+                    part = batch.slice(start, end - start)
+                    if cells[start] != at:
+                        at, sides = cells[start], {USER: _Vectors(rank), ITEM: _Vectors(rank)}
+                    if kinds[start] != RATING:
+                        sides[kinds[start]].add(part)
+                        continue
+                    made = finish(sides[USER].of(part.column("idx")), sides[ITEM].of(part.column("other")))
+                    yield pa.RecordBatch.from_arrays([*(part.column(f"c{j}") for j in range(n_keep)), *made], names=schema.fieldNames())
+
+        # a cell's vectors come before its rows
+        return rows.repartition("cell").sortWithinPartitions("cell", F.col("kind").desc()).mapInArrow(run, schema)
 
-        return own.mapInArrow(run, T.StructType([*own.schema.fields[: len(keep)], T.StructField("prediction", T.DoubleType())]))
+    def score(self, df: DataFrame, keep: list[str]) -> DataFrame:
+        """``keep`` columns + ``prediction double`` in [0, 1], for every row (the ``Scorer`` protocol)."""
+        head = self.head
+        predict = lambda u, i: [pa.array(forward(np.concatenate([u, i], axis=1), head)[-1][:, 0])]
+        return self.map_vectors(df, keep, predict, T.StructType([*df.select(*keep).schema.fields, T.StructField("prediction", T.DoubleType())]))
 
 
 def fit_ratings(ratings: DataFrame, params: RatingParams = RatingParams(), user: str = "user_idx", item: str = "item_idx", rating: str = "rating_norm") -> RatingModel:
@@ -273,11 +375,10 @@ def fit_ratings(ratings: DataFrame, params: RatingParams = RatingParams(), user:
 
     head = _flat(params.head())
     shared = Shared(np.array(hot_users, np.int64), start(hot_users, USER), np.array(hot_items, np.int64), start(hot_items, ITEM), np.concatenate([head, np.zeros_like(head)]))
-    no_vec = F.lit(None).cast("array<float>")
     for epoch in range(params.epochs):
         for turn in range(blocks):
             order = F.xxhash64("u", "i", "value", F.lit(params.seed + 100 + epoch))
-            rows = cells.where(F.col("turn") == turn).select("cell", F.lit(RATING).alias("kind"), F.col("u").alias("idx"), F.col("i").alias("other"), "value", no_vec.alias("vec"), order.alias("turn_order"))
+            rows = cells.where(F.col("turn") == turn).select("cell", F.lit(RATING).alias("kind"), F.col("u").alias("idx"), F.col("i").alias("other"), "value", no_vec("float").alias("vec"), order.alias("turn_order"))
             home = F.pmod(F.xxhash64("idx", F.lit(params.seed)), F.lit(blocks))
             cell = F.when(F.col("kind") == USER, home).otherwise(F.pmod(home - turn, F.lit(blocks))).cast("int")
             own_rows = state.select(cell.alias("cell"), "kind", "idx", F.lit(0).cast("long").alias("other"), F.lit(0.0).alias("value"), "vec", F.lit(0).cast("long").alias("turn_order"))

@@ -118,3 +118,18 @@ def test_errors_recomputed_in_batches(spark):
     assert "MapInArrow" in plan and "zip_with" not in plan
     want = model.score(both, ["rating_norm"]).agg(F.avg(F.pow(F.col("prediction") - F.col("rating_norm"), 2.0))).first()[0]
     assert out.first()["own"] == pytest.approx(want, abs=1e-12)
+
+
+def test_many_vectors_are_not_broadcast(spark, monkeypatch):
+    """Vectors beyond ``BROADCAST_BYTES`` go to cells: the same scores, for frequent, unknown and NULL ones too."""
+    rows = ratings(seed=5)
+    model = R.fit_ratings(frame(spark, rows), R.RatingParams(rank=4, hidden=8, epochs=1, blocks=3))
+    assert model.hot_users and model.hot_items
+    own = spark.createDataFrame([(n, *r) for n, r in enumerate([(u, i) for u, i, _ in rows] + [(10_000, 7), (3, None), (None, 10_000), (None, None)])], "n int, user_idx long, item_idx int").repartition(5)
+    small = [{r["n"]: r for r in df.collect()} for df in (model.with_vectors(own), model.score(own, ["n"]))]
+    model.n_users = 900_000
+    assert "Broadcast" not in model.score(own, ["n"])._jdf.queryExecution().toString()
+    monkeypatch.setattr(R, "SCORED_ENTITIES", 300_000)
+    large = [{r["n"]: r for r in df.collect()} for df in (model.with_vectors(own), model.score(own, ["n"]))]
+    assert large[0].keys() == small[0].keys() and all(large[0][n].asDict() == small[0][n].asDict() for n in small[0])
+    assert large[1].keys() == small[1].keys() and all(large[1][n]["prediction"] == pytest.approx(small[1][n]["prediction"], abs=1e-12) for n in small[1])
