@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quarry.operators import learners as L
 from quarry.operators import recommender as R
 from quarry.operators import scoring as SC
 
@@ -133,3 +134,10 @@ def test_many_vectors_are_not_broadcast(spark, monkeypatch):
     large = [{r["n"]: r for r in df.collect()} for df in (model.with_vectors(own), model.score(own, ["n"]))]
     assert large[0].keys() == small[0].keys() and all(large[0][n].asDict() == small[0][n].asDict() for n in small[0])
     assert large[1].keys() == small[1].keys() and all(large[1][n]["prediction"] == pytest.approx(small[1][n]["prediction"], abs=1e-12) for n in small[1])
+
+
+def test_als_solves_side_by_side_and_drops_what_it_sent(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(L, "ALS", lambda f=L.ALS, **params: made.append(f(**params)) or made[-1])
+    L.fit_recommender(frame(spark, ratings()), rank=2, iterations=3)
+    assert made[0].getCheckpointInterval() == 2 and made[0].getNumUserBlocks() == made[0].getNumItemBlocks() == 6
